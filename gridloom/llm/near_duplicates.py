@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 from gridloom.llm.common import slices, stage_table
 
 _U32, _U64 = np.uint32, np.uint64
+PARITY_WORDS = 16  # of 64 bits
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -109,6 +110,18 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parity_bits(sets: list[np.ndarray]) -> np.ndarray:
+    """(n, PARITY_WORDS) bitmaps in which each member of a set flips one bit.
+
+    Two bitmaps differ in no more bits than the sets differ in members, so many differing bits rule a pair out.
+    """
+    size = 64 * PARITY_WORDS
+    flat = mix64(np.concatenate(sets) + _U64(0x2545F4914F6CDD1D)) % _U64(size)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    odd = (np.bincount(row * size + flat.astype(np.int64), minlength=len(sets) * size) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(len(sets), size), axis=1).view(np.int64)
+
+
 def set_key(own: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(own.tobytes())
 
@@ -120,21 +133,24 @@ def _sketch(docs: DataFrame, words: int, bands: int, rows: int, slice_bytes: int
             sets = shingler.sets(batch.column("text").to_pylist())
             full = [i for i, s in enumerate(sets) if len(s)]
             keys = band_keys(signatures([sets[i] for i in full], bands * rows), bands).tolist() if full else []
+            flips = parity_bits([sets[i] for i in full]).tolist() if full else []
             lists: list = [None] * len(sets)
-            for i, key in zip(full, keys):
-                lists[i] = key
+            bits: list = [None] * len(sets)
+            for i, key, flip in zip(full, keys, flips):
+                lists[i], bits[i] = key, flip
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array(lists, pa.list_(pa.int64())),
+                    pa.array(bits, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "set_key", "bands"],
+                ["doc_id", "n_shingles", "set_key", "bands", "bits"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
+        run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, bits array<bigint>"
     )
 
 
@@ -200,10 +216,19 @@ def _fits(x: str, y: str, percent: int):
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def _within_buckets(member: DataFrame) -> DataFrame:
+def _near(percent: int):
+    """Parity bitmaps ``bits`` and ``bits_2`` differ by no more than sets that are alike enough can."""
+    differ = sum(F.bit_count(F.get(F.col("bits"), F.lit(i)).bitwiseXOR(F.get(F.col("bits_2"), F.lit(i)))) for i in range(PARITY_WORDS))
+    return differ * (100 + percent) <= (100 - percent) * (F.col("n_shingles") + F.col("n_shingles_2"))
+
+
+_MEMBER = ("class_id", "set_key", "n_shingles", "component", "bits")
+
+
+def _within_buckets(member: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in the same (small) bucket."""
-    other = member.select("band", *[F.col(c).alias(f"{c}_2") for c in ("class_id", "set_key", "n_shingles", "component")])
-    return member.join(other, "band").where("component < component_2")
+    other = member.select("band", *[F.col(c).alias(f"{c}_2") for c in _MEMBER])
+    return member.join(other, "band").where("component < component_2").where(_near(percent))
 
 
 def _by_prefix(member: DataFrame, docs: DataFrame, words: int, percent: int, slice_bytes: int) -> DataFrame:
@@ -212,7 +237,7 @@ def _by_prefix(member: DataFrame, docs: DataFrame, words: int, percent: int, sli
     A set of n needs at least ceil(n * percent / 100) shingles in common with a partner, so the two share
     one of the n - that + 1 that come first in any common order; here the rarest come first.
     """
-    own = member.select("class_id", "set_key", "n_shingles", "component").distinct()
+    own = member.select(*_MEMBER).dropDuplicates(["set_key"])
     text = docs.select(F.col("doc_id").alias("class_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,15 +248,12 @@ def _by_prefix(member: DataFrame, docs: DataFrame, words: int, percent: int, sli
             rows = [i for i, s in enumerate(sets) if set_key(s) == keys[i]]
             took = pa.array(np.repeat(np.array(rows, np.int64), [len(sets[i]) for i in rows]))
             flat = np.concatenate([sets[i] for i in rows] or [np.zeros(0, _U64)]).view(np.int64)
-            names = ["class_id", "set_key", "n_shingles", "component"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(took) for c in names), pa.array(flat, pa.int64())], [*names, "shingle"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("set_key").take(took), pa.array(flat, pa.int64())], ["set_key", "shingle"])
 
     shingles = stage_table(
         own.join(text, "class_id")
-        .select("class_id", "set_key", "n_shingles", "component", "text")
-        .mapInArrow(run, "class_id bigint, set_key binary, n_shingles bigint, component bigint, shingle bigint")
+        .select("set_key", "text")
+        .mapInArrow(run, "set_key binary, shingle bigint")
         .distinct(),
         "shingles",
     )
@@ -239,17 +261,19 @@ def _by_prefix(member: DataFrame, docs: DataFrame, words: int, percent: int, sli
     first = Window.partitionBy("set_key").orderBy("df", "shingle")
     prefix = stage_table(
         shingles.join(common, "shingle")
+        .join(own.select("set_key", "n_shingles"), "set_key")
         .withColumn("place", F.row_number().over(first))
         .where((F.col("place") <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1) & (F.col("df") > 1))
-        .select("shingle", "class_id", "set_key", "n_shingles", "component", "place"),
+        .select("shingle", "set_key", "place")
+        .join(own, "set_key"),
         "prefix",
     )
-    other = prefix.select("shingle", *[F.col(c).alias(f"{c}_2") for c in ("class_id", "set_key", "n_shingles", "component", "place")])
+    other = prefix.select("shingle", *[F.col(c).alias(f"{c}_2") for c in (*_MEMBER, "place")])
     # What can still follow the shared shingle must be enough, too.
     enough = 100 * (F.least(F.col("n_shingles") - F.col("place"), F.col("n_shingles_2") - F.col("place_2")) + F.least("place", "place_2")) * (100 + percent) >= (
         F.lit(100 * percent) * (F.col("n_shingles") + F.col("n_shingles_2"))
     )
-    return prefix.join(other, "shingle").where(F.col("component") < F.col("component_2")).where(enough)
+    return prefix.join(other, "shingle").where("component < component_2").where(enough).where(_near(percent))
 
 
 def link_near_duplicates(
@@ -280,29 +304,32 @@ def link_near_duplicates(
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sketch = stage_table(_sketch(docs, words, bands, rows, slice_bytes), "sketch")
     named = sketch.where("doc_id is not null and set_key is not null")
-    first = F.min_by(F.struct("n_shingles", "bands"), "doc_id").alias("first")
+    first = F.min_by(F.struct("n_shingles", "bands", "bits"), "doc_id").alias("first")
     classes = named.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), first)
     classes = stage_table(classes.select("set_key", "class_id", "first.*"), "classes")
     member = classes.select("class_id", "set_key", "n_shingles", F.explode("bands").alias("band"))
     hub = F.min(F.struct("class_id", "set_key", "n_shingles")).alias("hub")
     shared = stage_table(member.groupBy("band").agg(hub, F.count("*").alias("members")).where("members > 1"), "buckets")
     member = stage_table(member.join(shared, "band"), "members")
-    tried = stage_table(
+    bits = classes.select("set_key", "bits")
+    tried = (
         member.where(F.col("set_key") != F.col("hub.set_key"))
         .where(_fits(F.col("n_shingles"), F.col("hub.n_shingles"), percent))
-        .selectExpr("class_id a", "set_key a_key", "hub.class_id b", "hub.set_key b_key")
-        .distinct(),
-        "pairs",
+        .selectExpr("class_id a", "set_key a_key", "n_shingles", "hub.class_id b", "hub.set_key b_key", "hub.n_shingles n_shingles_2")
+        .distinct()
+        .join(bits.toDF("a_key", "bits"), "a_key")
+        .join(bits.toDF("b_key", "bits_2"), "b_key")
     )
+    tried = stage_table(tried.where(_near(percent)).select("a", "a_key", "b", "b_key"), "pairs")
     found = components(_verify(tried, docs, words, percent, slice_bytes))
     member = member.drop("hub").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     member = stage_table(member.withColumn("component", F.coalesce("component", "class_id")), "members")
     mixed = member.groupBy("band").agg(F.min("component").alias("one"), F.max("component").alias("other")).where("one < other").select("band")
-    member = stage_table(member.join(mixed, "band"), "mixed")
+    member = stage_table(member.join(mixed, "band").join(bits, "set_key"), "mixed")
     pairs = None
     for few in (True, False):
         part = member.where(F.col("members") <= small_bucket if few else F.col("members") > small_bucket)
-        part = _within_buckets(part) if few else _by_prefix(part, docs, words, percent, slice_bytes)
+        part = _within_buckets(part, percent) if few else _by_prefix(part, docs, words, percent, slice_bytes)
         part = part.where(_fits(F.col("n_shingles"), F.col("n_shingles_2"), percent)).selectExpr("class_id a", "set_key a_key", "class_id_2 b", "set_key_2 b_key")
         pairs = part if pairs is None else pairs.unionByName(part)
     more = _verify(pairs.distinct().join(tried, ["a_key", "b_key"], "left_anti"), docs, words, percent, slice_bytes)
