@@ -69,46 +69,50 @@ class Codec:
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
 
     def fold(self, word: Column, pairs: Column) -> Column:
-        """Ids of one word: bytes first, then merges in the order of their ranks."""
+        """Ids of one word: bytes first, then merges in the order of their ranks.
+
+        The state is one array of (rank of the pair that starts here, id), packed in longs, so the least
+        entry is the next merge, and the merged piece's id is its rank.
+        """
 
         def rank(left: Column, right: Column) -> Column:
             key = left * (1 << _SHIFT) + right
-            same = F.filter(F.get(pairs, _chain(left, right).cast("int")), lambda e: F.shiftright(e, _SHIFT) == key)
-            return F.coalesce(F.get(same, F.lit(0)).bitwiseAND(F.lit(_NONE).cast("bigint")), F.lit(_NONE).cast("bigint"))
+            chain = F.get(pairs, _chain(left, right).cast("int"))
+            same = F.get(F.filter(chain, lambda e: F.shiftright(e, _SHIFT) == key), F.lit(0))
+            return F.coalesce(same.bitwiseAND(mask), mask)
+
+        mask = F.lit(_NONE).cast("bigint")
+        id_of = lambda x: x.bitwiseAND(mask)
+        pack = lambda r, i: r * (1 << _SHIFT) + i
+        last = F.lit(_NONE << _SHIFT).cast("bigint")
+        gone = F.lit(-1).cast("bigint")
 
         def start(ids: Column) -> Column:
-            later = F.slice(ids, F.lit(2), F.greatest(F.size(ids) - 1, F.lit(0)))
-            ranks = F.transform(later, lambda x, i: rank(F.get(ids, i), x))
-            return F.struct(ids.alias("ids"), ranks.alias("ranks"))
+            packed = F.transform(F.slice(ids, F.lit(2), F.size(ids)), lambda x, i: pack(rank(F.get(ids, i), x), F.get(ids, i)))
+            return F.concat(packed, F.array(last + F.element_at(ids, -1)))
 
         def merge(state: Column, best: Column, at: Column) -> Column:
-            ids, ranks = state["ids"], state["ranks"]
-            none = F.array().cast("array<bigint>")
-            left = F.when(at > 1, F.array(rank(F.get(ids, at - 2), best))).otherwise(none)
-            right = F.when(at < F.size(ranks), F.array(rank(best, F.get(ids, at + 1)))).otherwise(none)
-            return F.struct(
-                F.concat(F.slice(ids, F.lit(1), at - 1), F.array(best), F.slice(ids, at + 2, F.size(ids))).alias("ids"),
-                F.concat(
-                    F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), left, right, F.slice(ranks, at + 2, F.size(ranks))
-                ).alias("ranks"),
+            left, right = F.get(state, at - 2), F.get(state, at + 1)
+            around = F.array(
+                F.when(left.isNotNull(), pack(rank(id_of(left), best), id_of(left))),
+                F.when(right.isNull(), last + best).otherwise(pack(rank(best, id_of(right)), best)),
+                gone,
             )
+            put = lambda new: F.transform(state, lambda x, i: F.coalesce(F.get(new, i + 2 - at), x))
+            return F.array_remove(_let(around, put), gone)
 
         def step(state: Column, _: Column) -> Column:
-            best = F.coalesce(F.array_min(state["ranks"]), F.lit(_NONE).cast("bigint"))
-            return _let(
-                best,
-                lambda b: F.when(b == _NONE, state).otherwise(
-                    _let(F.array_position(state["ranks"], b).cast("int"), lambda at: merge(state, b, at))
-                ),
-            )
+            def found(least: Column) -> Column:
+                at = F.array_position(state, least).cast("int")
+                return _let(at, lambda at: merge(state, F.shiftright(least, _SHIFT), at))
+
+            return _let(F.array_min(state), lambda least: F.when(least >= last, state).otherwise(found(least)))
 
         first = F.array(*[F.lit(x).cast("bigint") for x in self._bytes])
         letters = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
         ids = F.transform(letters, lambda c: F.get(first, F.ascii(c)))
-        return _let(
-            _let(ids, start),
-            lambda s: F.aggregate(F.slice(s["ids"], F.lit(2), F.size(s["ids"])), s, step, lambda x: x["ids"]),
-        )
+        folded = _let(_let(ids, start), lambda s: F.aggregate(F.slice(s, F.lit(2), F.size(s)), s, step))
+        return F.transform(folded, id_of)
 
     def frequent(self, docs: DataFrame, text_col: str, most: int) -> Column:
         """The literal of known words: the vocabulary's own pieces and the ``most`` most frequent words.
@@ -143,7 +147,7 @@ class Codec:
 
 
 def encode(
-    docs: DataFrame, codec: Codec, *, text_col: str = "text", out_col: str = "ids", frequent_words: int = 150_000
+    docs: DataFrame, codec: Codec, *, text_col: str = "text", out_col: str = "ids", frequent_words: int = 300_000
 ) -> DataFrame:
     """``docs`` with ``out_col``, the token ids (array<bigint>) of the whole text; special tokens do not exist.
 
