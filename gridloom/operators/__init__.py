@@ -1,0 +1 @@
+"""Operators over DataFrames: pivots, lookups, selectors, range operations, profiling and documents."""

@@ -1 +1,3 @@
-"""Queries over the standard tables, by family."""
+"""Imports the modules that register queries."""
+
+from gridloom.plans import function_queries, pivot_queries, range_queries  # noqa: F401
