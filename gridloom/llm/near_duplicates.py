@@ -283,7 +283,7 @@ def link_near_duplicates(
     percent: int = 85,
     bands: int = 25,
     rows: int = 4,
-    small_bucket: int = 48,
+    small_bucket: int = 2000,
     slice_bytes: int = 2 << 20,
 ) -> DataFrame:
     """One row per document: n_shingles, component_id (the smallest doc_id reachable) and kept.
@@ -293,9 +293,10 @@ def link_near_duplicates(
     nothing. The default bands miss a pair at the threshold with probability 1e-8; every link is verified
     on the full sets. Documents of equal sets form one class from the start, so copies cost one row each.
 
-    Buckets that hold several components after the first verification are searched in full: up to
-    ``small_bucket`` members by their pairs, larger ones by the exact prefix-filtered join, so no bucket
-    is capped.
+    Buckets that hold several components after the first verification are searched in full. Up to
+    ``small_bucket`` members are compared with each other by bitmaps inside the join, which bounds the
+    comparisons of a member and lets few pairs out; larger buckets go to the exact prefix-filtered join, so
+    no bucket is capped.
 
     A null text counts as empty. Rows without doc_id are returned with a null component and ``kept`` true:
     they have no name to be linked by. Rows that share a doc_id count as one document. Further columns
