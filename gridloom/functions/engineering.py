@@ -119,33 +119,46 @@ def convert(x, source: str, target: str) -> Column:
 _NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, so that nested calls stay small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+_SHAPE = rf"^(?:({_NUMBER})(?=[+-]))?([+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)?)[ij]$"
+
+
 def parse_complex(z) -> Column:
     """struct<re, im> of "a+bi", "bi" or "a"; NULL for other text."""
-    t = F.regexp_replace(c(z).cast("string"), r"\s", "")
-    lone = F.regexp_extract(t, rf"^({_NUMBER})$", 1)
-    real = F.regexp_extract(t, rf"^({_NUMBER})(?=[+-].*[ij]$)", 1)
-    imag = F.regexp_extract(t, rf"^(?:{_NUMBER}(?=[+-]))?([+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)?)[ij]$", 1)
-    unit = F.when(imag.isin("", "+"), F.lit("1")).when(imag == "-", F.lit("-1")).otherwise(imag)
-    made = F.struct(F.coalesce(real.try_cast("double"), F.lit(0.0)).alias("re"), unit.try_cast("double").alias("im"))
-    plain = F.struct(lone.try_cast("double").alias("re"), F.lit(0.0).alias("im"))
-    shape = F.rlike(t, F.lit(rf"^(?:{_NUMBER}(?=[+-]))?[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)?[ij]$"))
-    return F.when(lone != "", plain).when(shape, made)
+
+    def read(t: Column) -> Column:
+        real, imag = F.regexp_extract(t, _SHAPE, 1), F.regexp_extract(t, _SHAPE, 2)
+        unit = F.when(imag.isin("", "+"), F.lit(1.0)).when(imag == "-", F.lit(-1.0)).otherwise(imag.try_cast("double"))
+        made = _pair(F.coalesce(real.try_cast("double"), F.lit(0.0)), unit)
+        plain = _pair(t.try_cast("double"), F.lit(0.0))
+        return F.when(F.rlike(t, F.lit(f"^{_NUMBER}$")), plain).when(F.rlike(t, F.lit(_SHAPE)), made)
+
+    return _let(F.regexp_replace(c(z).cast("string"), r"\s", ""), read)
 
 
 def _part(x: Column) -> Column:
-    """A double as a spreadsheet writes it, in up to 15 digits."""
-    near = F.round(x, 12)
-    whole = (near == F.floor(near)) & (F.abs(near) < 1e15)
-    return F.when(whole, near.cast("bigint").cast("string")).otherwise(F.regexp_replace(F.regexp_replace(F.format_string("%.14f", x), "0+$", ""), r"\.$", ""))
+    """A double as a spreadsheet writes it, in up to 14 decimals."""
+
+    def write(near: Column) -> Column:
+        whole = (near == F.floor(near)) & (F.abs(near) < 1e15)
+        return F.when(whole, near.cast("bigint").cast("string")).otherwise(F.regexp_replace(F.regexp_replace(F.format_string("%.14f", near), "0+$", ""), r"\.$", ""))
+
+    return _let(F.when(F.abs(x - F.round(x)) < 1e-12, F.round(x)).otherwise(x), write)
 
 
 def show_complex(z: Column, suffix: str = "i") -> Column:
-    re_, im = z["re"], z["im"]
-    sign = F.when(im < 0, "-").otherwise(F.when(_part(re_) == "0", "").otherwise("+"))
-    size = F.when(_part(F.abs(im)) == "1", "").otherwise(_part(F.abs(im)))
-    tail = F.concat(sign, size, F.lit(suffix))
-    none = _part(F.abs(im)) == "0"
-    return F.when(none, _part(re_)).otherwise(F.concat(F.when(_part(re_) == "0", "").otherwise(_part(re_)), tail))
+    def write(w: Column) -> Column:
+        re_, size = w["re"], w["size"]
+        sign = F.when(w["below"], "-").otherwise(F.when(re_ == "0", "").otherwise("+"))
+        tail = F.concat(sign, F.when(size == "1", "").otherwise(size), F.lit(suffix))
+        return F.when(size == "0", re_).otherwise(F.concat(F.when(re_ == "0", "").otherwise(re_), tail))
+
+    parts = _let(z, lambda v: F.struct(_part(v["re"]).alias("re"), _part(F.abs(v["im"])).alias("size"), (v["im"] < 0).alias("below")))
+    return _let(parts, write)
 
 
 def _pair(re_, im) -> Column:
@@ -153,12 +166,16 @@ def _pair(re_, im) -> Column:
 
 
 def _times(a: Column, b: Column) -> Column:
-    return _pair(a["re"] * b["re"] - a["im"] * b["im"], a["re"] * b["im"] + a["im"] * b["re"])
+    return _let(F.struct(a.alias("a"), b.alias("b")), lambda p: _pair(p["a"]["re"] * p["b"]["re"] - p["a"]["im"] * p["b"]["im"], p["a"]["re"] * p["b"]["im"] + p["a"]["im"] * p["b"]["re"]))
 
 
 def _over(a: Column, b: Column) -> Column:
-    size = b["re"] * b["re"] + b["im"] * b["im"]
-    return _pair(F.try_divide(a["re"] * b["re"] + a["im"] * b["im"], size), F.try_divide(a["im"] * b["re"] - a["re"] * b["im"], size))
+    def divide(p: Column) -> Column:
+        x, y = p["a"], p["b"]
+        size = y["re"] * y["re"] + y["im"] * y["im"]
+        return _pair(F.try_divide(x["re"] * y["re"] + x["im"] * y["im"], size), F.try_divide(x["im"] * y["re"] - x["re"] * y["im"], size))
+
+    return _let(F.struct(a.alias("a"), b.alias("b")), divide)
 
 
 fn("COMPLEX")(lambda re_, im, suffix="i": show_complex(_pair(num(re_), num(im)), suffix))
@@ -199,7 +216,11 @@ def _function(f):
         return pd.DataFrame([each(a, b) for a, b in zip(re_, im)], columns=["re", "im"], dtype="float64")
 
     udf = pandas_udf(batch, StructType().add("re", "double").add("im", "double"))
-    return lambda z: show_complex(udf(parse_complex(z)["re"], parse_complex(z)["im"]))
+    def build(z) -> Column:
+        pair = parse_complex(z)
+        return show_complex(udf(pair["re"], pair["im"]))
+
+    return build
 
 
 _INVERSE = lambda f: lambda z: 1 / f(z)

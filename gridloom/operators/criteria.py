@@ -14,6 +14,12 @@ from gridloom.functions.text import wildcard_regex
 _NEAR = 1e-10
 
 
+def finite(x: Column) -> Column:
+    """A number, NULL for text and for what only floating point calls a number."""
+    n = x.try_cast("double")
+    return F.when(~F.isnan(n) & (F.abs(n) < float("inf")), n)
+
+
 def criterion(x: Column, text) -> Column:
     """The test of a criteria string: an operator and a value, a plain number, or text with wildcards.
 
@@ -22,8 +28,9 @@ def criterion(x: Column, text) -> Column:
     """
     if text is None or text == "":
         return F.lit(True)
+    n = finite(x)
     if isinstance(text, (int, float)) and not isinstance(text, bool):
-        return F.coalesce(F.abs(x.try_cast("double") - text) < _NEAR, F.lit(False))
+        return F.coalesce(F.abs(n - text) < _NEAR, F.lit(False))
     op, value = re.match(r"\s*(>=|<=|<>|>|<|=)?(.*)\s*$", str(text), re.S).groups()
     try:
         number = float(value)
@@ -31,7 +38,7 @@ def criterion(x: Column, text) -> Column:
             number = None
     except ValueError:
         number = None
-    s, n = F.coalesce(x.cast("string"), F.lit("")), x.try_cast("double")
+    s = F.coalesce(x.cast("string"), F.lit(""))
     if number is not None:
         equal = F.abs(n - number) < _NEAR
         tests = {None: equal, "=": equal, "<>": ~F.coalesce(equal, F.lit(False)), ">": n > number, "<": n < number, ">=": n >= number, "<=": n <= number}

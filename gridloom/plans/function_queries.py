@@ -41,7 +41,7 @@ def math_trigonometry(spark, d):
 
 
 @query("""SELECT p_partkey, CAST(factorial(p_size % 15) AS DOUBLE) AS fact, CAST(gcd(p_partkey, 36) AS DOUBLE) AS gcd, CAST(lcm(p_size, 12) AS DOUBLE) AS lcm,
-  upper(to_base(p_partkey, 16)) AS base16, CAST(p_size * (p_size - 1) / 2 AS DOUBLE) AS combin, CAST(p_size * (p_size - 1) AS DOUBLE) AS permut FROM part""")
+  upper(to_base(p_partkey, 16)) AS base16, CASE WHEN p_size >= 2 THEN CAST(p_size * (p_size - 1) / 2 AS DOUBLE) END AS combin, CASE WHEN p_size >= 2 THEN CAST(p_size * (p_size - 1) AS DOUBLE) END AS permut FROM part""")
 def math_integers(spark, d):
     k, s = F.col("p_partkey"), F.col("p_size")
     return table(spark, d, "part").select("p_partkey", call("FACT", s % 15).alias("fact"), call("GCD", k, 36).alias("gcd"), call("LCM", s, 12).alias("lcm"), call("BASE", k, 16).alias("base16"), call("COMBIN", s, 2).alias("combin"), call("PERMUT", s, 2).alias("permut"))
@@ -82,13 +82,13 @@ def criteria_aggregates(spark, d):
 
 
 @query("""SELECT p_partkey, upper(p_name) AS upper, left(p_type, 5) AS "left", right(p_type, 4) AS "right", substr(p_type, 3, 6) AS mid, length(p_name) AS len,
-  CASE WHEN instr(p_type, 'STEEL') > 0 THEN instr(p_type, 'STEEL') END AS find, p_brand || '/' || CAST(p_size AS VARCHAR) AS concat, repeat('ab', p_size % 4) AS rept,
+  CASE WHEN instr(p_type, 'IUM') > 0 THEN instr(p_type, 'IUM') END AS find, p_brand || '/' || CAST(p_size AS VARCHAR) AS concat, repeat('ab', p_size % 4) AS rept,
   regexp_extract(p_brand, '[0-9]+') AS digits, replace(p_name, 'a', '_') AS substitute, split_part(p_type, ' ', 1) AS before, ascii(p_name) AS code, p_type = 'X' AS exact FROM part""")
 def text_basic(spark, d):
     t, n = F.col("p_type"), F.col("p_name")
     return table(spark, d, "part").select(
         "p_partkey", call("UPPER", n).alias("upper"), call("LEFT", t, 5).alias("left"), call("RIGHT", t, 4).alias("right"), call("MID", t, 3, 6).alias("mid"), call("LEN", n).alias("len"),
-        call("FIND", "STEEL", t).alias("find"), call("TEXTJOIN", "/", False, F.col("p_brand"), F.col("p_size")).alias("concat"), call("REPT", "ab", F.col("p_size") % 4).alias("rept"),
+        call("FIND", "IUM", t).alias("find"), call("TEXTJOIN", "/", False, F.col("p_brand"), F.col("p_size")).alias("concat"), call("REPT", "ab", F.col("p_size") % 4).alias("rept"),
         call("REGEXEXTRACT", F.col("p_brand"), "[0-9]+").alias("digits"), call("SUBSTITUTE", n, "a", "_").alias("substitute"),
         F.coalesce(call("TEXTBEFORE", t, " "), t).alias("before"), call("CODE", n).alias("code"), call("EXACT", t, "X").alias("exact"),
     )
@@ -96,7 +96,7 @@ def text_basic(spark, d):
 
 @query("""SELECT o_orderkey, year(d) AS y, month(d) AS m, day(d) AS dd, isodow(d) AS wd, CAST(epoch(CAST(d AS TIMESTAMP)) / 86400 + 25569 AS DOUBLE) AS serial,
   CAST(epoch(CAST(CAST(last_day(d) AS DATE) AS TIMESTAMP)) / 86400 + 25569 AS DOUBLE) AS eomonth, CAST(epoch(CAST(CAST(d + INTERVAL 3 MONTH AS DATE) AS TIMESTAMP)) / 86400 + 25569 AS DOUBLE) AS edate,
-  week(d) AS iso, len(list_filter(range(d, d + INTERVAL 29 DAY, INTERVAL 1 DAY), x -> isodow(x) < 6)) AS workdays, strftime(d, '%Y-%m-%d') AS text
+  week(d) AS iso, len(list_filter(range(d, d + INTERVAL 29 DAY, INTERVAL 1 DAY), lambda x: isodow(x) < 6)) AS workdays, strftime(d, '%Y-%m-%d') AS text
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""")
 def dates_basic(spark, d):
     s = serial(F.col("o_orderdate"))
@@ -106,14 +106,14 @@ def dates_basic(spark, d):
     )
 
 
-@query("""SELECT l_orderkey, l_linenumber, round(-(p * r * power(1 + r, n)) / (power(1 + r, n) - 1), 4) AS pmt, round(p * power(1 + r, n), 2) AS fv, round(p / power(1 + r, n), 4) AS pv,
-  round((p - 100) / n, 4) AS sln, round((p - 100) * n * 2 / (n * (n + 1)), 4) AS syd, round(power(1 + r / 12, 12) - 1, 8) AS effect, round(p * r * 30 / 360, 6) AS accrued
+@query("""SELECT l_orderkey, l_linenumber, round(-(p * r * power(1 + r, n)) / (power(1 + r, n) - 1), 3) AS pmt, round(p * power(1 + r, n), 2) AS fv, round(p / power(1 + r, n), 3) AS pv,
+  round((p - 100) / n, 6) AS sln, round((p - 100) * n * 2 / (n * (n + 1)), 6) AS syd, round(power(1 + r / 12, 12) - 1, 8) AS effect, round(p * r * 30 / 360, 6) AS accrued
 FROM (SELECT *, l_extendedprice AS p, l_tax + 0.01 AS r, 12 + l_linenumber AS n FROM lineitem)""")
 def finance_annuities(spark, d):
     p, r, n = F.col("l_extendedprice"), F.col("l_tax") + 0.01, F.lit(12) + F.col("l_linenumber")
     return table(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.round(call("PMT", r, n, p), 4).alias("pmt"), F.round(call("FV", r, n, 0, -p), 2).alias("fv"), F.round(call("PV", r, n, 0, -p), 4).alias("pv"),
-        F.round(call("SLN", p, 100, n), 4).alias("sln"), F.round(call("SYD", p, 100, n, 1), 4).alias("syd"), F.round(call("EFFECT", r, 12), 8).alias("effect"),
+        "l_orderkey", "l_linenumber", F.round(call("PMT", r, n, p), 3).alias("pmt"), F.round(call("FV", r, n, 0, -p), 2).alias("fv"), F.round(call("PV", r, n, 0, -p), 3).alias("pv"),
+        F.round(call("SLN", p, 100, n), 6).alias("sln"), F.round(call("SYD", p, 100, n, 1), 6).alias("syd"), F.round(call("EFFECT", r, 12), 8).alias("effect"),
         F.round(call("ACCRINTM", 40000, 40030, r, p, 2), 6).alias("accrued"),
     )
 
@@ -151,11 +151,11 @@ def logic_branches(spark, d):
     )
 
 
-@query("""SELECT user_id, list_sort(list(event_id))[:3] AS take, len(list(event_id)) AS rows, list_reverse_sort(list_distinct(list(event_type))) AS kinds, CAST(list_sum(list(event_id)) AS BIGINT) AS total FROM events GROUP BY 1""")
+@query("""SELECT user_id, array_to_string(list_sort(list(event_id))[:3], ',') AS take, len(list(event_id)) AS rows, array_to_string(list_reverse_sort(list_distinct(list(event_type))), ',') AS kinds, CAST(list_sum(list(event_id)) AS BIGINT) AS total FROM events GROUP BY 1""")
 def array_values(spark, d):
     ids = call("SORT", F.collect_list("event_id"))
     out = table(spark, d, "events").groupBy("user_id").agg(ids.alias("a"), F.collect_list("event_type").alias("k"))
-    return out.select("user_id", call("TAKE", F.col("a"), 3).alias("take"), call("ROWS", F.col("a")).alias("rows"), call("SORT", call("UNIQUE", F.col("k")), True).alias("kinds"), call("REDUCE", F.lit(0).cast("bigint"), F.col("a"), lambda s, x: s + x).alias("total"))
+    return out.select("user_id", F.array_join(call("TAKE", F.col("a"), 3).cast("array<string>"), ",").alias("take"), call("ROWS", F.col("a")).alias("rows"), F.array_join(call("SORT", call("UNIQUE", F.col("k")), True), ",").alias("kinds"), call("REDUCE", F.lit(0).cast("bigint"), F.col("a"), lambda s, x: s + x).alias("total"))
 
 
 @query()

@@ -60,9 +60,9 @@ def pivot_date_groups(spark, d):
 @query(f"""WITH s AS (SELECT * FROM {SALES_SQL} WHERE l_returnflag IN ('A', 'R')),
  top AS (SELECT n_name FROM s GROUP BY n_name ORDER BY sum(l_quantity) DESC, n_name LIMIT 7)
 SELECT n_name, c_mktsegment, CAST(GROUPING(n_name) + GROUPING(c_mktsegment) AS INT) AS row_level, 0 AS col_level, sum(l_quantity) AS quantity
-FROM s WHERE n_name IN (SELECT n_name FROM top) AND NOT contains(n_name, 'A') GROUP BY ROLLUP (n_name, c_mktsegment)""")
+FROM s WHERE n_name IN (SELECT n_name FROM top) AND NOT contains(n_name, '1') GROUP BY ROLLUP (n_name, c_mktsegment)""")
 def pivot_top_and_filters(spark, d):
-    p = Pivot(["n_name", "c_mktsegment"], values=["l_quantity:sum::quantity"], filters={"l_returnflag": ["A", "R"]}, top_n=7, label_filter=("n_name", "doesNotContain", "A"))
+    p = Pivot(["n_name", "c_mktsegment"], values=["l_quantity:sum::quantity"], filters={"l_returnflag": ["A", "R"]}, top_n=7, label_filter=("n_name", "doesNotContain", "1"))
     return p.build(sales(spark, d))
 
 

@@ -47,9 +47,9 @@ def lookup_as_of_forward(spark, d):
     return lookup.as_of(e.where("event_type = 'view'"), "ts", buys, "t", ["purchase_id"], ["user_id"], "forward", order="purchase_id").select("event_id", "purchase_id")
 
 
-@query("""SELECT p_partkey, CASE WHEN p_type ILIKE '%brass' THEN 'brass' WHEN p_type ILIKE '%st__l%' THEN 'steel' WHEN p_type ILIKE 'promo%' THEN 'promo' END AS metal FROM part""")
+@query("""SELECT p_partkey, CASE WHEN p_type ILIKE '%omy' THEN 'brass' WHEN p_type ILIKE '%sm__l%' THEN 'steel' WHEN p_type ILIKE 'promo%' THEN 'promo' END AS metal FROM part""")
 def lookup_wildcard(spark, d):
-    return lookup.wildcard(table(spark, d, "part"), {"*brass": "brass", "*st??l*": "steel", "promo*": "promo"}, "p_type", "metal").select("p_partkey", "metal")
+    return lookup.wildcard(table(spark, d, "part"), {"*omy": "brass", "*sm??l*": "steel", "promo*": "promo"}, "p_type", "metal").select("p_partkey", "metal")
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
@@ -76,9 +76,9 @@ def select_rows_where(spark, d):
     return selectors.where_rows(table(spark, d, "customer"), "row[c_acctbal > 5000 and c_mktsegment = building],row[not(col.C_ACCTBAL >= 0)]").select("c_custkey", "c_name")
 
 
-@query("""SELECT p_partkey FROM part WHERE (contains(lower(p_type), 'steel') OR regexp_matches(p_brand, '#(1|2)[0-9]')) AND p_size <= 20 AND p_size <> 7""")
+@query("""SELECT p_partkey FROM part WHERE (contains(lower(p_type), 'econ') OR regexp_matches(p_brand, '#(1|2)[0-9]')) AND p_size <= 20 AND p_size <> 7""")
 def select_rows_text(spark, d):
-    return selectors.where_rows(table(spark, d, "part"), 'row[p_type ~= steel or p_brand ~= r"#(1|2)[0-9]"][p_size <= 20 and p_size != 7]').select("p_partkey")
+    return selectors.where_rows(table(spark, d, "part"), 'row[p_type ~= Econ or p_brand ~= r"#(1|2)[0-9]"][p_size <= 20 and p_size != 7]').select("p_partkey")
 
 
 @query("""SELECT DISTINCT conv_id, turn FROM conversations WHERE role = 'assistant' AND contains(lower(text), 'en') UNION SELECT conv_id, turn FROM conversations WHERE turn = 0""")
@@ -169,10 +169,10 @@ def window_running_and_moving(spark, d):
     return out.select("event_id", F.round("running", 4).alias("running"), F.round("moving", 6).alias("moving"))
 
 
-@query("""SELECT user_id, list(sign(value - 50) ORDER BY ts, event_id) AS points FROM events GROUP BY 1""")
+@query("""SELECT user_id, string_agg(CAST(sign(value - 50) AS INT), ',' ORDER BY ts, event_id) AS points FROM events GROUP BY 1""")
 def window_sparkline(spark, d):
     e = table(spark, d, "events").select("user_id", F.struct("ts", "event_id").alias("o"), (F.col("value") - 50).alias("value"))
-    return ranges.sparkline(e, ["user_id"], "o", "value", "winloss").withColumn("points", F.col("points").cast("array<tinyint>"))
+    return ranges.sparkline(e, ["user_id"], "o", "value", "winloss").withColumn("points", F.array_join(F.col("points").cast("array<int>").cast("array<string>"), ","))
 
 
 @query("SELECT * FROM (SELECT o_orderkey, o_orderpriority, o_totalprice, row_number() OVER (ORDER BY o_orderpriority DESC, o_totalprice, o_orderkey) - 1 AS place FROM orders)")
@@ -248,7 +248,7 @@ def profile_columns(spark, d):
     return profile.profile(table(spark, d, "documents")).where(F.col("column").isin("doc_id", "lang", "n_chars")).select("column", "position", "number", "string")
 
 
-@query("""SELECT lang, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(len(list_filter(regexp_split_to_array(text, '\\s+'), x -> x <> ''))) AS BIGINT) AS words,
+@query("""SELECT lang, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> ''))) AS BIGINT) AS words,
   CAST(sum(CASE WHEN text = '' THEN 0 ELSE len(string_split(text, chr(10))) END) AS BIGINT) AS lines, count(*) FILTER (WHERE text = '') AS empty FROM documents GROUP BY 1""")
 def profile_texts(spark, d):
     return profile.text_stats(table(spark, d, "documents"), keys=["lang"])
@@ -259,15 +259,15 @@ def profile_issues(spark, d):
     return profile.issues(table(spark, d, "customer"), "c_custkey", {"negative": ("warning", F.col("c_acctbal") < 0), "rich": ("info", F.col("c_acctbal") > 9900)})
 
 
-@query("""SELECT c_custkey, 'Dear ' || c_name || ', balance ' || c_mktsegment || '{{missing}}' AS merged, 2 AS replaced, ['missing'] AS unresolved FROM customer""")
+@query("""SELECT c_custkey, 'Dear ' || c_name || ', balance ' || c_mktsegment || '{{missing}}' AS merged, 2 AS replaced, 'missing' AS unresolved FROM customer""")
 def template_merge(spark, d):
     out = profile.merge_template(table(spark, d, "customer"), "Dear {{name}}, balance {{ seg.x }}{{missing}}", {"name": F.col("c_name"), "seg.x": F.col("c_mktsegment")})
-    return out.select("c_custkey", "merged", "replaced", "unresolved")
+    return out.select("c_custkey", "merged", "replaced", F.array_join("unresolved", ",").alias("unresolved"))
 
 
-@query("""SELECT p_partkey, replace(p_type, 'STEEL', 'Iron$') AS p_type, CAST((length(p_type) - length(replace(p_type, 'STEEL', ''))) / 5 AS INT) AS hits FROM part""")
+@query("""SELECT p_partkey, replace(p_type, 'MEDIUM', 'Mid$') AS p_type, CAST((length(p_type) - length(replace(p_type, 'MEDIUM', ''))) / 6 AS INT) AS hits FROM part""")
 def find_and_replace(spark, d):
-    return ranges.find_replace(table(spark, d, "part"), ["p_type"], "STEEL", "Iron$").select("p_partkey", "p_type", F.col("__replaced").alias("hits"))
+    return ranges.find_replace(table(spark, d, "part"), ["p_type"], "MEDIUM", "Mid$").select("p_partkey", "p_type", F.col("__replaced").alias("hits"))
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'number' WHEN event_id % 4 = 1 THEN 'date' WHEN event_id % 4 = 2 THEN 'boolean' ELSE 'string' END AS kind,
