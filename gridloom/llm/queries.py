@@ -91,6 +91,50 @@ FROM c GROUP BY conv_id
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Shingles as strings, links by counting shared ones, components by a recursive closure.
+_NEAR_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS g FROM w
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(least.b, w.doc_id)) AS component_id,
+       w.doc_id = least(w.doc_id, coalesce(least.b, w.doc_id)) AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least ON w.doc_id = least.a
+"""
+
+#: Windows as strings, joined on their text; runs of hit words by gaps and islands.
+_BENCHMARK_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS l,
+           unnest([array_to_string(w[i:i + least(len(w), 13) - 1], ' ') FOR i IN range(1, greatest(len(w) - 12, 1) + 1)]) AS g
+    FROM b WHERE len(w) > 0
+),
+dw AS (
+    SELECT doc_id, l, unnest(range(0, len(w) - l + 1)) AS p, unnest([array_to_string(w[i:i + l - 1], ' ') FOR i IN range(1, len(w) - l + 2)]) AS g
+    FROM d, (SELECT DISTINCT l FROM win) WHERE len(w) >= l
+),
+m AS (SELECT doc_id, dw.l, p, item_id FROM dw JOIN win ON dw.g = win.g AND dw.l = win.l),
+hit AS (SELECT DISTINCT doc_id, unnest(range(p, p + l)) AS pos FROM m),
+island AS (SELECT doc_id, min(pos) AS first, count(*) AS n FROM (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM hit) GROUP BY doc_id, k),
+longest AS (SELECT doc_id, max(n) AS n, arg_min(first, (-n, first)) AS first FROM island GROUP BY doc_id),
+hits AS (SELECT doc_id, count(*) AS n FROM hit GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated, coalesce(x.n, 0) AS longest_match, x.first AS longest_start
+FROM d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id LEFT JOIN longest x ON d.doc_id = x.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_byte_bpe,
@@ -108,4 +152,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat": _CHAT_SQL}
+    return {"op4_near_duplicates": _NEAR_SQL, "op5_chat": _CHAT_SQL, "op8_decontamination": _BENCHMARK_SQL}

@@ -82,10 +82,11 @@ def remove_repeated_spans(docs: DataFrame, *, span: int = 2, least_words: int =
         F.xxhash64("text").alias("tid"),
     )
     runs = stage_table(_runs(docs.select("sid", "tid", "text"), span, least_words, slice_bytes), "runs")
-    again = runs.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # written, so that the join that follows is free to split a common run's rows among tasks
+    again = stage_table(runs.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "again")
     met = stage_table(runs.join(again, "hash"), "met")
     place = F.struct("sid", "tid", "first")
-    earliest = met.groupBy("hash").agg(F.min(place).alias("earliest"))
+    earliest = stage_table(met.groupBy("hash").agg(F.min(place).alias("earliest")), "earliest")
     later = met.join(earliest, "hash").where(place != F.col("earliest"))
     covered = later.groupBy("sid", "tid").agg(F.collect_set(F.struct("first", "last")).alias("covered"))
     joined = docs.join(covered, ["sid", "tid"], "left").select("doc_id", "text", F.coalesce("covered", F.array().cast(covered.schema["covered"].dataType)).alias("covered"))
