@@ -1,3 +1,3 @@
 """Imports the modules that register queries."""
 
-from gridloom.plans import function_queries, pivot_queries, range_queries  # noqa: F401
+from gridloom.plans import function_queries, more_queries, pivot_queries, range_queries  # noqa: F401
