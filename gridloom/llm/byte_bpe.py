@@ -147,7 +147,7 @@ class Codec:
 
 
 def encode(
-    docs: DataFrame, codec: Codec, *, text_col: str = "text", out_col: str = "ids", frequent_words: int = 300_000
+    docs: DataFrame, codec: Codec, *, text_col: str = "text", out_col: str = "ids", frequent_words: int = 200_000
 ) -> DataFrame:
     """``docs`` with ``out_col``, the token ids (array<bigint>) of the whole text; special tokens do not exist.
 
