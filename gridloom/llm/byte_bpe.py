@@ -15,6 +15,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import stage_table
+
 #: ``\s`` of Unicode's White_Space property, spelled out because Java's ``\s`` is ASCII only.
 _SPACE = r"\u0009-\u000D\u0020\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 _SHIFT = 17  # bits of an id
@@ -114,32 +116,34 @@ class Codec:
         folded = _let(_let(ids, start), lambda s: F.aggregate(F.slice(s, F.lit(2), F.size(s)), s, step))
         return F.transform(folded, id_of)
 
-    def frequent(self, docs: DataFrame, text_col: str, most: int) -> Column:
-        """The literal of known words: the vocabulary's own pieces and the ``most`` most frequent words.
+    def known(self, docs: DataFrame, text_col: str, most: int) -> tuple[Column, int]:
+        """(literal of known words' ids in hash chains, number of chains).
 
-        Both are bounded by parameters. The literal only saves work: a word it lacks is folded in place.
+        Known are the vocabulary's own pieces, each one token as a whole, and the most frequent words, at
+        most ``most`` of them. The literal only saves work: a word it lacks is folded in place. It is put
+        together by Spark, as JSON, so that the driver holds one string of bounded size.
         """
-        counted = (
-            docs.select(F.explode(self.words(F.col(text_col))).alias("word")).groupBy("word").count()
-        )
-        top = counted.orderBy(F.desc("count"), "word").limit(most).select("word")
+        spark, size = docs.sparkSession, most
+        counts = docs.select(F.explode(self.words(F.col(text_col))).alias("word")).groupBy("word").count()
+        counts = stage_table(counts.where("count > 1"), "words")
+        octave = F.floor(F.log2("count") * 8)
+        held, least = 0, None
+        for r in counts.groupBy(octave.alias("o")).agg(F.count("*").alias("n"), F.min("count").alias("c")).orderBy(F.desc("o")).collect():
+            held += r.n
+            if held > most:
+                break
+            least = r.c
+        frequent = counts.where(F.col("count") >= least if least else F.lit(False)).select("word")
+        one = spark.range(1)
+        pieces = one.select(F.posexplode(self.pieces()).alias("rank", "word")).where(F.is_valid_utf8("word") & (F.col("word") != ""))
+        pieces = pieces.select("word", F.array(F.col("rank").cast("bigint")).alias("ids"))
         folded = _let(self.rank_map(), lambda pairs: self.fold(F.col("word"), pairs))
-        rows = {r["word"]: r["ids"] for r in top.repartition(8).select("word", folded.alias("ids")).collect()}
-        for piece, rank in self.ranks.items():
-            try:
-                rows[piece.decode("utf-8")] = [rank]  # a piece of the vocabulary is one token as a whole
-            except UnicodeDecodeError:
-                pass
-        return rows
-
-    def known(self, spark, rows: dict[str, list[int]]) -> Column:
-        size = max(1, len(rows))
-        words = spark.createDataFrame([(w,) for w in rows], "word string")
-        chain = {r[0]: r[1] for r in words.select("word", self._slot(F.col("word"), size)).collect()}
-        chains: list[list] = [[] for _ in range(size)]
-        for word, ids in rows.items():
-            chains[chain[word]].append({"w": word, "i": ids})
-        return F.from_json(F.lit(json.dumps(chains, ensure_ascii=False)), "array<array<struct<w:string,i:array<bigint>>>>")
+        rows = frequent.join(pieces.select("word"), "word", "left_anti").select("word", folded.alias("ids")).unionByName(pieces)
+        chains = rows.groupBy(self._slot(F.col("word"), size).alias("slot")).agg(F.collect_list(F.struct(F.col("word").alias("w"), F.col("ids").alias("i"))).alias("chain"))
+        chains = spark.range(size).withColumnRenamed("id", "slot").join(chains, "slot", "left")
+        whole = F.array_sort(F.collect_list(F.struct("slot", F.coalesce("chain", F.array().cast("array<struct<w:string,i:array<bigint>>>")).alias("chain"))))
+        text = chains.agg(F.to_json(F.transform(whole, lambda e: e["chain"])).alias("json")).first()[0]
+        return F.from_json(F.lit(text), "array<array<struct<w:string,i:array<bigint>>>>"), size
 
     @staticmethod
     def _slot(word: Column, size: int) -> Column:
@@ -147,7 +151,7 @@ class Codec:
 
 
 def encode(
-    docs: DataFrame, codec: Codec, *, text_col: str = "text", out_col: str = "ids", frequent_words: int = 200_000
+    docs: DataFrame, codec: Codec, *, text_col: str = "text", out_col: str = "ids", frequent_words: int = 120_000
 ) -> DataFrame:
     """``docs`` with ``out_col``, the token ids (array<bigint>) of the whole text; special tokens do not exist.
 
@@ -156,8 +160,7 @@ def encode(
     square of its length, any number of matches in proportion to their number.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = codec.frequent(docs.select(text.alias("text")), "text", frequent_words)
-    known, size = codec.known(docs.sparkSession, rows), max(1, len(rows))
+    known, size = codec.known(docs.select(text.alias("text")), "text", frequent_words)
 
     def ids_of(word: Column, literals: Column) -> Column:
         chain = F.filter(F.get(literals["known"], codec._slot(word, size)), lambda e: e["w"] == word)
