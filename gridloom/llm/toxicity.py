@@ -63,7 +63,7 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(self.matrix(dense, found) @ self.weights, -30, 30)))
 
 
-def fit_linear(dense: np.ndarray, found: list[np.ndarray], label: np.ndarray, *, most_words: int = 400, chance: float = 0.5, ridge: float = 0.2) -> Linear:
+def fit_linear(dense: np.ndarray, found: list[np.ndarray], label: np.ndarray, *, most_words: int = 300, chance: float = 0.5, ridge: float = 0.2) -> Linear:
     """Choose words by evidence, then fit by Newton's method with a ridge.
 
     A word's evidence is its count times the divergence of its label rate from the overall one; of words
@@ -89,7 +89,11 @@ def fit_linear(dense: np.ndarray, found: list[np.ndarray], label: np.ndarray, *,
     penalty[0], penalty[1 : 1 + dense.shape[1]] = 0, 10 * ridge
     for _ in range(20):
         p = 1 / (1 + np.exp(-np.clip(x @ model.weights, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-6), x.T @ (label - p) - penalty * model.weights)
+        spread = np.zeros((x.shape[1], x.shape[1]))
+        for i in range(0, len(x), 1000):  # in slices, as a weighted copy of the matrix would double it
+            part = x[i : i + 1000]
+            spread += (part * (p * (1 - p))[i : i + 1000, None]).T @ part
+        step = np.linalg.solve(spread + np.diag(penalty + 1e-6), x.T @ (label - p) - penalty * model.weights)
         model.weights = model.weights + step
         if np.abs(step).max() < 1e-6:
             break
@@ -128,7 +132,7 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh3_64_intdigest(w) for w in set(words)], np.uint64))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000, folds: int = 5) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = 5_000, folds: int = 5) -> Chain:
     """Fit the categories low_quality, then toxic, on at most ``sample`` labelled documents.
 
     The sample takes the labelled ids of least hash; a larger labels table changes which documents are
@@ -156,7 +160,9 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000, folds: in
     dense = np.array([r.dense for r in got]).reshape(-1, DENSE)
     found = [np.frombuffer(r.found, np.uint64) for r in got]
     y = np.array([(r.low_quality, r.toxic) for r in got]).reshape(-1, 2)
-    return fit_chain(("low_quality", "toxic"), dense, found, y, np.array([r.doc_id % folds for r in got]))
+    own_fold = np.array([r.doc_id % folds for r in got])
+    del got  # the rows' other forms need not stay while the chain is fitted
+    return fit_chain(("low_quality", "toxic"), dense, found, y, own_fold)
 
 
 def _scored(docs: DataFrame, chain: Chain, key: str, slice_bytes: int) -> DataFrame:
@@ -189,7 +195,7 @@ def _scored(docs: DataFrame, chain: Chain, key: str, slice_bytes: int) -> DataFr
     return docs.mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"`{c}` double" for c in chain.categories))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, sample: int = 12_000, slice_bytes: int = 4 << 20) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, sample: int = 5_000, slice_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, the categories' probabilities in the chain's order, and whether the document is toxic.
 
     Whole texts count; a null or empty text has no words. Rows that repeat and null ids are scored like
@@ -200,7 +206,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5
     return scored.select("doc_id", *[F.col(c).alias(f"p_{c}") for c in chain.categories], (F.col("toxic") >= threshold).alias("toxic"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, sample: int = 12_000, slice_bytes: int = 4 << 20) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, sample: int = 5_000, slice_bytes: int = 4 << 20) -> DataFrame:
     """``docs`` without the toxic rows; all columns stay, and no join is needed."""
     chain = train(docs, labels, sample=sample)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text").alias("__text"))
