@@ -30,6 +30,14 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Delete a table of ``stage_table`` that no later step reads."""
+    files = staged.inputFiles()
+    if files:
+        path = staged.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        path.getFileSystem(staged.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

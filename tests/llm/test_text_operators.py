@@ -317,6 +317,32 @@ def test_sentence_spans(spark, none):
     assert remove_repeated_spans(none).count() == 0
 
 
+def test_passages_of_words_by_brute_force(spark):
+    """Every window of 51 words but its first occurrence goes, wherever sentences end; other words stay."""
+    rng = random.Random(12)
+    vocabulary = [a + b for a in WORDS for b in WORDS]
+    some = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    long, mid, edge, short = some(101), some(82), some(51), some(50)
+    texts = [long, long, f"{some(9)} {mid} {some(40)}", f"{some(60)}, {mid.upper()} {some(5)}", f"{some(30)} {edge}", f"{edge} {some(30)}", f"{short} {some(9)}", f"{some(9)} {short}"]
+    texts += [f"{some(20)} {long[len(long) // 3:]} {mid} {some(3)}", " ".join(["again and"] * 90), f"{some(70)} ", None, "", "İ " + long, f"{some(8)}. Then {mid.replace(' ', ', ')}. {some(8)}."]
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    seen, want = {}, {}
+    for i, t in enumerate(texts):
+        w = words(t)
+        stay = [True] * len(w)
+        for p in range(len(w) - 50):
+            d, q = seen.setdefault(tuple(w[p : p + 51]), (i, p))
+            for x in range(max(p, q + 51) if d == i else p, p + 51):
+                stay[x] = (d, q) == (i, p) and stay[x]
+        want[i] = [x for x, s in zip(w, stay) if s]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in remove_repeated_spans(frame).collect()}
+    assert {i: words(r.text) for i, r in got.items()} == want
+    assert want[1] == [] and got[1].text == "" and len(want[3]) == 65 and len(want[5]) == 30 and len(want[7]) == 59 and len(want[9]) == 51
+    assert all(r.removed_chars == len(texts[i] or "") - len(r.text or "") and (r.n_removed > 0) == (r.removed_chars > 0) for i, r in got.items())
+    assert all(got[i].text == texts[i] for i in (0, 2, 4, 6, 7, 10, 11, 12))
+
+
 def test_toxicity(spark, none):
     rng = random.Random(4)
     bad = ["vile", "nasty"]
