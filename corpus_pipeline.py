@@ -24,8 +24,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest doc_id."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near copies (0.8 of their shingles or more) stays, that of the smallest doc_id."""
+    return drop_near_duplicates(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,3 +12,14 @@ def test_stages_over_the_smallest_tables(spark):
     assert out.select("doc_id").distinct().count() == out.count() < docs.count()
     assert out.where("decoded <> text or n_tokens <> size(ids)").count() == 0
     assert out.where("text rlike '[a-z0-9.]+@[a-z0-9]+[.](com|org)'").count() == 0
+
+
+def test_near_duplicates_at_eight_tenths(spark):
+    """Copies of 0.82 go with those of 0.98, one of 0.79 stays."""
+    words = [f"w{i}" for i in range(1004)]  # 1,000 shingles
+    copy = lambda n, tag: " ".join([tag + w if i < n else w for i, w in enumerate(words)])
+    texts = [copy(0, ""), copy(99, "a"), copy(117, "b"), copy(10, "c")]  # 901 / 1099, 883 / 1117, 990 / 1010
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert sorted(r.doc_id for r in stage(spark, docs, "").collect()) == [0, 2]
