@@ -139,3 +139,17 @@ def test_fits(spark):
     grow = spark.createDataFrame([(float(i), 3.0 * 1.5**i) for i in range(6)], "t double, v double")
     r = linear_fit(grow, [], "v", ["t"], logs=True).first()
     assert (r.t, r.intercept) == pytest.approx((1.5, 3.0))
+
+
+def test_datedif_over_month_ends(spark):
+    """Years and months between all days around month ends, by the reference's borrowing rule."""
+    import datetime as dt
+
+    ends = [dt.date(y, m, d) for y in (2019, 2020, 2021) for m in (1, 2, 3, 4, 12) for d in (1, 27, 28, 29, 30, 31) if not (m == 2 and d > 28 + (y == 2020) or m == 4 and d == 31)]
+    pairs = [((a - dt.date(1899, 12, 30)).days, (b - dt.date(1899, 12, 30)).days, a, b) for a in ends for b in ends if a <= b]
+    rows = spark.createDataFrame(pairs, "a int, b int, x date, y date")
+    got = rows.select("x", "y", call("DATEDIF", F.col("a"), F.col("b"), "Y").alias("years"), call("DATEDIF", F.col("a"), F.col("b"), "M").alias("months")).collect()
+    for r in got:
+        months = (r.y.year - r.x.year) * 12 + r.y.month - r.x.month - (r.y.day < r.x.day)
+        assert (r.years, r.months) == (months // 12, months), (r.x, r.y)
+    assert len(got) == len(pairs)
