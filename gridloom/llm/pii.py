@@ -2,15 +2,18 @@
 
 Strict patterns find the base spans, which always stay. Looser patterns propose further candidates. For
 every candidate regex, gazetteer and context labelers vote; the votes' patterns are counted over the whole
-corpus, expectation-maximisation turns them into reliabilities and soft labels, and a logistic span
-classifier trained on the counted patterns decides which further candidates are spans. Only counts of
-patterns, whose number is bounded by the labelers and feature bins, reach the driver.
+corpus, and expectation-maximisation, kind by kind, turns those of the further candidates into
+reliabilities and soft labels. A logistic span classifier trained on them, with the base spans as certain
+ones, decides which further candidates are spans. Every kind weighs the same, however often it occurs and
+however large the corpus is, so shares of patterns matter and counts do not. Only counts of patterns,
+whose number is bounded by the labelers and feature bins, reach the driver.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +39,7 @@ _HANDLE = re.compile(r"(?<![A-Za-z0-9._%+-])@[A-Za-z0-9_]{3,30}(?![A-Za-z0-9_.-]
 _NUMBER = re.compile(r"(?<![0-9A-Za-z+])[0-9](?:[\x20./()-]?[0-9]){6,}(?![0-9A-Za-z])")
 # Gazetteers, fixed values.
 _ISSUERS = ("34", "37", "4", "51", "52", "53", "54", "55", "6011", "62", "65")
-_KEY_WORDS = {"secret": ("token", "key", "secret", "password", "passwd", "pwd", "bearer", "auth", "credential"), "email": ("mail", "e-mail", "contact", "write", "reply"), "ip": ("ip", "host", "server", "address", "login"), "card": ("card", "visa", "account", "credit", "payment"), "phone": ("phone", "tel", "call", "mobile", "fax"), "handle": ("follow", "twitter", "user", "account", "by"), "number": ("ssn", "passport", "tax", "iban", "id", "account", "insurance")}
+_KEY_WORDS = {"secret": ("token", "key", "secret", "password", "passwd", "passphrase", "pwd", "bearer", "auth", "credential", "signature", "cookie", "session"), "email": ("mail", "e-mail", "contact", "write", "reply"), "ip": ("ip", "host", "server", "address", "login"), "card": ("card", "visa", "account", "credit", "payment"), "phone": ("phone", "tel", "call", "mobile", "fax"), "handle": ("follow", "twitter", "user", "account", "by"), "number": ("ssn", "passport", "tax id", "iban", "id:", "id ", "account", "insurance", "licence no", "license no", "social security")}
 _DOMAIN_ENDS = ("com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "info", "eu", "co")
 _HARMLESS = ("version", "page", "isbn", "chapter", "figure", "section", "http", "doi", "commit", "sha", "md5", "license", "=\"data:")
 
@@ -79,13 +82,21 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def proposals(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Further candidates of the looser patterns that overlap neither the base spans nor each other."""
     out: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int]] = []  # disjoint stretches, sorted
+    for a, b, _ in base:
+        if taken and a < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
+        else:
+            taken.append((a, b))
     for kind, pattern in (("secret", _SECRET), ("handle", _HANDLE), ("number", _NUMBER)):
         if kind == "handle" and "@" not in text:
             continue
         for m in pattern.finditer(text):
             if kind == "secret" and not (any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])):
                 continue
-            if all(m.end() <= a or b <= m.start() for a, b, _ in base) and all(m.end() <= a or b <= m.start() for a, b, _ in out):
+            at = bisect(taken, m.span())
+            if (at == 0 or taken[at - 1][1] <= m.start()) and (at == len(taken) or m.end() <= taken[at][0]):
+                insort(taken, m.span())
                 out.append((m.start(), m.end(), kind))
     return sorted(out)
 
@@ -97,6 +108,8 @@ def _regex_vote(kind: str, value: str, base: bool) -> int:
         return 1 if re.fullmatch(r"[0-9a-f]{32,}|[A-Za-z0-9_+/=-]*[0-9][A-Za-z0-9_+/=-]*", value) and len(set(value)) >= 10 else -1
     if kind == "number":
         return 1 if re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", value) else -1
+    if kind == "handle":
+        return 1 if any(c.isdigit() or c == "_" for c in value) else 0
     return 0
 
 
@@ -145,20 +158,21 @@ def describe(text: str, start: int, end: int, kind: str, base: bool) -> tuple[tu
         0 if not near or near.isspace() else 1 if near in "\"'=:(" else 2,
         _bin(len(set(value)), (4, 8, 12)),
         int(value.lower() == value),
+        *(v + 1 for v in votes[:4]),
     )
     return votes, features
 
 
 @dataclass
 class SpanModel:
-    """Reliabilities of the labelers, and the classifier's weights over one-hot features."""
+    """Reliabilities of the labelers by kind, and the classifier's weights over one-hot features."""
 
-    reliabilities: np.ndarray  # [label, labeler, vote + 1]
-    prior: float
+    reliabilities: dict[str, np.ndarray]  # kind to [label, labeler, vote + 1]
+    priors: dict[str, float]
     weights: np.ndarray
     threshold: float = 0.5
 
-    SIZES = (len(KINDS), 5, 4, 3, 4, 2)
+    SIZES = (len(KINDS), 5, 4, 3, 4, 2, 3, 3, 3, 3)
 
     @staticmethod
     def rows(features: np.ndarray) -> np.ndarray:
@@ -173,18 +187,25 @@ class SpanModel:
         return 1 / (1 + np.exp(-self.rows(np.array(features)) @ self.weights))
 
 
+#: Weight of one kind's candidates, whatever their number; what EM starts from weighs a good part of it.
+MASS = 200.0
+_BELIEF = 10.0 * np.array([[3.0, 2.0, 1.0], [1.0, 2.0, 3.0]])  # [label, vote + 1]: votes are right more often than wrong
+
+
 def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, float]:
-    """(soft label of each pattern, reliabilities [label, labeler, vote + 1], prior), from a majority start.
+    """(soft label of each pattern, reliabilities [label, labeler, vote + 1], prior) of one kind's candidates.
 
-    Labelers are taken as independent given the label; counts are smoothed so that none becomes certain.
+    Labelers are taken as independent given the label. Counts are scaled to ``MASS``, and the belief that
+    votes are right more often than wrong counts as so many votes, which fixes the labels' meaning.
     """
-    soft = np.clip(0.5 + 0.25 * votes.sum(1), 0.05, 0.95)
+    weights = counts / counts.sum() * MASS
+    soft = 1 / (1 + np.exp(1.0 - 1.2 * votes.sum(1)))
     table, prior = np.zeros((2, votes.shape[1], 3)), 0.5
     for _ in range(rounds):
-        weight = np.stack([(1 - soft) * counts, soft * counts])
-        prior = float((weight[1].sum() + 1) / (counts.sum() + 2))
+        own = np.stack([(1 - soft) * weights, soft * weights])
+        prior = float((own[1].sum() + 10) / (MASS + 30))
         for v in (-1, 0, 1):
-            table[:, :, v + 1] = weight @ (votes == v) + 1.0
+            table[:, :, v + 1] = own @ (votes == v) + _BELIEF[:, v + 1, None]
         table /= table.sum(2, keepdims=True)
         odds = np.log(prior / (1 - prior)) + sum(np.log(table[1, j, votes[:, j] + 1] / table[0, j, votes[:, j] + 1]) for j in range(votes.shape[1]))
         soft = 1 / (1 + np.exp(-odds))
@@ -192,20 +213,28 @@ def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int
 
 
 def fit(patterns: list[tuple[tuple[int, ...], tuple[int, ...], int]], ridge: float = 1.0) -> SpanModel:
-    """Train on counted (votes, features, count) patterns; without any, a model that adds nothing."""
+    """Train on counted (votes, features, count) patterns; without further candidates, a model that adds nothing."""
     width = 1 + sum(SpanModel.SIZES) + len(KINDS) * 5
+    model = SpanModel({}, {}, np.zeros(width) - 1.0)
     if not patterns:
-        return SpanModel(np.full((2, 5, 3), 1 / 3), 0.0, np.zeros(width) - 1.0)
+        return model
     votes, features = np.array([p[0] for p in patterns]), np.array([p[1] for p in patterns])
     counts = np.array([p[2] for p in patterns], float)
-    soft, table, prior = expectation_maximisation(votes, counts)
+    soft, weights = np.ones(len(counts)), np.zeros(len(counts))
+    for k, kind in enumerate(KINDS):
+        own = features[:, 0] == k
+        if not own.any():
+            continue
+        weights[own] = counts[own] / counts[own].sum() * MASS
+        if kind not in BASE:
+            soft[own], model.reliabilities[kind], model.priors[kind] = expectation_maximisation(votes[own], counts[own])
     x, w = SpanModel.rows(features), np.zeros(width)
-    scale = counts / counts.sum() * min(counts.sum(), 1e5)
     for _ in range(25):  # Newton steps on the weighted soft labels
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (scale * (soft - p)) - ridge * w
-        w = w + np.linalg.solve((x * (scale * p * (1 - p))[:, None]).T @ x + ridge * np.eye(width), gradient)
-    return SpanModel(table, prior, w)
+        gradient = x.T @ (weights * (soft - p)) - ridge * w
+        w = w + np.linalg.solve((x * (weights * p * (1 - p))[:, None]).T @ x + ridge * np.eye(width), gradient)
+    model.weights = w
+    return model
 
 
 def train(docs: DataFrame, text_col: str = "text", slice_bytes: int = 8 << 20) -> SpanModel:
@@ -247,7 +276,7 @@ def _listed(spans: list[tuple[int, int, str]]) -> str:
 
 
 def find_personal_data(docs: DataFrame, model: SpanModel | None = None, *, slice_bytes: int = 8 << 20) -> DataFrame:
-    """One row per document: counts of the base kinds, a digest of the base spans, and all spans.
+    """One row per document: counts of the base kinds, a digest of the base spans, all spans and their number.
 
     Spans are kind:start:end in code points, end exclusive, by start. A null or empty text has no spans.
     Rows that repeat, null ids and further columns change nothing. Without a ``model`` one is trained on
@@ -257,18 +286,19 @@ def find_personal_data(docs: DataFrame, model: SpanModel | None = None, *, slice
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", slice_bytes):
-            counts, digests, listed = [], [], []
+            counts, digests, listed, numbers = [], [], [], []
             for text in batch.column("text").to_pylist():
                 base, every = spans_of(text or "", model)
                 kinds = Counter(k for _, _, k in base)
                 counts.append([kinds[k] for k in BASE])
                 digests.append(hashlib.sha256(_listed(base).encode()).hexdigest())
                 listed.append(_listed(every))
+                numbers.append(len(every))
             columns = [pa.array([c[j] for c in counts], pa.int64()) for j in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, pa.array(digests, pa.string()), pa.array(listed, pa.string())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, pa.array(digests, pa.string()), pa.array(listed, pa.string()), pa.array(numbers, pa.int64())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_spans bigint")
 
 
 def redact(text: str | None, model: SpanModel) -> str | None:
