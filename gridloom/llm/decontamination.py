@@ -1,9 +1,10 @@
 """Benchmark decontamination with suffix arrays over shards of the training documents.
 
 Each task cuts its documents into shards, turns their words into ids of the benchmark's vocabulary
-(0: a word no test item has) and sorts the word suffixes that can start a match. Every test suffix is
-then binary-searched in each shard. Only the benchmark is shipped to the tasks, in blocks of bounded
-size; documents are read once and never shuffled.
+(0: a word no test item has) and sorts the word suffixes that can start a match, as far as a window of
+words tells them apart. Every test suffix is then binary-searched in each shard; finds that go on from
+one another in both texts make up a verbatim match of full length. Only the benchmark is shipped to the
+tasks; documents are read once and never shuffled.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ _FOLD = bytes(
 )
 RESULT = (
     "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, "
-    "longest_match bigint, longest_start bigint"
+    "longest_match bigint, longest_start bigint, longest_item string"
 )
 
 
@@ -34,20 +35,35 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class TestBlock:
-    """The windows of some test items: distinct word runs, and the items that each belongs to."""
+    """The windows of some test items: distinct word runs, their items, and where in the items they stand."""
 
     __test__ = False
 
     def __init__(self, items: list[tuple[int, str | None]], window: int):
         self.window, self.vocabulary = window, {}
-        grams: dict[tuple[int, ...], set[str]] = {}
+        grams: dict[tuple[int, ...], int] = {}
+        owners: list[set[str]] = []
+        places: list[list[int]] = []  # in the row of all items, with a gap after each
+        begins, end = [], 0
+        self.names = []
         for item_id, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
             if item_id is None or not ids:
                 continue
+            begins.append(end)
+            self.names.append(str(item_id))
             for i in range(max(1, len(ids) - window + 1)):
-                grams.setdefault(tuple(ids[i : i + window]), set()).add(str(item_id))
-        self.owners = [sorted(x) for x in grams.values()]
+                g = grams.setdefault(tuple(ids[i : i + window]), len(grams))
+                if g == len(owners):
+                    owners.append(set())
+                    places.append([])
+                owners[g].add(str(item_id))
+                places[g].append(end + i)
+            end += len(ids) + 1
+        self.begins = np.array(begins, np.int64)
+        self.owners = [sorted(x) for x in owners]
+        self.place_ends = np.cumsum([0, *map(len, places)])
+        self.places = np.array([x for p in places for x in p], np.int64)
         self.lengths = np.array([len(g) for g in grams], np.int64)
         padded = np.zeros((len(grams), window), ">i4")
         for row, gram in zip(padded, grams):
@@ -85,6 +101,24 @@ class TestBlock:
         return starts[order[at]], gram
 
 
+    def matches(self, at: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, length, item number) of all maximal verbatim matches, from the windows' occurrences.
+
+        An occurrence goes on where the next word starts one too and the test item's next word does: the same
+        difference of places, the next position.
+        """
+        n = self.place_ends[gram + 1] - self.place_ends[gram]
+        own = np.repeat(np.arange(len(at)), n)
+        place = self.places[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.place_ends[gram], n)]
+        apart = place - at[own]
+        order = np.lexsort((at[own], apart))
+        own, apart, place = own[order], apart[order], place[order]
+        heads = np.flatnonzero(np.concatenate([[True], (np.diff(apart) != 0) | (np.diff(at[own]) != 1)]))
+        runs = np.diff(np.concatenate([heads, [len(own)]]))
+        first = own[heads]
+        return at[first], runs - 1 + self.lengths[gram[first]], np.searchsorted(self.begins, place[heads], "right") - 1
+
+
 def _member(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     if not len(table):
         return np.zeros(len(values), bool)
@@ -100,6 +134,7 @@ def _judge(texts: list[str | None], blocks: list, threshold: int) -> dict[str, l
     begins = ends - n_words - 1
     covered = np.zeros(ends[-1] + 1 if n_docs else 1, np.int32)
     found: list[set[str]] = [set() for _ in range(n_docs)]
+    longest: list[tuple[int, int, str] | None] = [None] * n_docs  # (-length, start, item)
     for broadcast in blocks:
         block = broadcast.value
         ids = np.zeros(ends[-1] + block.window, np.int32)
@@ -115,19 +150,19 @@ def _judge(texts: list[str | None], blocks: list, threshold: int) -> dict[str, l
         for pair in np.unique(doc * len(block.lengths) + gram).tolist():
             d, g = divmod(pair, len(block.lengths))
             found[d].update(block.owners[g])
+        start, length, item = block.matches(at, gram)
+        for d, p, n, i in zip(np.searchsorted(ends, start, "right").tolist(), start.tolist(), length.tolist(), item.tolist()):
+            best = (-n, p - int(begins[d]), block.names[i])
+            if longest[d] is None or best < longest[d]:
+                longest[d] = best
     hit = np.cumsum(covered[:-1]) > 0
     total = np.concatenate([[0], np.cumsum(hit)])
     n_hit = total[ends - 1] - total[begins]
-    edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
-    run_from, run_to = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    longest, where = np.zeros(n_docs, np.int64), np.full(n_docs, -1, np.int64)
-    for d, a, b in zip(np.searchsorted(ends, run_from, "right"), run_from, run_to):
-        if b - a > longest[d]:
-            longest[d], where[d] = b - a, a - begins[d]
     out["n_words"], out["n_hit"], out["n_items"] = n_words, n_hit, [len(x) for x in found]
     out["items_sha256"] = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in found]
     out["contaminated"] = (n_hit > 0) & (threshold * n_hit >= n_words)
-    out["longest_match"], out["longest_start"] = longest, [None if x < 0 else int(x) for x in where]
+    out["longest_match"] = [0 if x is None else -x[0] for x in longest]
+    out["longest_start"], out["longest_item"] = ([None if x is None else x[i] for x in longest] for i in (1, 2))
     return out
 
 
@@ -145,11 +180,14 @@ def match_benchmark(
     """One row per document: words, words inside verbatim test passages, and the test items found.
 
     A test item is cut into all runs of ``window`` words (a shorter item is one run). A document is
-    contaminated when at least one in ``threshold`` of its words is hit. ``longest_match`` and
-    ``longest_start`` give the longest stretch of hit words and the word it starts at.
-
-    The benchmark is sized first and shipped in blocks of about ``block_bytes``; each shard searches all
-    blocks, so a large benchmark costs passes over a shard, not memory. A null or empty text has no
+    contaminated when at least one in ``threshold`` of its words is hit. ``longest_match``,
+    ``longest_start`` and ``longest_item`` give the longest verbatim match with one item in words, the word
+    it starts at and the item; of equals the first in the text, then the least item_id as a string. Matches
+    shorter than a window are none, but for whole items: then the length is 0, place and item are null.
+
+    The benchmark is sized first and shipped in blocks of about ``block_bytes``, each built and sent on its
+    own; a worker keeps the blocks it has seen, so its memory grows with the benchmark, never with the
+    documents. A null or empty text has no
     words: it is never contaminated. Items without id, text or words match nothing. Rows that repeat a
     doc_id are judged separately. Any further columns of either table are ignored.
     """
@@ -166,7 +204,7 @@ def match_benchmark(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col, shard_bytes):
             found = _judge(batch.column(text_col).to_pylist(), blocks, threshold)
-            columns = [pa.array(x, pa.int64() if k == "longest_start" else None) for k, x in found.items()]
+            columns = [pa.array(x, {"longest_start": pa.int64(), "longest_item": pa.string()}.get(k)) for k, x in found.items()]
             yield pa.RecordBatch.from_arrays([batch.column(id_col), *columns], [id_col, *found])
 
     id_type = docs.schema[id_col].dataType.simpleString()

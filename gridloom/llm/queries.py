@@ -110,12 +110,12 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(least.
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least ON w.doc_id = least.a
 """
 
-#: Windows as strings, joined on their text; runs of hit words by gaps and islands.
+#: Windows as strings, joined on their text; verbatim matches by gaps and islands on one difference of places.
 _BENCHMARK_SQL = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+b AS (SELECT item_id, row_number() OVER () AS row, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 win AS (
-    SELECT DISTINCT item_id, least(len(w), 13) AS l,
+    SELECT item_id, row, least(len(w), 13) AS l, unnest(range(0, greatest(len(w) - 12, 1))) AS q,
            unnest([array_to_string(w[i:i + least(len(w), 13) - 1], ' ') FOR i IN range(1, greatest(len(w) - 12, 1) + 1)]) AS g
     FROM b WHERE len(w) > 0
 ),
@@ -123,14 +123,16 @@ dw AS (
     SELECT doc_id, l, unnest(range(0, len(w) - l + 1)) AS p, unnest([array_to_string(w[i:i + l - 1], ' ') FOR i IN range(1, len(w) - l + 2)]) AS g
     FROM d, (SELECT DISTINCT l FROM win) WHERE len(w) >= l
 ),
-m AS (SELECT doc_id, dw.l, p, item_id FROM dw JOIN win ON dw.g = win.g AND dw.l = win.l),
+m AS (SELECT doc_id, dw.l, p, item_id, row, q FROM dw JOIN win ON dw.g = win.g AND dw.l = win.l),
 hit AS (SELECT DISTINCT doc_id, unnest(range(p, p + l)) AS pos FROM m),
-island AS (SELECT doc_id, min(pos) AS first, count(*) AS n FROM (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM hit) GROUP BY doc_id, k),
-longest AS (SELECT doc_id, max(n) AS n, arg_min(first, (-n, first)) AS first FROM island GROUP BY doc_id),
+run AS (SELECT *, p - row_number() OVER (PARTITION BY doc_id, row, q - p ORDER BY p) AS k FROM m),
+island AS (SELECT doc_id, CAST(item_id AS VARCHAR) AS item, min(p) AS first, max(p + l) - min(p) AS n FROM run GROUP BY doc_id, row, item_id, q - p, k),
+longest AS (SELECT doc_id, max(n) AS n, arg_min(first, (-n, first, item)) AS first, arg_min(item, (-n, first, item)) AS item FROM island GROUP BY doc_id),
 hits AS (SELECT doc_id, count(*) AS n FROM hit GROUP BY doc_id),
 items AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM m GROUP BY doc_id)
 SELECT d.doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated, coalesce(x.n, 0) AS longest_match, x.first AS longest_start
+       coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated, coalesce(x.n, 0) AS longest_match,
+       x.first AS longest_start, x.item AS longest_item
 FROM d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id LEFT JOIN longest x ON d.doc_id = x.doc_id
 """
 

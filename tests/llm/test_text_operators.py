@@ -218,7 +218,7 @@ def words_only(text):
 def test_decontamination(spark, docs, corpus, none):
     rng = random.Random(5)
     texts = {r[0]: r[1] for r in corpus}
-    items = [(1, texts[43][100:400]), (2, "one"), (2, prose(rng, 20)), (10, texts[3]), (11, None), (12, ""), (None, "alpha"), (13, " ".join(texts[4].split()[:9]).upper())]
+    items = [(1, texts[43][100:400]), (2, "one"), (2, prose(rng, 20)), (10, texts[3]), (20, " ".join(texts[43].split()[10:40])), (21, " ".join(texts[43].split()[30:70])), (11, None), (12, ""), (None, "alpha"), (13, " ".join(texts[4].split()[:9]).upper())]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     windows = []
     for i, t in items:
@@ -239,6 +239,17 @@ def test_decontamination(spark, docs, corpus, none):
             assert (r.n_words, r.n_hit, r.n_items) == (len(w), sum(hit), len(found))
             assert r.items_sha256 == sha(",".join(sorted(found)))
             assert r.contaminated == (sum(hit) > 0 and 20 * sum(hit) >= len(w))
+            best = (0, None, None)
+            for i, t in items:
+                x = words_only(t)
+                for at in range(len(w)):
+                    for q in range(len(x)) if i is not None and x else ():
+                        n = 0
+                        while at + n < len(w) and q + n < len(x) and w[at + n] == x[q + n]:
+                            n += 1
+                        if n >= min(13, len(x)) and (-n, at, str(i)) < (-best[0], best[1] if best[1] is not None else at + 1, best[2] or ""):
+                            best = (n, at, str(i))
+            assert (r.longest_match, r.longest_start, r.longest_item) == best
     kept = remove_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert kept.count() == sum(not r.contaminated for r in rows)
