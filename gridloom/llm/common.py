@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -10,7 +12,7 @@ import pyarrow.compute  # noqa: F401  (reached as pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where intermediate tables go when the session names no shared folder (local runs and tests).
+#: Where intermediate tables go when a local session names no shared folder (tests).
 LOCAL_FOLDER = "/tmp/checkpoints/gridloom"
 
 
@@ -21,12 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the session's shared checkpoint folder and read it back.
 
-    This cuts the lineage and survives lost executors, as every executor sees the folder.
+    This cuts the lineage and survives lost executors, as every executor sees the folder. Tables go with
+    the folder's session, or by ``discard``. Beyond one machine ``spark.checkpoint.dir`` has to be set.
     """
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FOLDER
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    base = base or LOCAL_FOLDER
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if base == LOCAL_FOLDER:
+        atexit.register(shutil.rmtree, path, True)
     return spark.read.schema(df.schema).parquet(path)
 
 

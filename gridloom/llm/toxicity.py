@@ -2,12 +2,14 @@
 
 Categories are predicted one after another by linear models; each later model also sees the earlier
 categories' probabilities. In training those are out-of-fold predictions, so that a later model learns to
-trust them as far as they hold on unseen texts. Models are fitted on a bounded sample of labelled
-documents and score every document where it is read.
+trust them as far as they hold on unseen texts. Models are fitted in one task on a bounded sample of
+labelled documents and score every document where it is read.
 """
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -113,16 +115,16 @@ class Chain:
         return out
 
 
-def fit_chain(categories: tuple[str, ...], dense: np.ndarray, found: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) -> Chain:
-    """Fit the chain; ``folds`` numbers each row's fold for the out-of-fold probabilities."""
+def fit_chain(categories: tuple[str, ...], dense: np.ndarray, found: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, **options) -> Chain:
+    """Fit the chain; ``folds`` numbers each row's fold for the out-of-fold probabilities, options are those of ``fit_linear``."""
     chain, earlier = Chain(categories), np.zeros((len(dense), 0))
     for j in range(len(categories)):
         x, y = np.concatenate([dense, earlier], 1), labels[:, j].astype(float)
-        chain.models.append(fit_linear(x, found, y))
+        chain.models.append(fit_linear(x, found, y, **options))
         own = np.zeros(len(x))
         for f in np.unique(folds):
             inside, outside = folds == f, folds != f
-            model = fit_linear(x[outside], [w for w, o in zip(found, outside) if o], y[outside])
+            model = fit_linear(x[outside], [w for w, o in zip(found, outside) if o], y[outside], **options)
             own[inside] = model.probability(x[inside], [w for w, i in zip(found, inside) if i])
         earlier = np.concatenate([earlier, own[:, None]], 1)
     return chain
@@ -132,12 +134,14 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh3_64_intdigest(w) for w in set(words)], np.uint64))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = 5_000, folds: int = 5) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = 5_000, folds: int = 5, most_words: int = 300) -> Chain:
     """Fit the categories low_quality, then toxic, on at most ``sample`` labelled documents.
 
     The sample takes the labelled ids of least hash; a larger labels table changes which documents are
     fitted on, not how many. Rows of ``labels`` with nulls are left out, of rows that repeat an id the
-    largest labels count. Without labelled documents every probability is near 0.
+    largest labels count; of documents that share an id one is taken. Ids may have any type. A model uses
+    at most ``most_words`` words, those of most evidence. Without labelled documents every probability is
+    near 0.
     """
     known = labels.where("doc_id is not null and quality is not null and toxic is not null")
     known = known.groupBy("doc_id").agg((1 - F.min("quality")).alias("low_quality"), F.max("toxic").alias("toxic"))
@@ -154,15 +158,19 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 5_000, folds: int
             columns = [batch.column(c) for c in ("doc_id", "low_quality", "toxic")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(dense, pa.list_(pa.float64())), pa.array(found, pa.binary())], ["doc_id", "low_quality", "toxic", "dense", "found"])
 
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (str(r["doc_id"]), r["found"]))
+        dense = np.array([r["dense"] for r in got]).reshape(-1, DENSE)
+        found = [np.frombuffer(r["found"], np.uint64) for r in got]
+        y = np.array([(r["low_quality"], r["toxic"]) for r in got]).reshape(-1, 2)
+        own_fold = np.array([zlib.crc32(str(r["doc_id"]).encode()) % folds for r in got])
+        chain = fit_chain(("low_quality", "toxic"), dense, found, y, own_fold, most_words=most_words)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(chain)], pa.binary())], ["chain"])
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = rows.select("doc_id", F.col("low_quality").cast("int"), F.col("toxic").cast("int"), "text").mapInArrow(describe, f"doc_id {kind}, low_quality int, toxic int, dense array<double>, found binary")
-    got = sorted(got.collect(), key=lambda r: (r.doc_id, r.found))[: 2 * sample]
-    dense = np.array([r.dense for r in got]).reshape(-1, DENSE)
-    found = [np.frombuffer(r.found, np.uint64) for r in got]
-    y = np.array([(r.low_quality, r.toxic) for r in got]).reshape(-1, 2)
-    own_fold = np.array([r.doc_id % folds for r in got])
-    del got  # the rows' other forms need not stay while the chain is fitted
-    return fit_chain(("low_quality", "toxic"), dense, found, y, own_fold)
+    got = got.groupBy("doc_id").agg(F.min(F.struct("found", "dense", "low_quality", "toxic")).alias("r")).select("doc_id", "r.*")
+    return pickle.loads(got.coalesce(1).mapInArrow(fit, "chain binary").first().chain)
 
 
 def _scored(docs: DataFrame, chain: Chain, key: str, slice_bytes: int) -> DataFrame:
@@ -195,19 +203,19 @@ def _scored(docs: DataFrame, chain: Chain, key: str, slice_bytes: int) -> DataFr
     return docs.mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"`{c}` double" for c in chain.categories))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, sample: int = 5_000, slice_bytes: int = 4 << 20) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, sample: int = 5_000, most_words: int = 300, slice_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, the categories' probabilities in the chain's order, and whether the document is toxic.
 
     Whole texts count; a null or empty text has no words. Rows that repeat and null ids are scored like
     others; further columns are ignored.
     """
-    chain = train(docs, labels, sample=sample)
+    chain = train(docs, labels, sample=sample, most_words=most_words)
     scored = _scored(docs.select("doc_id", F.col("text").alias("__text")), chain, "doc_id", slice_bytes)
     return scored.select("doc_id", *[F.col(c).alias(f"p_{c}") for c in chain.categories], (F.col("toxic") >= threshold).alias("toxic"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, sample: int = 5_000, slice_bytes: int = 4 << 20) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, sample: int = 5_000, most_words: int = 300, slice_bytes: int = 4 << 20) -> DataFrame:
     """``docs`` without the toxic rows; all columns stay, and no join is needed."""
-    chain = train(docs, labels, sample=sample)
+    chain = train(docs, labels, sample=sample, most_words=most_words)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text").alias("__text"))
     return _scored(whole, chain, "__row", slice_bytes).where(F.col("toxic") < threshold).select("__row.*")
