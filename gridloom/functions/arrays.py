@@ -68,7 +68,7 @@ fn("WRAPCOLS")(lambda a, n, pad=None: transpose(F.transform(F.sequence(F.lit(0),
 fn("SORT")(lambda a, descending=False: F.sort_array(a, asc=not descending))
 fn("SORTBY")(lambda a, by, descending=False: F.transform(F.sort_array(F.zip_with(by, a, lambda k, v: F.struct(k.alias("k"), v.alias("v"))), asc=not descending), lambda e: e["v"]))
 fn("UNIQUE")(lambda a, once=False: F.filter(a, lambda x: F.size(F.filter(a, lambda y: y == x)) == 1) if once else F.array_distinct(a))
-fn("FILTER")(lambda a, include, if_empty=None: _or_else(F.transform(F.filter(F.arrays_zip(a.alias("a"), include.alias("k")), lambda e: e["1"]), lambda e: e["0"]), if_empty) if isinstance(include, Column) else _or_else(F.filter(a, include), if_empty))
+fn("FILTER")(lambda a, include, if_empty=None: _or_else(F.transform(F.filter(F.arrays_zip(a.alias("a"), include.alias("k")), lambda e: e["k"]), lambda e: e["a"]), if_empty) if isinstance(include, Column) else _or_else(F.filter(a, include), if_empty))
 fn("LET")(lambda value, body: F.get(F.transform(F.array(c(value)), body), F.lit(0)))
 fn("LAMBDA")(lambda f: f)
 

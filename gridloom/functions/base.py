@@ -25,7 +25,7 @@ def fn(*names: str):
     return add
 
 
-def call(name: str, *args, **options) -> Column:
+def call(name: str, /, *args, **options) -> Column:
     """The named function applied to Columns or values; dots and case of the name as in a formula."""
     key = name.upper()
     if key not in CATALOGUE:

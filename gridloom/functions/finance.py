@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,6 +153,14 @@ def mirr(value, order, finance_rate, reinvest_rate, n) -> Column:
     return F.pow(F.try_divide(gain, -cost), 1 / (num(n) - 1)) - 1
 
 
+def _worth(flows: list[tuple[float, float]], rate: float) -> float:
+    """Present value of (time, amount) flows; beyond doubles, next to -100 %, the last flow gives the sign."""
+    try:
+        return sum(v / (1 + rate) ** at for at, v in flows)
+    except (ZeroDivisionError, OverflowError):
+        return math.copysign(1e300, max(flows)[1])
+
+
 def irr(df: DataFrame, keys: list[str], value: str, at: str, guess: float = 0.1, name: str = "irr") -> DataFrame:
     """IRR (``at``: order) or, with ``at`` in years, XIRR of each group: the root of the sum of v / (1 + r)^at.
 
@@ -165,7 +174,7 @@ def irr(df: DataFrame, keys: list[str], value: str, at: str, guess: float = 0.1,
             for flows in b["flows"]:
                 t = [(x["t"], x["v"]) for x in flows]
                 low, high = min(v for _, v in t), max(v for _, v in t)
-                out.append(solve(lambda r: sum(v / (1 + r) ** at for at, v in t), guess, -0.999999, 1e6) if low < 0 < high else None)
+                out.append(solve(lambda r: _worth(t, r), guess, -0.999999, 1e6) if low < 0 < high else None)
             b = b.drop(columns=["flows"])
             b[name] = out
             yield b
