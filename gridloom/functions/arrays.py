@@ -90,6 +90,28 @@ def running(df: DataFrame, value: str, order: str, keys: list[str] | None = None
     return df.withColumn(name, how(value).over(w))
 
 
+def sum_before(df: DataFrame, by: str, amount: str, ties: list[str] | None = None, descending: bool = False, name: str = "before") -> DataFrame:
+    """``df`` with the sum of ``amount`` over all rows that come before in the order of ``by``, then ``ties``.
+
+    Approximate quantiles cut the numbers ``by`` into as many stretches as there are shuffle partitions; a
+    stretch is summed in a task of its own and takes over the totals of those before it, of which the driver
+    holds one for each. Rows of one value of ``by`` share a task: aggregate such rows first.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = sorted(set(df.approxQuantile(by, [i / n for i in range(1, n)], 0.01)))
+    stretch = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x < F.col(by))) if cuts else F.lit(0)
+    placed = df.withColumn("__s", F.when(F.col(by).isNull(), -1).otherwise(-stretch if descending else stretch))
+    totals = {r["__s"]: r["t"] or 0 for r in placed.groupBy("__s").agg(F.sum(amount).alias("t")).collect()}
+    start, total = [], 0
+    for s in sorted(totals):
+        start += [F.lit(s), F.lit(total)]
+        total += totals[s]
+    order = F.col(by).desc() if descending else F.col(by).asc()
+    inside = F.sum(amount).over(Window.partitionBy("__s").orderBy(order, *(ties or [])).rowsBetween(Window.unboundedPreceding, -1))
+    held = F.try_element_at(F.create_map(*start), F.col("__s")) if start else F.lit(0)
+    return placed.withColumn(name, F.coalesce(inside, F.lit(0)) + held).drop("__s")
+
+
 def rows_between(df: DataFrame, first: int | None = None, last: int | None = None, order: str = ORD) -> DataFrame:
     """TAKE and DROP on numbered rows."""
     keep = F.lit(True)

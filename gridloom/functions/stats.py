@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from gridloom.functions.arrays import sum_before
 from gridloom.functions.base import c, fn, num, ok
 
 fn("MEDIAN")(lambda x: F.median(num(x)))
@@ -93,10 +94,19 @@ def _ordered(x: Column, ascending: bool, keys: list) -> WindowSpec:
 
 @fn("RANK", "RANK.EQ")
 def rank_eq(x, ascending: bool = False, keys: list | None = None) -> Column:
-    """Competition rank of each row within its keys."""
+    """Competition rank of each row within its keys; without keys one task ranks all rows, see ``ranks``."""
     return F.rank().over(_ordered(num(x), ascending, keys or []))
 
 
+def ranks(df: DataFrame, value: str, ascending: bool = False) -> DataFrame:
+    """``df`` with ``rank_eq`` and ``rank_avg`` among all rows, NULL for NULL: values are counted, the counts
+    summed up stretch by stretch, and the ranks joined back, so that no task sorts all rows."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("__n"))
+    placed = sum_before(counted, value, "__n", descending=not ascending, name="__b")
+    first = (F.col("__b") + 1).cast("bigint")
+    return df.join(placed.select(value, first.alias("rank_eq"), (first + (F.col("__n") - 1) / 2).alias("rank_avg")), value, "left")
+
+
 @fn("RANK.AVG")
 def rank_avg(x, ascending: bool = False, keys: list | None = None) -> Column:
     ties = F.count("*").over(Window.partitionBy(*(keys or []), num(x)))

@@ -136,10 +136,6 @@ class Pivot:
         inner = range(1, len(axis)) if self.subtotals else []
         return [*([len(axis)] if axis else []), *reversed(inner), *([0] if grand else [])]
 
-    @staticmethod
-    def _top_rank(first: str) -> Column:
-        return F.row_number().over(Window.orderBy(F.desc("__t"), F.col(first)))
-
     def _top(self, df: DataFrame, first: str, measure: Column) -> DataFrame:
         """The outermost keys of greatest first value; ties go by label. Limited before it is joined back."""
         best = df.groupBy(first).agg(measure.alias("__t")).orderBy(F.desc("__t"), F.col(first)).limit(self.top_n)
@@ -156,7 +152,9 @@ class Pivot:
             return out.withColumn(v.alias, F.when(F.col("row_level") == 0, F.sum(x).over(w)).otherwise(x))
         top_r, top_c = F.col("row_level") == len(r), F.col("col_level") == len(c)
         if v.show_as == "percent_of_total":
-            total = F.max(F.when(top_r & top_c, x)).over(Window.partitionBy())
+            whole = out.where(top_r & top_c).agg(F.max(x).alias("__whole"))  # the one grand total
+            joined = out.crossJoin(F.broadcast(whole))
+            return joined.withColumn(v.alias, F.try_divide(x, F.col("__whole"))).drop("__whole")
         elif v.show_as == "percent_of_row":
             total = F.max(F.when(top_c, x)).over(Window.partitionBy(*r, "row_level"))
         else:

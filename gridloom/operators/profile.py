@@ -16,8 +16,9 @@ def kind_of(x: Column) -> Column:
     return (
         F.when(x.isNull() | (x == ""), "blank")
         .when(x.startswith("="), "formula")
+        .when(F.char_length(x) > 400, "string")  # longer than any other kind: spares the patterns
         .when(x.rlike(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"), "number")
-        .when(F.try_to_date(x, "yyyy-MM-dd").isNotNull() & x.rlike(r"^\d{4}-\d{2}-\d{2}"), "date")
+        .when(x.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(x, "yyyy-MM-dd").isNotNull(), "date")
         .when(F.upper(x).isin("TRUE", "FALSE"), "boolean")
         .when(x.startswith("#") & x.rlike(r"^#(N/A|NAME\?|NULL!|REF!|VALUE!|NUM!|DIV/0!|SPILL!|CALC!)$"), "error")
         .otherwise("string")
@@ -28,10 +29,15 @@ KINDS = ("blank", "formula", "number", "date", "boolean", "error", "string")
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row a column: counts of cells by kind, distinct values (approximate) and text lengths, in one pass."""
+    """One row a column: counts of cells by kind, distinct values (approximate) and text lengths, in one pass.
+
+    A cell's kind is found once, in a projection ahead of the counts.
+    """
+    kinds = [f"__kind{i}" for i in range(len(df.columns))]
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns], *[kind_of(_S(c)).alias(k) for c, k in zip(df.columns, kinds)])
     measures = []
-    for i, name in enumerate(df.columns):
-        kind = kind_of(_S(name))
+    for i, name in enumerate(df.columns[: len(kinds)]):
+        kind = F.col(kinds[i])
         parts = [F.count_if(kind == k).alias(k) for k in KINDS]
         parts += [F.approx_count_distinct(_S(name)).alias("distinct"), F.max(F.char_length(_S(name))).alias("longest")]
         measures.append(F.struct(F.lit(name).alias("column"), F.lit(i).alias("position"), *parts))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridloom.functions.arrays import sum_before
+
 _S = lambda x: F.coalesce(x.cast("string"), F.lit(""))
 _N = lambda x: x.try_cast("double")
 _SURE = lambda p: F.coalesce(p, F.lit(False))
@@ -183,10 +185,11 @@ def totals_row(df: DataFrame, totals: dict[str, str]) -> DataFrame:
 
 
 def pareto(df: DataFrame, label: str, value: str) -> DataFrame:
-    """Labels by falling total with their cumulative share; one row a label, so the window is over groups."""
+    """Labels by falling total with their cumulative share of the sum of all."""
     sums = df.groupBy(label).agg(F.sum(value).alias("total"))
-    w = Window.orderBy(F.desc("total"), label).rowsBetween(Window.unboundedPreceding, 0)
-    return sums.withColumn("cumulative_share", F.sum("total").over(w) / F.sum("total").over(Window.partitionBy()))
+    whole = df.agg(F.sum(value)).scalar()
+    out = sum_before(sums, "total", "total", ties=[label], descending=True, name="__before")
+    return out.withColumn("cumulative_share", (F.col("__before") + F.col("total")) / whole).drop("__before")
 
 
 def histogram(df: DataFrame, value: str, bins: int, low: float, high: float) -> DataFrame:

@@ -17,13 +17,13 @@ def _pick(df, key, exprs, digits=6):
 
 
 @query("""SELECT o_orderkey, round(trunc(x / 100) * 100, 6) AS down, round(ceil(abs(x) / 100) * 100, 6) AS up, round(ceil(x / 7) * 7, 6) AS ceiling, round(floor(x / 7) * 7, 6) AS floor,
-  round(-3 * ceil(-x / 3.0) + 0 * x + (-x - (-3) * ceil(-x / 3.0)) - (-x - (-3) * ceil(-x / 3.0)), 6) * 0 AS zero, round(-x - 7 * floor(-x / 7), 4) AS mod, trunc(x / 7) AS quotient,
+  round(-x - -7 * floor(x / 7), 4) AS mod_below, round(-x - 7 * floor(-x / 7), 4) AS mod, trunc(x / 7) AS quotient,
   2 * ceil(x / 2) AS even, floor(x / 5 + 0.5) * 5 AS mround, round(sqrt(x), 6) AS sqrt, round(log10(x), 6) AS log10, round(ln(x), 6) AS ln, sign(-x) AS sign
 FROM (SELECT o_orderkey, o_totalprice AS x FROM orders)""")
 def math_rounding(spark, d):
     x = F.col("o_totalprice")
     return _pick(table(spark, d, "orders"), ["o_orderkey"], {
-        "down": call("ROUNDDOWN", x, -2), "up": call("ROUNDUP", x, -2), "ceiling": call("CEILING", x, 7), "floor": call("FLOOR", x, 7), "zero": call("MOD", x, 1) * 0,
+        "down": call("ROUNDDOWN", x, -2), "up": call("ROUNDUP", x, -2), "ceiling": call("CEILING", x, 7), "floor": call("FLOOR", x, 7), "mod_below": F.round(call("MOD", -x, -7), 4),
         "mod": F.round(call("MOD", -x, 7), 4), "quotient": call("QUOTIENT", x, 7), "even": call("EVEN", x), "mround": call("MROUND", x, 5), "sqrt": call("SQRT", x),
         "log10": call("LOG10", x), "ln": call("LN", x), "sign": call("SIGN", -x),
     })

@@ -118,8 +118,11 @@ def lookup_then_slice(spark, d):
     return found.where("c_name is not null").select("o_orderkey", "c_name")
 
 
-@query("""SELECT count(*) AS n, sum(CAST(conv_id AS BIGINT)) AS ids FROM conversations""")
+@query("""SELECT conv_id, turn, 0 AS ord, 'heading' AS kind, 2 AS level, 'T' || turn AS text FROM conversations
+UNION ALL SELECT conv_id, turn, 1, 'quote', 1, 'said by ' || role FROM conversations
+UNION ALL SELECT conv_id, turn, 2, 'paragraph', 0, regexp_replace(text, '\\s*\\n\\s*', ' ', 'g') FROM conversations WHERE trim(text) <> ''""")
 def markup_paragraphs(spark, d):
-    """Every text has at least one block; its first block stands for it."""
-    blocks = markdown_blocks(table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("body")), "body", ["conv_id", "turn"])
-    return blocks.where("ord = 0").agg(F.count("*").alias("n"), F.sum("conv_id").alias("ids"))
+    """Kind, level and text of the blocks of a small Markdown document around every turn."""
+    turns = table(spark, d, "conversations")
+    body = F.concat(F.lit("## T"), F.col("turn"), F.lit(" ##\n> said by "), F.col("role"), F.lit("\n\n"), F.coalesce("text", F.lit("")))
+    return markdown_blocks(turns.select("conv_id", "turn", body.alias("body")), "body", ["conv_id", "turn"])

@@ -58,9 +58,10 @@ def lookup_exists(spark, d):
     return lookup.matching(table(spark, d, "customer"), orders, ["c_custkey"]).select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)")
 def lookup_missing(spark, d):
-    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without a large order."""
+    orders = table(spark, d, "orders").where("o_totalprice > 200000").select(F.col("o_custkey").alias("c_custkey"))
     return lookup.matching(table(spark, d, "customer"), orders, ["c_custkey"], anti=True).select("c_custkey")
 
 
@@ -111,12 +112,11 @@ def range_conditional_formats(spark, d):
     )
 
 
-@query("""SELECT p_partkey, round((p_retailprice - lo) / (hi - lo), 8) AS share, CAST(least(floor((p_retailprice - lo) / (hi - lo) * 5), 4) AS INT) AS icon
-FROM part JOIN (SELECT p_brand AS b, min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM part GROUP BY 1) ON p_brand = b WHERE hi > lo""")
+@query("""SELECT p_partkey, CASE WHEN hi > lo THEN round((p_retailprice - lo) / (hi - lo), 8) ELSE 0 END AS share, CASE WHEN hi > lo THEN CAST(least(floor((p_retailprice - lo) / (hi - lo) * 5), 4) AS INT) ELSE 0 END AS icon
+FROM part JOIN (SELECT p_brand AS b, min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM part GROUP BY 1) ON p_brand = b""")
 def range_scales(spark, d):
-    p = table(spark, d, "part")
-    several = p.groupBy("p_brand").agg((F.max("p_retailprice") > F.min("p_retailprice")).alias("several")).where("several")
-    out = ranges.scaled(p.join(several, "p_brand", "left_semi"), "p_retailprice", ["p_brand"])
+    """A brand of one price has no scale: its share and icon are 0."""
+    out = ranges.scaled(table(spark, d, "part"), "p_retailprice", ["p_brand"])
     return out.select("p_partkey", F.round("share", 8).alias("share"), ranges.icon(F.col("share"), 5).alias("icon"))
 
 
@@ -186,22 +186,22 @@ def sort_top(spark, d):
     return ranges.sort_rows(table(spark, d, "orders"), "o_totalprice desc", "o_orderkey").select("o_orderkey", "o_totalprice").limit(40)
 
 
-@query("""SELECT l_suppkey AS i, l_linenumber AS j, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2 HAVING l_suppkey <= 5""")
+@query("""SELECT CAST(l_quantity AS INT) AS i, l_linenumber AS j, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2""")
 def array_pivot_cells(spark, d):
-    l = table(spark, d, "lineitem").where("l_suppkey <= 5")
-    return l.groupBy(F.col("l_suppkey").alias("i"), F.col("l_linenumber").alias("j")).agg(F.sum("l_quantity").alias("v"))
+    l = table(spark, d, "lineitem")
+    return l.groupBy(F.col("l_quantity").cast("int").alias("i"), F.col("l_linenumber").alias("j")).agg(F.sum("l_quantity").alias("v"))
 
 
-@query("""WITH m AS (SELECT l_suppkey AS i, l_linenumber AS j, sum(l_quantity) AS v FROM lineitem WHERE l_suppkey <= 5 GROUP BY 1, 2)
+@query("""WITH m AS (SELECT CAST(l_quantity AS INT) AS i, l_linenumber AS j, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2)
 SELECT a.i AS i, b.i AS j, sum(a.v * b.v) AS v FROM m a JOIN m b ON a.j = b.j GROUP BY 1, 2""")
 def array_matrix_product(spark, d):
     m = array_pivot_cells(spark, d)
     return arrays.matrix_product(m, m.select(F.col("j").alias("i"), F.col("i").alias("j"), "v"))
 
 
-@query("SELECT c_nationkey, c_mktsegment FROM customer GROUP BY 1, 2 HAVING count(*) = 1")
+@query("SELECT o_custkey, o_orderpriority FROM orders GROUP BY 1, 2 HAVING count(*) = 1")
 def array_unique_once(spark, d):
-    return arrays.unique_rows(table(spark, d, "customer"), ["c_nationkey", "c_mktsegment"], once=True)
+    return arrays.unique_rows(table(spark, d, "orders"), ["o_custkey", "o_orderpriority"], once=True)
 
 
 @query("SELECT n_nationkey AS k, n_name AS name, NULL::VARCHAR AS extra FROM nation UNION ALL SELECT r_regionkey, r_name, 'r' FROM region")
@@ -242,10 +242,18 @@ def stats_linear_fit(spark, d):
     return fit.select("l_returnflag", F.round("l_quantity", 4).alias("slope"), F.round("intercept", 3).alias("base"), F.round("r2", 6).alias("r2"))
 
 
-@query("""SELECT name AS "column", CAST(p AS INT) AS position, n AS "number", s AS "string" FROM (
- SELECT 'doc_id' AS name, 0 AS p, count(*) AS n, 0 AS s FROM documents UNION ALL SELECT 'lang', 2, 0, count(*) FROM documents UNION ALL SELECT 'n_chars', 4, count(*), 0 FROM documents)""")
+_KIND = """CASE WHEN x IS NULL OR x = '' THEN 'blank' WHEN x LIKE '=%' THEN 'formula' WHEN regexp_matches(x, '^\\s*[-+]?(\\d+\\.?\\d*|\\.\\d+)([eE][-+]?\\d+)?\\s*$') THEN 'number'
+  WHEN regexp_matches(x, '^\\d{4}-\\d{2}-\\d{2}$') AND try_cast(x AS DATE) IS NOT NULL THEN 'date' WHEN upper(x) IN ('TRUE', 'FALSE') THEN 'boolean'
+  WHEN regexp_matches(x, '^#(N/A|NAME\\?|NULL!|REF!|VALUE!|NUM!|DIV/0!|SPILL!|CALC!)$') THEN 'error' ELSE 'string' END"""
+
+
+@query(f"""SELECT name AS "column", p AS position, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS {k}" for k in profile.KINDS)}, max(length(x)) AS longest
+FROM (SELECT *, {_KIND} AS kind FROM ({" UNION ALL ".join(f"SELECT '{c}' AS name, {i} AS p, CAST({c} AS VARCHAR) AS x FROM documents" for i, c in enumerate(("doc_id", "text", "lang", "source", "n_chars")))}
+  UNION ALL SELECT 'when', 5, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM (SELECT o_orderdate FROM orders WHERE o_orderkey IN (SELECT doc_id FROM documents)))) GROUP BY 1, 2""")
 def profile_columns(spark, d):
-    return profile.profile(table(spark, d, "documents")).where(F.col("column").isin("doc_id", "lang", "n_chars")).select("column", "position", "number", "string")
+    """All kinds of all columns, with a date beside each document that shares its number with an order."""
+    days = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderdate").cast("date").alias("when"))
+    return profile.profile(table(spark, d, "documents").join(days, "doc_id", "left")).drop("distinct")
 
 
 @query("""SELECT lang, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> ''))) AS BIGINT) AS words,
@@ -295,8 +303,7 @@ def window_session(spark, d):
     return out.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n")
 
 
-@query("""SELECT o_orderkey, CAST(rank() OVER (ORDER BY o_totalprice DESC) AS INT) AS place FROM orders WHERE o_orderstatus = 'P'""")
+@query("""SELECT o_orderkey, rank() OVER (ORDER BY o_totalprice DESC) AS place, rank() OVER (ORDER BY o_totalprice DESC) + (count(*) OVER (PARTITION BY o_totalprice) - 1) / 2 AS shared FROM orders""")
 def stats_rank(spark, d):
-    """A ranking over all pending orders; the window holds one status, so it is for reports."""
-    o = table(spark, d, "orders").where("o_orderstatus = 'P'")
-    return o.select("o_orderkey", F.rank().over(Window.partitionBy("o_orderstatus").orderBy(F.desc("o_totalprice"))).alias("place"))
+    """A ranking over all orders, without one window over them."""
+    return stats.ranks(table(spark, d, "orders"), "o_totalprice").select("o_orderkey", F.col("rank_eq").alias("place"), F.col("rank_avg").alias("shared"))
