@@ -65,6 +65,9 @@ fn("MAXIFS")(lambda value, *pairs: F.coalesce(F.max(F.when(all_of(*pairs), num(v
 fn("MINIFS")(lambda value, *pairs: F.coalesce(F.min(F.when(all_of(*pairs), num(value))), F.lit(0.0)))
 
 
+fn("DISTINCTCOUNT")(lambda value, *pairs: F.count_distinct(F.when(all_of(*pairs), c(value)) if pairs else c(value)))
+
+
 def block(rows: list[dict[str, object]]) -> Column:
     """A criteria block: rows are alternatives, the cells of a row all must hold; no rows hold for all."""
     if not rows:

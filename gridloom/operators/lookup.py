@@ -81,5 +81,45 @@ def horizontal(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
     return df.unpivot(ids, columns, "key", "value")
 
 
-for _name, _f in {"VLOOKUP": exact, "HLOOKUP": exact, "XLOOKUP": exact, "LOOKUP": as_of, "MATCH": exact, "XMATCH": exact, "INDIRECT": lambda spark, name: spark.table(name)}.items():
+def position(left: DataFrame, on: str, right: DataFrame, key: str, order: str, mode: int = 0, last: bool = False, by: list[str] | None = None, name: str = "position") -> DataFrame:
+    """XMATCH: ``left`` with the place, from 1, of the right row found, NULL for none; ``order`` counts rows from 0.
+
+    Mode 0 takes the first equal key (the last with ``last``), -1 an equal or the next smaller key, 1 an equal
+    or the next larger one; keys need no order. Of equal keys the first row counts, with ``last`` the last.
+    """
+    if mode == 0:
+        out = exact(left, on, right.withColumn(name, F.col(order) + 1), key, [name], order, last)
+        return out.withColumn(name, F.col(name).cast("bigint"))
+    pick = (F.max if last else F.min)(order)
+    few = right.where(F.col(key).isNotNull()).groupBy(*(by or []), key).agg((pick + 1).cast("bigint").alias(name))
+    return nearest(left, on, few, key, [name], by, larger=mode > 0)
+
+
+def match(left: DataFrame, on: str, right: DataFrame, key: str, order: str, kind: int = 1, by: list[str] | None = None, name: str = "position") -> DataFrame:
+    """MATCH: kind 1 is the place of the last key that is not larger (keys rise), -1 of the last that is not
+    smaller (keys fall), 0 of the first equal one."""
+    return position(left, on, right, key, order, -kind, last=kind != 0, by=by, name=name)
+
+
+def across(left: DataFrame, on: str, wide: DataFrame, label: str, row, columns: list[str], name: str = "value", default=None) -> DataFrame:
+    """HLOOKUP: column names are the keys; of the column named by ``left``'s cell the row with label ``row``."""
+    tall = horizontal(wide.where(F.col(label) == F.lit(row)), [label], columns).withColumnRenamed("value", name)
+    return exact(left, on, tall, "key", [name], default={name: default} if default is not None else None)
+
+
+def xlookup(left: DataFrame, on: str, right: DataFrame, key: str, take: list[str], order: str | None = None, mode: int = 0, last: bool = False, default: dict | None = None, by: list[str] | None = None) -> DataFrame:
+    """XLOOKUP with its match modes 0, -1 and 1, the search from the end (``last``) and the value if not found.
+
+    Mode 2, wildcards, is ``wildcard``: its patterns are the searched values.
+    """
+    if mode == 0:
+        return exact(left, on, right, key, take, order, last, default)
+    picked = F.struct(*[F.col(c) for c in take])
+    few = right.where(F.col(key).isNotNull()).groupBy(*(by or []), key).agg((F.max_by if last else F.min_by)(picked, F.col(order) if order else F.lit(0)).alias("__few"))
+    out = nearest(left, on, few, key, ["__few"], by, larger=mode > 0)
+    missing = F.col("__few").isNull()
+    return out.select(*left.columns, *[F.when(missing, F.lit((default or {}).get(c))).otherwise(F.col(f"__few.{c}")).alias(c) for c in take])
+
+
+for _name, _f in {"VLOOKUP": exact, "HLOOKUP": across, "XLOOKUP": xlookup, "LOOKUP": as_of, "MATCH": match, "XMATCH": position, "INDIRECT": lambda spark, name: spark.table(name)}.items():
     CATALOGUE.setdefault(_name, _f)

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridloom.functions import call as C
 from gridloom.functions.dates import serial
@@ -498,3 +499,82 @@ def finance_flows(spark, d):
         C("MIRR", b, F.col("at"), 0.01, 0.02, F.lit(60)).alias("mirr"),
     )
     return out.select("c_nationkey", _number("xnpv", 3), "irr_is_root", "xirr_is_root", _number("mirr"))
+
+
+_PRICES = "(SELECT p_brand, p_retailprice AS price, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS ord FROM part)"
+
+
+def _priced(spark, d):
+    """Parts numbered within their brand, and lines that ask for a price of a part's brand."""
+    part = table(spark, d, "part")
+    place = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) - 1
+    lines = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("Brand#"), F.col("o_orderkey") % 5 + 1).alias("p_brand"), (F.round(F.col("o_totalprice") / 100) % 200 + 890).alias("asked"))
+    return lines, part.select("p_brand", F.col("p_retailprice").alias("price"), place.alias("ord"))
+
+
+_ASKED = "(SELECT o_orderkey, 'Brand#' || (o_orderkey % 5 + 1) AS p_brand, round(o_totalprice / 100) % 200 + 890 AS asked FROM orders)"
+
+
+@query(f"""WITH few AS (SELECT p_brand, price, min(ord) + 1 AS first, max(ord) + 1 AS last FROM {_PRICES} GROUP BY 1, 2)
+SELECT a.o_orderkey, (SELECT arg_max(first, price) FROM few f WHERE f.p_brand = a.p_brand AND price <= asked) AS smaller, (SELECT arg_min(last, price) FROM few f WHERE f.p_brand = a.p_brand AND price >= asked) AS larger,
+  (SELECT arg_max(last, price) FROM few f WHERE f.p_brand = a.p_brand AND price <= asked) AS match_rising, (SELECT max(price) FROM few f WHERE f.p_brand = a.p_brand AND price <= asked) AS price
+FROM {_ASKED} a""")
+def lookup_positions(spark, d):
+    """XMATCH -1 and 1 (the latter from the end), MATCH 1 and XLOOKUP -1 within brands."""
+    lines, parts = _priced(spark, d)
+    out = C("XMATCH", lines, "asked", parts, "price", "ord", -1, by=["p_brand"], name="smaller")
+    out = C("XMATCH", out, "asked", parts, "price", "ord", 1, True, by=["p_brand"], name="larger")
+    out = C("MATCH", out, "asked", parts, "price", "ord", 1, by=["p_brand"], name="match_rising")
+    out = C("XLOOKUP", out, "asked", parts.withColumn("found", F.col("price")), "price", ["found"], "ord", -1, by=["p_brand"])
+    return out.select("o_orderkey", "smaller", "larger", "match_rising", F.col("found").alias("price"))
+
+
+@query("""WITH c AS (SELECT c_name, c_nationkey AS k, c_custkey AS ord FROM customer), f AS (SELECT k, min(ord) + 1 AS first, max(ord) + 1 AS last, arg_max(c_name, ord) AS newest FROM c GROUP BY 1)
+SELECT n_nationkey, first, last, coalesce(newest, 'none') AS newest, first AS match_equal FROM (SELECT n_nationkey * 2 AS k, n_nationkey FROM nation) LEFT JOIN f USING (k)""")
+def lookup_positions_exact(spark, d):
+    """XMATCH 0 from both ends, MATCH 0 and XLOOKUP from the end with a value if not found; half of the keys are missing."""
+    asked = table(spark, d, "nation").select("n_nationkey", (F.col("n_nationkey") * 2).alias("k"))
+    people = table(spark, d, "customer").select(F.col("c_nationkey").alias("key"), F.col("c_custkey").alias("ord"), F.col("c_name").alias("newest"))
+    out = C("XMATCH", asked, "k", people, "key", "ord", name="first")
+    out = C("XMATCH", out, "k", people, "key", "ord", 0, True, name="last")
+    out = C("MATCH", out, "k", people, "key", "ord", 0, name="match_equal")
+    return C("XLOOKUP", out, "k", people, "key", ["newest"], "ord", 0, True, {"newest": "none"}).drop("k")
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN p WHEN 1 THEN f WHEN 2 THEN o ELSE -1 END AS held FROM orders,
+(SELECT count(*) FILTER (WHERE o_orderstatus = 'P') AS p, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o FROM orders WHERE o_orderpriority = '1-URGENT')""")
+def lookup_across(spark, d):
+    """HLOOKUP in a table of priorities by status; names compare without case, an unknown one gives -1."""
+    orders = table(spark, d, "orders")
+    wide = orders.groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).count()
+    asked = orders.select("o_orderkey", F.element_at(F.array(*map(F.lit, "pfox")), (F.col("o_orderkey") % 4 + 1).cast("int")).alias("status"))
+    return C("HLOOKUP", asked, "status", wide, "o_orderpriority", "1-URGENT", ["F", "O", "P"], "held", -1).select("o_orderkey", "held")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, lead(l_quantity, 2) OVER w AS two_down, lag(l_tax, 1) OVER w AS one_up FROM lineitem
+WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_tax, l_extendedprice)""")
+def window_offset(spark, d):
+    """OFFSET as rows further down and up within an order."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_extendedprice")
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", C("OFFSET", v("l_quantity"), 2, w).alias("two_down"), C("OFFSET", v("l_tax"), -1, w).alias("one_up"))
+
+
+@query("""SELECT l_shipmonth, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_suppkey) FILTER (WHERE l_quantity > 45) AS large FROM (SELECT *, month(l_shipdate) AS l_shipmonth FROM lineitem) GROUP BY 1""")
+def stats_distinct_count(spark, d):
+    """The idiom SUMPRODUCT(1 / COUNTIF(range, range)): a count of distinct values, with and without a condition."""
+    lines = table(spark, d, "lineitem").withColumn("l_shipmonth", F.month("l_shipdate"))
+    return lines.groupBy("l_shipmonth").agg(C("DISTINCTCOUNT", v("l_suppkey")).alias("suppliers"), C("DISTINCTCOUNT", v("l_suppkey"), v("l_quantity"), ">45").alias("large"))
+
+
+@query("SELECT o_orderstatus, o_totalprice, n FROM (SELECT o_orderstatus, round(o_totalprice / 1000) AS o_totalprice, count(*) AS n FROM orders GROUP BY 1, 2) QUALIFY n > 1 AND n = max(n) OVER (PARTITION BY o_orderstatus)")
+def stats_modes(spark, d):
+    """MODE.MULT: all of the values met most, by status."""
+    rounded = table(spark, d, "orders").withColumn("o_totalprice", F.round(F.col("o_totalprice") / 1000))
+    return C("MODE.MULT", rounded, "o_totalprice", "o_orderkey", ["o_orderstatus"]).select("o_orderstatus", "o_totalprice", "n")
+
+
+@query("SELECT count(*) AS n, sum(r_regionkey) AS keys FROM region")
+def lookup_indirect(spark, d):
+    """INDIRECT: a named range is a view."""
+    table(spark, d, "region").createOrReplaceTempView("gridloom_named_range")
+    return C("INDIRECT", spark, "gridloom_named_range").agg(F.count("*").alias("n"), F.sum("r_regionkey").alias("keys"))
