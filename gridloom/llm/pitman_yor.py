@@ -368,20 +368,24 @@ def _sums(at: int, doc: np.ndarray, n: np.ndarray, learnt: np.ndarray, base: np.
     return at, _pack(own.astype(np.uint16), sums[0].astype(np.uint32), sums[1].astype(np.uint32), *sums[2:])
 
 
-def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slice_bytes: int = 4 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slice_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """One row per document: the held-out flag, token counts, and base and model log10 probabilities.
 
     Documents whose crc32(doc_id as text) mod 5 is 1 are held out; the others train the model. ``n_known``
     counts tokens seen in training, ``train_tokens`` is the size of the training text. ``perplexity`` is
     10 ** (-score / n_tokens).
 
+    Words are dealt to 200 buckets, or to one for every ``bucket_bytes`` of text where that is more; the
+    sampler's draws depend on the texts and on these parameters, not on the session's settings.
+
     A null or empty text is its end token alone. Rows that repeat count each; a null doc_id hashes as empty
     text. With nothing to train on, every word gets the base of an empty vocabulary. Further columns are
     ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    buckets = parallelism(spark)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(200, -(-total // bucket_bytes))
     hot = _frequent(docs, buckets, slice_bytes)
     posted = _postings(docs, buckets, hot, slice_bytes)
     merged = stage_table(posted.groupBy("bucket").applyInPandas(_merge, _MERGED), "restaurants")
