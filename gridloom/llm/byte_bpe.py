@@ -161,9 +161,16 @@ class Codec:
             before = F.shiftleft(low(left, _PLACE + _SHIFT), _SHIFT) + best
             place = least.bitwiseAND(number(((1 << _PLACE) - 1) << _SHIFT))
             own = F.shiftleft(place + best, _SHIFT) + F.coalesce(low(right, _SHIFT), none)
-            new = F.concat(F.transform(F.array(before, own), entry), F.array(number(-1)))  # the second one goes
-            put = lambda new: F.transform(state, lambda x, i: F.coalesce(F.get(new, i + (2 - at)), x))
-            return F.array_remove(_let(new, put), number(-1))
+
+            def short(new: Column) -> Column:
+                put = lambda held: F.transform(state, lambda x, i: F.coalesce(F.get(held, i + (2 - at)), x))
+                return F.array_remove(_let(F.concat(new, F.array(number(-1))), put), number(-1))  # the pair's second entry goes
+
+            def long(new: Column) -> Column:  # plain copies are faster in long words, slower in short ones
+                own = F.when(at > 1, new).otherwise(F.slice(new, 2, 1))
+                return F.concat(F.slice(state, F.lit(1), F.greatest(at - 2, F.lit(0))), own, F.slice(state, at + 2, F.size(state)))
+
+            return _let(F.transform(F.array(before, own), entry), lambda new: F.when(F.size(state) > 64, long(new)).otherwise(short(new)))
 
         def step(state: Column, _: Column) -> Column:
             def found(least: Column) -> Column:

@@ -14,7 +14,8 @@ from pyspark.sql.window import Window
 from gridloom.llm.common import parallelism
 
 #: Low bits of a minimum: the k-mer's place in the text; the rest is its hash.
-_PLACE = (1 << 24) - 1
+_BITS = 31  # of a place, which is an int; a hash has the other 33
+_PLACE = (1 << _BITS) - 1
 _LOWEST = -(1 << 63)
 MOST_BUCKETS = 4096
 
@@ -61,8 +62,8 @@ def numbered_kmers(text: Column, k: int) -> Column:
 
 def _minima(tuples: int, width: int) -> list[Column]:
     """Minimal (hash, place) of the exploded k-mers under tuples * width hash orders, packed in longs."""
-    place = F.least(F.col("kmer.at"), F.lit(_PLACE)).cast("bigint")
-    high = lambda j: F.shiftleft(F.shiftrightunsigned(F.xxhash64("kmer.v", F.lit(j)), 24), 24)
+    place = F.col("kmer.at").cast("bigint")
+    high = lambda j: F.shiftleft(F.shiftrightunsigned(F.xxhash64("kmer.v", F.lit(j)), _BITS), _BITS)
     return [F.min(high(j).bitwiseOR(place)).alias(f"m{j}") for j in range(tuples * width)]
 
 
@@ -71,7 +72,7 @@ def _signature(tuples: int, width: int) -> Column:
     out = []
     for t in range(tuples):
         picked = [F.col(f"m{t * width + j}") for j in range(width)]
-        parts = [F.struct(p.bitwiseAND(F.lit(_PLACE).cast("bigint")).alias("at"), F.shiftrightunsigned(p, 24).alias("h")) for p in picked]
+        parts = [F.struct(p.bitwiseAND(F.lit(_PLACE).cast("bigint")).alias("at"), F.shiftrightunsigned(p, _BITS).alias("h")) for p in picked]
         out.append(F.xxhash64(F.array_sort(F.array(*parts)).getField("h")))
     return F.array(*out)
 

@@ -8,12 +8,14 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
-from gridloom.llm.byte_bpe import Codec, decode, encode, read_ranks
+from gridloom.llm.byte_bpe import Codec, decode, encode, read_ranks, spread
 from gridloom.llm.decontamination import match_benchmark, remove_contaminated
 from gridloom.llm.near_duplicates import drop_near_duplicates, link_near_duplicates, parity_bits
 from gridloom.llm.order_minhash import fingerprint_edits
@@ -77,6 +79,28 @@ def test_bpe_equals_the_library_and_decodes(docs, corpus, frequent):
         assert r.contaminated in ("clash", None)
 
 
+def test_bpe_of_long_words_and_texts(spark):
+    """Words of thousands of characters, runs of one letter, and a text of over 100,000 characters."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("etaoin shrdlu"[:6]) for _ in range(3000)), "a" * 2500, "é" * 900, "\n" * 1500, "9" * 700]
+    texts = [*words, prose(rng, 24_000) + " " + words[0][:500]]
+    assert len(texts[-1]) > 100_000
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in decode(encode(frame, codec(), frequent_words=10), codec()).collect():
+        assert r.ids == library.encode_ordinary(r.text)
+        assert bytes(r.decoded) == r.text.encode()
+
+
+def test_slots_never_collide():
+    keys = np.unique(np.random.default_rng(2).integers(0, 1 << 40, 20_000))
+    shifts, slots, size = spread(keys, keys)
+    assert len(np.unique(slots)) == len(keys) and slots.max() < size
+    assert (slots == (keys % size + shifts[keys % len(shifts)]) % size).all()
+    assert spread(keys[:0], keys[:0])[1].size == 0
+
+
 def test_bpe_of_an_empty_table(none):
     assert decode(encode(none, codec()), codec()).count() == 0
 
@@ -108,6 +132,30 @@ def test_base_spans_on_hostile_texts(text):
     assert base_spans(text) == brute_personal(text)
 
 
+@pytest.mark.parametrize("n", [1, 50, 1000])
+def test_secrets_are_found_at_every_size(spark, n):
+    """Tokens after their name are spans, sixteen digits that are no card are none, however many rows there are."""
+    rng = random.Random(n)
+    number = lambda: "4" + "".join(rng.choice("0123456789") for _ in range(14))
+    failing = lambda d: next(d + c for c in "0123456789" if not brute_personal(d + c))
+    token = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    rows, want = [], {}
+    for i in range(n):
+        before, t = prose(rng, 20), token()
+        text = f'{before} token = "{t}" {prose(rng, 9)} {failing(number())} {prose(rng, 3)}' if i % 10 == 0 else prose(rng, 30)
+        want[i] = f"secret:{len(before) + 10}:{len(before) + 50}" if i % 10 == 0 else ""
+        rows.append((i, text))
+    got = find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.spans for r in got} == want
+    assert all(r.n_spans == bool(want[r.doc_id]) for r in got)
+
+
+def test_many_candidates_in_one_text(spark):
+    text = " ".join(f"key{i:05d}abcdefghij{i * 7919:010d}" for i in range(20_000))
+    row = find_personal_data(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert row.n_spans > 0
+
+
 def test_personal_data(docs, corpus, none):
     texts = {r[0]: r[1] or "" for r in corpus}
     rows = find_personal_data(docs).collect()
@@ -201,8 +249,6 @@ def test_near_duplicates_of_an_empty_table(none):
 
 
 def test_parity_bits_never_exceed_the_difference():
-    import numpy as np
-
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 3000, rng.integers(1, 900))).astype(np.uint64) for _ in range(30)]
     bits = np.unpackbits(parity_bits(sets).view(np.uint8), axis=1)
@@ -276,6 +322,41 @@ def test_fingerprints(docs, corpus, none, buckets):
     assert fingerprint_edits(none).count() == 0
 
 
+def brute_fingerprint(text, k=3, tuples=20, width=2):
+    """Order MinHash in plain Python, with Spark's hashes."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    h64 = lambda data, seed: xxhash.xxh64(data, seed=seed % (1 << 64)).intdigest()
+    of_long = lambda x, seed=42: h64((x % (1 << 64)).to_bytes(8, "little"), seed)
+    of_int = lambda x, seed: h64(x.to_bytes(4, "little"), seed)
+    words = [w.encode() for w in re.split("[\x20\x09-\x0D]+", text) if w]
+    kmers = []
+    for i in range(len(words) - k + 1):
+        h = 42
+        for w in words[i : i + k]:
+            h = h64(w, h)
+        kmers.append(h)
+    kmers = kmers or [h64(b" ".join(words), 42)]
+    seen, numbered = collections.Counter(), []
+    for at, h in enumerate(kmers):
+        numbered.append((of_int(seen[h], of_long(h)), at))
+        seen[h] += 1
+    least = [min((signed(of_int(j, of_long(x)) >> 31 << 31), at) for x, at in numbered) for j in range(tuples * width)]
+    out = []
+    for t in range(tuples):
+        h = 42
+        for _, x in sorted((at, x % (1 << 64) >> 31) for x, at in least[t * width : (t + 1) * width]):
+            h = of_long(x, h)
+        out.append(f"{h:x}")
+    return " ".join(out)
+
+
+def test_fingerprints_by_brute_force(docs, corpus):
+    texts = {r[0]: r[1] or "" for r in corpus}
+    for r in fingerprint_edits(docs).collect():
+        if texts[r.doc_id].split():
+            assert r.fingerprint == brute_fingerprint(texts[r.doc_id])
+
+
 def test_fingerprints_tell_order_and_repetition(spark):
     a = " ".join(WORDS)
     texts = [a, " ".join(WORDS[10:] + WORDS[:10]), a + " " + a, a + " " + a + " " + a]
