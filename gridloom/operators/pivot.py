@@ -28,6 +28,18 @@ AGGREGATES = {
     "var": lambda x: F.coalesce(F.var_samp(_NUM(x)), F.lit(0.0)),
     "varp": lambda x: F.coalesce(F.var_pop(_NUM(x)), F.lit(0.0)),
 }
+#: Parts that each cell keeps, and the aggregates that totals can be made of them; x is the prefix of their names.
+_PARTS = {"sum": lambda x: F.sum(_NUM(x)), "count": lambda x: F.count(_NUM(x)), "min": lambda x: F.min(_NUM(x)), "max": lambda x: F.max(_NUM(x)), "product": lambda x: F.product(_NUM(x))}
+_part = lambda x, name: F.col(f"{x}_{name}")
+_MERGED = {
+    "sum": lambda x: F.coalesce(F.sum(_part(x, "sum")), F.lit(0.0)),
+    "count": lambda x: F.coalesce(F.sum(_part(x, "count")), F.lit(0)),
+    "countNums": lambda x: F.coalesce(F.sum(_part(x, "count")), F.lit(0)),
+    "average": lambda x: F.coalesce(F.try_divide(F.sum(_part(x, "sum")), F.sum(_part(x, "count"))), F.lit(0.0)),
+    "min": lambda x: F.coalesce(F.min(_part(x, "min")), F.lit(0.0)),
+    "max": lambda x: F.coalesce(F.max(_part(x, "max")), F.lit(0.0)),
+    "product": lambda x: F.coalesce(F.product(_part(x, "product")), F.lit(0.0)),
+}
 _TITLES = {"sum": "Sum", "count": "Count", "countNums": "Count", "average": "Average", "min": "Min", "max": "Max", "product": "Product", "stdDev": "StdDev", "stdDevp": "StdDevp", "var": "Var", "varp": "Varp"}
 SHOW_AS = ("percent_of_total", "percent_of_row", "percent_of_col", "running_total")
 
@@ -111,15 +123,20 @@ class Pivot:
         for name in labels:
             df = df.where(F.col(name).isNotNull() & (F.col(name).cast("string") != ""))
         where = {u: f"__v{i}" for i, u in enumerate(used)}
+        measure = lambda v: AGGREGATES[v.how](F.col(where[v.field]))
+        if labels and all(v.how in _MERGED for v in values):
+            # totals are merged from the cells' parts, so source rows are aggregated once and never multiplied
+            df = df.groupBy(*labels).agg(*[f(F.col(x)).alias(f"{x}_{name}") for x in where.values() for name, f in _PARTS.items()])
+            measure = lambda v: _MERGED[v.how](where[v.field])
         if self.top_n:
-            df = self._top(df, axes[self.rows[0]], AGGREGATES[values[0].how](F.col(where[values[0].field])))
+            df = self._top(df, axes[self.rows[0]], measure(values[0]))
         if self.label_filter:
             name, test, value = self.label_filter
             df = df.where(LABEL_TESTS[test](F.col(axes[name]).cast("string"), value))
         r, c = [axes[x] for x in self.rows], [axes[x] for x in self.cols]
         sets = [[*r[:i], *c[:j]] for i in self._depths(r, "rows") for j in self._depths(c, "cols")]
         totals = [F.grouping(x).cast("int") for x in (*r, *c)]
-        aggregates = [AGGREGATES[v.how](F.col(where[v.field])).alias(v.alias) for v in values]
+        aggregates = [measure(v).alias(v.alias) for v in values]
         out = df.groupingSets([[F.col(x) for x in s] for s in sets], *[F.col(x) for x in (*r, *c)]).agg(
             sum(totals[: len(r)], F.lit(0)).alias("row_level"), sum(totals[len(r) :], F.lit(0)).alias("col_level"), *aggregates
         )
