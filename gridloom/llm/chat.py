@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import slices
+
 
 class TemplateError(ValueError):
     pass
@@ -416,9 +418,16 @@ def format_conversations(conversations: DataFrame, template: str = TURNS) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         render = compile_template(template)
         for batch in batches:
-            done = [render(m) for m in batch.column("messages").to_pylist()]
-            masks = pa.array([[list(x) for x in o.mask] for o in done], pa.list_(pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), pa.array([o.text() for o in done], pa.string()), masks], ["conv_id", "formatted", "mask"])
+            first, held, texts, masks = 0, 0, [], []
+            for i in range(batch.num_rows):  # one conversation at a time, and batches out of about 8 MB
+                done = render(batch.column("messages")[i].as_py())
+                texts.append(done.text())
+                masks.append([list(x) for x in done.mask])
+                held += len(texts[-1])
+                if held > 8 << 20 or i + 1 == batch.num_rows:
+                    columns = [batch.column("conv_id").slice(first, len(texts)), pa.array(texts, pa.string()), pa.array(masks, pa.list_(pa.list_(pa.int64())))]
+                    yield pa.RecordBatch.from_arrays(columns, ["conv_id", "formatted", "mask"])
+                    first, held, texts, masks = i + 1, 0, [], []
 
     return whole.mapInArrow(run, f"conv_id {kind}, formatted string, mask array<array<bigint>>")
 
@@ -431,7 +440,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "formatted", 8 << 20):
             texts, masks = batch.column("formatted").to_pylist(), batch.column("mask").to_pylist()
             turns = [read_turns(t) for t in texts]
             loss = ["".join(unescape(t[a:b]) for a, b in m) for t, m in zip(texts, masks)]
