@@ -156,22 +156,3 @@ def array_values(spark, d):
     ids = call("SORT", F.collect_list("event_id"))
     out = table(spark, d, "events").groupBy("user_id").agg(ids.alias("a"), F.collect_list("event_type").alias("k"))
     return out.select("user_id", F.array_join(call("TAKE", F.col("a"), 3).cast("array<string>"), ",").alias("take"), call("ROWS", F.col("a")).alias("rows"), F.array_join(call("SORT", call("UNIQUE", F.col("k")), True), ",").alias("kinds"), call("REDUCE", F.lit(0).cast("bigint"), F.col("a"), lambda s, x: s + x).alias("total"))
-
-
-@query()
-def distribution_probabilities(spark, d):
-    """No SQL: these are tested against known values."""
-    x = F.col("c_acctbal") / 10000
-    return table(spark, d, "customer").select(
-        "c_custkey", call("NORM.S.DIST", x).alias("norm"), call("T.DIST.2T", F.abs(x), 10).alias("t"), call("CHISQ.DIST.RT", F.abs(x) * 10, 4).alias("chi"), call("F.DIST.RT", F.abs(x), 3, 12).alias("f"),
-        call("BINOM.DIST", F.col("c_custkey") % 11, 10, 0.4, True).alias("binom"), call("POISSON.DIST", F.col("c_custkey") % 8, 2.5, False).alias("poisson"), call("BETA.DIST", F.abs(x) % 1, 2, 3, True).alias("beta"),
-    )
-
-
-@query()
-def finance_solvers(spark, d):
-    """Internal rates and bond prices; no SQL, tested against known values."""
-    n = F.col("l_linenumber")
-    return table(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", call("RATE", 24 + n, -(200 + n), 4000).alias("rate"), call("PRICE", 40000, 43650 + n * 10, 0.05, 0.06, 100, 2, 0).alias("price"), call("COUPNUM", 40000, 43650 + n * 10, 2).alias("coupons"),
-    )

@@ -578,3 +578,34 @@ def lookup_indirect(spark, d):
     """INDIRECT: a named range is a view."""
     table(spark, d, "region").createOrReplaceTempView("gridloom_named_range")
     return C("INDIRECT", spark, "gridloom_named_range").agg(F.count("*").alias("n"), F.sum("r_regionkey").alias("keys"))
+
+
+@query(f"""SELECT c_custkey, round({_phi("x")}, 6) AS norm, round(1 - {_beta_i("(x * x / (10 + x * x))", "0.5", "5.0")}, 6) AS t, round(1 - {_gamma_p("2.0", "(abs(x) * 5)")}, 6) AS chi,
+  round(1 - {_beta_i("(3 * abs(x) / (3 * abs(x) + 12))", "1.5", "6.0")}, 6) AS f, round(list_sum([{_choose("10", "i")} * 0.4 ** i * 0.6 ** (10 - i) FOR i IN range(0, c_custkey % 11 + 1)]), 6) AS binom,
+  round(exp((c_custkey % 8) * ln(2.5) - 2.5 - lgamma(c_custkey % 8 + 1)), 6) AS poisson, round(6 * y ** 2 - 8 * y ** 3 + 3 * y ** 4, 6) AS beta
+FROM (SELECT *, c_acctbal / 10000 AS x, abs(c_acctbal / 10000) % 1 AS y FROM customer)""")
+def distribution_probabilities(spark, d):
+    """Tail and point probabilities of seven distributions at every customer's balance."""
+    x = F.col("c_acctbal") / 10000
+    out = table(spark, d, "customer").select(
+        "c_custkey", C("NORM.S.DIST", x).alias("norm"), C("T.DIST.2T", F.abs(x), 10).alias("t"), C("CHISQ.DIST.RT", F.abs(x) * 10, 4).alias("chi"), C("F.DIST.RT", F.abs(x), 3, 12).alias("f"),
+        C("BINOM.DIST", F.col("c_custkey") % 11, 10, 0.4, True).alias("binom"), C("POISSON.DIST", F.col("c_custkey") % 8, 2.5, False).alias("poisson"), C("BETA.DIST", F.abs(x) % 1, 2, 3, True).alias("beta"),
+    )
+    return out.select("c_custkey", *[_number(n) for n in out.columns[1:]])
+
+
+_LEFT_OVER = "CAST(ceil((120 + month(due) - 7 + (day(due) - 6) / 100.0) / 6) AS INTEGER)"
+_SINCE = f"(((2009 - year(due - to_months(6 * {_LEFT_OVER}))) * 360 + (7 - month(due - to_months(6 * {_LEFT_OVER}))) * 30 + 6 - day(due)) / 180.0)"
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, true AS rate_solves, price, coupons FROM lineitem JOIN (SELECT n, {_LEFT_OVER} AS coupons,
+  round(list_sum([(2.5 + CASE WHEN j = {_LEFT_OVER} - 1 THEN 100 ELSE 0 END) / CAST(1.03 AS DOUBLE) ** (j + 1 - {_SINCE}) FOR j IN range(0, {_LEFT_OVER})]) - 2.5 * {_SINCE}, 6) AS price
+  FROM (SELECT n, DATE '1899-12-30' + CAST(43650 + n * 10 AS INTEGER) AS due FROM range(1, 8) t(n))) ON l_linenumber = n""")
+def finance_solvers(spark, d):
+    """RATE by the annuity's present value at the rate found, which has to be that of the loan; bond prices by 30/360."""
+    n = F.col("l_linenumber")
+    out = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", C("RATE", 24 + n, -(200 + n), 4000).alias("rate"), C("PRICE", 40000, 43650 + n * 10, 0.05, 0.06, 100, 2, 0).alias("price"), C("COUPNUM", 40000, 43650 + n * 10, 2).cast("int").alias("coupons"),
+    )
+    solves = F.abs(C("PV", F.col("rate"), 24 + n, -(200 + n)) - 4000) < 1e-5
+    return out.select("l_orderkey", "l_linenumber", solves.alias("rate_solves"), _number("price"), "coupons")
