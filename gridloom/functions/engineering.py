@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import cmath
+import math
 import re
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StructType
 
 from gridloom.functions.base import c, fn, num, ok
 
@@ -202,32 +200,39 @@ def im_product(*z) -> Column:
     return show_complex(out)
 
 
-def _function(f):
-    """A complex function on batches of (re, im)."""
+def _complex(part: Callable[[Column, Column], Column]) -> Callable[[Column], Column]:
+    """A function of a complex number's struct, from one of its two parts."""
+    return lambda w: part(w["re"], w["im"])
 
-    def each(a, b, *rest):
-        try:
-            z = f(complex(a, b), *rest)
-            return z.real, z.imag
-        except (ValueError, ZeroDivisionError, OverflowError, TypeError):
-            return None, None
 
-    def batch(re_: pd.Series, im: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([each(a, b) for a, b in zip(re_, im)], columns=["re", "im"], dtype="float64")
+def _polar(size: Column, angle: Column) -> Column:
+    return _pair(size * F.cos(angle), size * F.sin(angle))
 
-    udf = pandas_udf(batch, StructType().add("re", "double").add("im", "double"))
-    def build(z) -> Column:
-        pair = parse_complex(z)
-        return show_complex(udf(pair["re"], pair["im"]))
 
-    return build
+_log = lambda base: _complex(lambda a, b: _pair(F.ln(F.hypot(a, b)) / base, F.atan2(b, a) / base))
+_sin = _complex(lambda a, b: _pair(F.sin(a) * F.cosh(b), F.cos(a) * F.sinh(b)))
+_cos = _complex(lambda a, b: _pair(F.cos(a) * F.cosh(b), -F.sin(a) * F.sinh(b)))
+_sinh = _complex(lambda a, b: _pair(F.sinh(a) * F.cos(b), F.cosh(a) * F.sin(b)))
+_cosh = _complex(lambda a, b: _pair(F.cosh(a) * F.cos(b), F.sinh(a) * F.sin(b)))
+_one = lambda: _pair(F.lit(1.0), F.lit(0.0))
+
+
+def _inverse(f):
+    return lambda w: _over(_one(), f(w))
+
+
+def _shown(f):
+    """The spreadsheet function of a function on structs; what overflows or has no value is an error."""
+    known = lambda x: F.when(F.abs(x) < float("inf"), x)  # noqa: E731  NaN is not below infinity
+    whole = lambda w: _let(f(w), lambda v: _pair(known(v["re"]), known(v["im"])))
+    return lambda z: show_complex(_let(parse_complex(z), whole))
 
 
-_INVERSE = lambda f: lambda z: 1 / f(z)
 for _name, _f in {
-    "IMSQRT": cmath.sqrt, "IMEXP": cmath.exp, "IMLN": cmath.log, "IMLOG10": cmath.log10, "IMLOG2": lambda z: cmath.log(z) / cmath.log(2),
-    "IMSIN": cmath.sin, "IMCOS": cmath.cos, "IMTAN": cmath.tan, "IMSINH": cmath.sinh, "IMCOSH": cmath.cosh, "IMSEC": _INVERSE(cmath.cos),
-    "IMCSC": _INVERSE(cmath.sin), "IMCOT": _INVERSE(cmath.tan), "IMSECH": _INVERSE(cmath.cosh), "IMCSCH": _INVERSE(cmath.sinh),
+    "IMSQRT": _complex(lambda a, b: _polar(F.sqrt(F.hypot(a, b)), F.atan2(b, a) / 2)), "IMEXP": _complex(lambda a, b: _polar(F.exp(a), b)),
+    "IMLN": _log(1.0), "IMLOG10": _log(math.log(10)), "IMLOG2": _log(math.log(2)), "IMSIN": _sin, "IMCOS": _cos, "IMTAN": lambda w: _over(_sin(w), _cos(w)),
+    "IMSINH": _sinh, "IMCOSH": _cosh, "IMSEC": _inverse(_cos), "IMCSC": _inverse(_sin), "IMCOT": lambda w: _over(_cos(w), _sin(w)), "IMSECH": _inverse(_cosh),
+    "IMCSCH": _inverse(_sinh),
 }.items():
-    fn(_name)(_function(_f))
-fn("IMPOWER")(lambda z, n: _function(lambda w, n=n: w**n)(z))
+    fn(_name)(_shown(_f))
+fn("IMPOWER")(lambda z, n: _shown(_complex(lambda a, b: _polar(F.pow(F.hypot(a, b), num(n)), F.atan2(b, a) * num(n))))(z))
