@@ -1,15 +1,16 @@
 """Language-model scores by a hierarchical Pitman-Yor model of words.
 
-A word's context is the class of the word before it (a hash class). Restaurants of single classes share
-parents, one for each of a few coarser classes, and those share the root, whose base is uniform over the
-vocabulary. Gibbs sweeps seat each word's customers anew, restaurant by restaurant; scores use predictive
-probabilities averaged over the sweeps after a burn-in.
-
-All restaurants' cells of one word lie in one bucket, so that tables sent to a parent stay there; only the
-restaurants' totals, whose number is fixed, pass through the driver between sweeps. Text is cut into
-slices; a slice's tokens travel once to their words' buckets as compressed postings, and the buckets send
-back one sum per document and bucket. The few most frequent words, whose postings could fill one bucket,
-keep their postings spread and get a small table of probabilities instead.
+A word's context is the word before it, or the end mark at a text's start. Every context is a restaurant of
+its own; all of them share the unigram restaurant as their parent, whose base is uniform over the vocabulary.
+Gibbs sweeps remove all customers of one dish from a restaurant and reseat them given everybody else; scores
+use predictive probabilities averaged over the sweeps after a burn-in.
+
+All cells (context, word) of one word lie in one bucket, so that tables sent to the parent stay there. A
+context's cells lie in many buckets: between sweeps each bucket sends its share of every context's totals to
+the context's group, and gets the sums back. Text is cut into slices; a slice's tokens travel once to their
+buckets as compressed postings, and the buckets send back one sum per document and bucket. Of the few most
+frequent words, whose postings could fill one bucket, the cells are dealt by their contexts; pairs of two
+such words keep their postings spread and get a small table of probabilities instead.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import count
 
 import numpy as np
@@ -28,24 +30,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import parallelism, slices, stage_table
+from gridloom.llm.common import discard, parallelism, slices, stage_table
 
-CLASSES = 4096  # of a previous word; one more for a text's start
-CONTEXTS = CLASSES + 1
-PARENTS = 64
 MOST_HOT = 256
-_HOT_BUCKETS = 64
 _END = b"\n"
 _FIXED = 1 << 30  # log10 values travel as integers of this scale
-_BITS = 13  # of a context
+_EXACT = 128  # customers of a dish up to which their tables are drawn exactly
 
 
 @dataclass(frozen=True)
 class Strengths:
-    """Discounts and concentrations of the class, parent and root restaurants, and the sweeps."""
+    """Discounts and concentrations of the context restaurants and of their parent, and the sweeps."""
 
-    discounts: tuple[float, float, float] = (0.6, 0.7, 0.75)
-    concentrations: tuple[float, float, float] = (20.0, 20.0, 10.0)
+    discounts: tuple[float, float] = (0.7, 0.75)
+    concentrations: tuple[float, float] = (5.0, 10.0)
     burn_in: int = 1
     samples: int = 3
     seed: int = 7
@@ -105,68 +103,70 @@ def _frequent(docs: DataFrame, buckets: int, slice_bytes: int) -> list[int]:
     return [r.h + (1 << 63) for r in found if r.h is not None and r.n * 4 * buckets >= total]
 
 
-def _postings(docs: DataFrame, buckets: int, hot: list[int], slice_bytes: int) -> DataFrame:
-    """Rows (kind, bucket, slice, data): d: a slice's documents, p: postings of a bucket's words,
-    h: postings of frequent words, which stay spread, c: a task's counts of frequent words."""
+def _postings(docs: DataFrame, buckets: int, hot: np.ndarray, slice_bytes: int) -> DataFrame:
+    """Rows (kind, bucket, slice, data): d: a slice's documents, p: postings of a bucket's cells,
+    h: postings of pairs of frequent words, which stay spread, c: a task's counts of such pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_set = np.sort(np.array(hot, np.uint64))
-        hot_cells = np.zeros((len(hot_set), CONTEXTS), np.int64)
+        pairs = np.zeros((len(hot), len(hot)), np.int64)
         task, number = TaskContext.get().partitionId(), 0
         spread = lambda s: -1 - s % buckets
         for batch in slices(batches, "text", slice_bytes):
             for part in range(0, batch.num_rows, 60_000):
                 own = batch.slice(part, 60_000)
-                rows: list[tuple] = []
                 at = (task << 32) | number
                 number += 1
                 ids = own.column("doc_id").to_pylist()
                 held = np.array([held_out(i) for i in ids], bool)
-                rows.append(("d", spread(at), at, _pack(np.array([i is None for i in ids]), np.array([i or 0 for i in ids], np.int64), held)))
-                local: defaultdict = defaultdict(count().__next__)
-                number_of, sizes, flat = local.__getitem__, [], []
-                for t in own.column("text").to_pylist():
-                    w = tokens(t)
-                    sizes.append(len(w))
-                    flat.extend(map(number_of, w))
-                flat = np.array(flat, np.int64)
-                h = np.fromiter(map(_hash, local), np.uint64, len(local))
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                context = np.empty(len(flat), np.int64)
-                context[1:] = (h % np.uint64(CLASSES)).astype(np.int64)[flat[:-1]]
-                context[np.cumsum([0, *sizes[:-1]])] = CLASSES
-                bucket = ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-                bucket[np.isin(h, hot_set)] = buckets
-                order = np.lexsort((h, bucket))
-                rank = np.empty(len(h), np.int64)
-                rank[order] = np.arange(len(h))
-                key, n = np.unique((rank[flat] << (_BITS + 16)) | (context << 16) | doc, return_counts=True)
-                word, k, d = key >> (_BITS + 16), (key >> 16) & ((1 << _BITS) - 1), key & 0xFFFF
-                h, bucket = h[order], bucket[order]
-                edges = np.searchsorted(bucket[word], np.arange(buckets + 2))
-                first = np.searchsorted(bucket, np.arange(buckets + 2))
-                for b in range(buckets + 1):
+                rows = [("d", spread(at), at, _pack(np.array([i is None for i in ids]), np.array([i or 0 for i in ids], np.int64), held))]
+                h, w, u, d, n = _counted(own.column("text").to_pylist())
+                often = np.isin(h, hot)
+                ours = ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+                bucket = np.where(~often[w], ours[w], np.where(~often[u], ours[u], buckets))
+                order = np.argsort(bucket, kind="stable")
+                w, u, d, n, bucket = w[order], u[order], d[order], n[order], bucket[order]
+                edges = np.searchsorted(bucket, np.arange(buckets + 2))
+                for b in range(buckets):
                     i, j = edges[b], edges[b + 1]
-                    if i == j:
-                        continue
-                    per_word = np.bincount(word[i:j] - first[b], minlength=first[b + 1] - first[b]).astype(np.uint32)
-                    data = _pack(h[first[b] : first[b + 1]], per_word, k[i:j].astype(np.uint16), d[i:j].astype(np.uint16), n[i:j].astype(np.uint32), held[d[i:j]])
-                    rows.append(("p", b, at, data) if b < buckets else ("h", spread(at), at, data))
+                    if i < j:
+                        words, per_word = np.unique(w[i:j], return_counts=True)
+                        before, k = np.unique(u[i:j], return_inverse=True)
+                        k = k.astype(np.uint16 if len(before) < 1 << 16 else np.uint32)
+                        rows.append(("p", b, at, _pack(h[words], per_word.astype(np.uint32), h[before], k, d[i:j].astype(np.uint16), n[i:j].astype(np.uint32), held[d[i:j]])))
                 i, j = edges[buckets], edges[buckets + 1]
-                learnt = ~held[d[i:j]]
-                np.add.at(hot_cells, (np.searchsorted(hot_set, h[word[i:j]][learnt]), k[i:j][learnt]), n[i:j][learnt])
+                if i < j:
+                    word, before = np.searchsorted(hot, h[w[i:j]]), np.searchsorted(hot, h[u[i:j]])
+                    learnt = ~held[d[i:j]]
+                    np.add.at(pairs, (word[learnt], before[learnt]), n[i:j][learnt])
+                    rows.append(("h", spread(at), at, _pack(word.astype(np.uint16), before.astype(np.uint16), d[i:j].astype(np.uint16), n[i:j].astype(np.uint32))))
                 yield _rows(rows)
-        rows = []
-        for b in range(min(_HOT_BUCKETS, len(hot_set))):
-            mine = np.arange(b, len(hot_set), _HOT_BUCKETS)
-            w, k = np.nonzero(hot_cells[mine])
-            if len(w):
-                rows.append(("c", buckets + b, 0, _pack(hot_set[mine], w.astype(np.uint8), k.astype(np.uint16), hot_cells[mine][w, k])))
-        yield _rows(rows)
+        yield _rows([("c", buckets + i, 0, _pack(own)) for i, own in enumerate(pairs) if number])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
 
 
+def _counted(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """Hashes of the distinct words in order, and word, previous word, text and count of each distinct triple."""
+    local: defaultdict = defaultdict(count().__next__)
+    number_of, sizes, flat = local.__getitem__, [], []
+    for t in texts:
+        own = tokens(t)
+        sizes.append(len(own))
+        flat.extend(map(number_of, own))
+    h = np.fromiter(map(_hash, local), np.uint64, len(local))
+    order = np.argsort(h)
+    rank = np.empty(len(h), np.uint64)
+    rank[order] = np.arange(len(h), dtype=np.uint64)
+    w = rank[np.array(flat, np.int64)]
+    u = np.roll(w, 1)
+    u[np.cumsum([0, *sizes[:-1]])] = rank[local[_END]]
+    high, low = np.uint64(max(1, len(h).bit_length())), np.uint64(len(sizes).bit_length())
+    doc = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    key, n = np.unique((w << (high + low)) | (u << low) | doc, return_counts=True)
+    part = lambda x, bits: (x & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    return h[order], (key >> (high + low)).astype(np.int64), part(key >> low, high), part(key, low), n
+
+
 _SCHEMA = "kind string, bucket bigint, slice bigint, data binary"
 
 
@@ -178,183 +178,275 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 _MERGED = "kind string, bucket bigint, slice bigint, cells binary, data binary"
 
 
-def _merge(rows: pd.DataFrame) -> pd.DataFrame:
-    """One bucket: cells (word, context, learnt count) of all its postings; postings then point at cells."""
-    out = [(r.kind, r.bucket, r.slice, None, r.data) for r in rows.itertuples() if r.kind in "dh"]
-    posted = [(r.slice, _unpack(r.data)) for r in rows.itertuples() if r.kind == "p"]
-    if posted:
-        words, inverse = np.unique(np.concatenate([p[0] for _, p in posted]), return_inverse=True)
-        keys, starts, at = [], [], 0
-        for _, p in posted:
-            own = inverse[at : at + len(p[0])]
-            at += len(p[0])
-            keys.append((np.repeat(own, p[1]).astype(np.int64) << _BITS) | p[2])
-        cells, where = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.concatenate([p[4] * ~p[5] for _, p in posted])
-        learnt = np.bincount(where, n, len(cells)).astype(np.int64)
-        packed, at = [], 0
-        for (s, p), key in zip(posted, keys):
-            own = where[at : at + len(key)].astype(np.int64)
-            at += len(key)
-            order = np.argsort(own, kind="stable")
-            packed += [np.array([s, len(own)], np.int64), np.diff(own[order], prepend=0).astype(np.uint32), p[3][order], p[4][order]]
-        out.append(("m", int(rows.bucket.iloc[0]), 0, _pack(np.diff(cells, prepend=0), learnt, words), _pack(*packed)))
-    hot = [_unpack(r.data) for r in rows.itertuples() if r.kind == "c"]
-    if hot:
-        words = hot[0][0]
-        table = np.zeros((len(words), CONTEXTS), np.int64)
-        for _, w, k, n in hot:
-            np.add.at(table, (w, k), n)
-        cells = (np.arange(len(words))[:, None] << _BITS | np.arange(CONTEXTS)).ravel()
-        out.append(("c", int(rows.bucket.iloc[0]), 0, _pack(np.diff(cells, prepend=0), table.ravel(), words), None))
-    return pd.DataFrame(out, columns=["kind", "bucket", "slice", "cells", "data"])
-
-
-def seat(customers: np.ndarray, open_weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables that ``customers`` of each dish take when seated one after another.
-
-    ``open_weight`` is (concentration + discount * tables) * parent's probability. Beyond 16 customers
-    they are seated in blocks of a sixteenth of those present, with the block's first odds.
-    """
-    tables = (customers > 0).astype(np.int64)
-    active, present = np.flatnonzero(customers > 1), 1
-    while len(active):
-        block = np.minimum(max(1, present // 16), customers[active] - present)
-        w = open_weight[active]
-        tables[active] += rng.binomial(block, w / (w + present - discount * tables[active]))
-        present += max(1, present // 16)
-        active = active[customers[active] > present]
-    return tables
+def _merging(hot: np.ndarray, buckets: int):
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        """One bucket: cells (word, context, learnt count) of all its postings; postings then point at cells."""
+        out = [(r.kind, r.bucket, r.slice, None, r.data) for r in rows.itertuples() if r.kind in "dh"]
+        posted = [(r.slice, _unpack(r.data)) for r in rows.itertuples() if r.kind == "p"]
+        number = int(rows.bucket.iloc[0])
+        if posted:
+            words, inverse = np.unique(np.concatenate([p[0] for _, p in posted]), return_inverse=True)
+            contexts = np.unique(np.concatenate([p[2] for _, p in posted]))
+            keys, at = [], 0
+            for _, p in posted:
+                own = inverse[at : at + len(p[0])]
+                at += len(p[0])
+                keys.append(np.repeat(own, p[1]).astype(np.int64) * len(contexts) + np.searchsorted(contexts, p[2])[p[3]])
+            cells, where = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.concatenate([p[5] * ~p[6] for _, p in posted])
+            learnt = np.bincount(where, n, len(cells)).astype(np.int64)
+            packed, at = [], 0
+            for (s, p), key in zip(posted, keys):
+                own = where[at : at + len(key)].astype(np.int64)
+                at += len(key)
+                order = np.argsort(own, kind="stable")
+                packed += [np.array([s, len(own)], np.int64), np.diff(own[order], prepend=0).astype(np.uint32), p[4][order], p[5][order]]
+            out.append(("m", number, 0, _pack(np.diff(cells, prepend=0), learnt, words, contexts), _pack(*packed)))
+        pairs = [_unpack(r.data)[0] for r in rows.itertuples() if r.kind == "c"]
+        if pairs:
+            cells = _pack(np.diff(np.arange(len(hot)), prepend=0), sum(pairs), hot[number - buckets : number - buckets + 1], hot)
+            out.append(("c", number, 0, cells, None))
+        return pd.DataFrame(out, columns=["kind", "bucket", "slice", "cells", "data"])
+
+    return merge
+
+
+@lru_cache(4)
+def _seatings(discount: float) -> np.ndarray:
+    """Logarithms of the weights of seating n customers at t tables (generalised Stirling numbers)."""
+    out = np.full((_EXACT + 1, _EXACT + 1), -np.inf)
+    out[0, 0] = 0.0
+    t = np.arange(_EXACT + 1)
+    for n in range(_EXACT):
+        with np.errstate(divide="ignore"):
+            stay = out[n] + np.log(np.maximum(n - discount * t, 0))
+        out[n + 1, 1:] = np.logaddexp(out[n, :-1], stay[1:])
+    return out
 
 
-class Bucket:
-    """The restaurants' cells of some words, and their seating."""
+def reseat(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, discount: float, concentration: float, rng: np.random.Generator) -> np.ndarray:
+    """Remove all ``customers`` of each dish and seat them again: the tables that they take.
 
-    def __init__(self, number: int, cells: bytes, strengths: Strengths):
-        key, self.c2, self.words = _unpack(cells)
-        key = np.cumsum(key)
-        self.number, self.strengths = number, strengths
-        self.word, self.k2 = key >> _BITS, key & ((1 << _BITS) - 1)
-        self.up, self.up_of = np.unique(self.word * PARENTS + self.k2 % PARENTS, return_inverse=True)
-        self.k1, self.root_of = self.up % PARENTS, self.up // PARENTS
-        self.t2 = (self.c2 > 0).astype(np.int64)
-        self.lift()
-        self.t1, self.t0 = (self.c1 > 0).astype(np.int64), None
-        self.c0 = np.bincount(self.root_of, self.t1, len(self.words)).astype(np.int64)
-        self.t0 = (self.c0 > 0).astype(np.int64)
-
-    def lift(self) -> None:
-        self.c1 = np.bincount(self.up_of, self.t2, len(self.up)).astype(np.int64)
-
-    def totals(self) -> np.ndarray:
-        """Tables of each class restaurant, of each parent and of the root."""
-        two = np.bincount(self.k2, self.t2, CONTEXTS)
-        one = np.bincount(self.k1, self.t1, PARENTS)
-        return np.concatenate([two, one, [self.t0.sum()]]).astype(np.int64)
-
-    def predictive(self, totals: np.ndarray, guests: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probabilities at the cells, at the parents' cells and at the root, under the present seating."""
-        (d2, d1, d0), (s2, s1, s0) = self.strengths.discounts, self.strengths.concentrations
-        two, one, root = totals[:CONTEXTS], totals[CONTEXTS:-1], totals[-1]
-        parents = np.bincount(np.arange(CONTEXTS) % PARENTS, two, PARENTS)
-        p0 = (self.c0 - d0 * self.t0 + (s0 + d0 * root) / (vocabulary + 1)) / (s0 + one.sum())
-        p1 = (self.c1 - d1 * self.t1 + (s1 + d1 * one[self.k1]) * p0[self.root_of]) / (s1 + parents[self.k1])
-        p2 = (self.c2 - d2 * self.t2 + (s2 + d2 * two[self.k2]) * p1[self.up_of]) / (s2 + guests[self.k2])
-        return p2, p1, p0
-
-    def sweep(self, number: int, totals: np.ndarray, guests: np.ndarray, vocabulary: int) -> None:
-        """Seat all customers anew, from the class restaurants up, given the last sweep's totals."""
-        rng = np.random.default_rng([self.strengths.seed, number, self.number + (1 << 20)])
-        (d2, d1, d0), (s2, s1, s0) = self.strengths.discounts, self.strengths.concentrations
-        _, p1, p0 = self.predictive(totals, guests, vocabulary)
-        self.t2 = seat(self.c2, (s2 + d2 * totals[:CONTEXTS][self.k2]) * p1[self.up_of], d2, rng)
-        self.lift()
-        self.t1 = seat(self.c1, (s1 + d1 * totals[CONTEXTS:-1][self.k1]) * p0[self.root_of], d1, rng)
-        self.c0 = np.bincount(self.root_of, self.t1, len(self.words)).astype(np.int64)
-        self.t0 = seat(self.c0, np.full(len(self.words), (s0 + d0 * totals[-1]) / (vocabulary + 1)), d0, rng)
-
-    def averaged(self, history: list[np.ndarray], guests: np.ndarray, vocabulary: int) -> np.ndarray:
-        """Mean predictive probability of each cell over the sweeps after the burn-in."""
-        total = np.zeros(len(self.k2))
-        for i in range(1, len(history)):
-            self.sweep(i, history[i - 1], guests, vocabulary)
-            if i > self.strengths.burn_in:
-                total += self.predictive(history[i], guests, vocabulary)[0]
-        return total / max(1, len(history) - 1 - self.strengths.burn_in)
-
-    def learnt(self) -> np.ndarray:
-        return np.bincount(self.word, self.c2, len(self.words)).astype(np.int64)
+    ``others`` are the tables of the restaurant's other dishes and ``parent`` the parent's probability of the
+    dish. Up to 128 customers the number of tables is drawn from its exact conditional distribution. For more,
+    tables are a Poisson number with independent sizes, tilted so that the sizes are expected to add up to the
+    customers: a draw from the normal (or, for few tables, shifted Poisson) limit of that.
+    """
+    tables = np.minimum(customers, 1).astype(np.int64)
+    weights = _seatings(discount)
+    some = np.flatnonzero((customers > 1) & (customers <= _EXACT))
+    some = some[np.argsort(customers[some], kind="stable")]
+    sizes, first = np.unique(customers[some], return_index=True)
+    for c, i, j in zip(sizes, first, [*first[1:], len(some)]):
+        t = np.arange(c)
+        for k in range(i, j, max(1, 1_000_000 // c)):
+            own = some[k : min(j, k + max(1, 1_000_000 // c))]
+            odds = np.log((concentration + discount * (others[own, None] + t)) * parent[own, None])
+            odds = np.cumsum(odds, 1) + weights[c, 1 : c + 1]
+            odds = np.cumsum(np.exp(odds - odds.max(1, keepdims=True)), 1)
+            drawn = (odds < rng.random((len(own), 1)) * odds[:, -1:]).sum(1)
+            tables[own] = 1 + np.minimum(drawn, c - 1)
+    many = np.flatnonzero(customers > _EXACT)
+    if len(many):
+        c = customers[many].astype(float)
+        start = (concentration + discount * others[many]) * parent[many]
+        lo, hi = np.full(len(c), -60.0), np.full(len(c), 400.0)
+        for _ in range(60):
+            z = (lo + hi) / 2
+            below = np.log(start) - np.logaddexp(0, -z) + (1 - discount) * np.logaddexp(0, z) < np.log(c)
+            lo, hi = np.where(below, z, lo), np.where(below, hi, z)
+        mean = start * -np.expm1(-discount * np.logaddexp(0, lo)) / discount
+        spread = np.maximum(mean - c / (1 + (1 - discount) * np.exp(lo)), 0)
+        few = mean < 30
+        drawn = np.where(few, 1 + rng.poisson(np.minimum(mean, 30)), np.rint(mean + np.sqrt(spread) * rng.standard_normal(len(c))))
+        tables[many] = np.clip(drawn, 1, c)
+    return tables
 
 
 @dataclass
-class Model:
-    """What the driver knows: the restaurants' totals after each sweep, fixed in number."""
+class Root:
+    """What the driver knows: sums over the parent restaurant, and its cells of the frequent words."""
 
     strengths: Strengths
-    guests: np.ndarray
-    history: list[np.ndarray]
+    hot: np.ndarray
+    hot_learnt: np.ndarray
+    hot_customers: np.ndarray
+    hot_tables: np.ndarray
+    customers: int
+    tables: int
     tokens: int
     vocabulary: int
 
+    def probabilities(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        d, s = self.strengths.discounts[1], self.strengths.concentrations[1]
+        return (customers - d * tables + (s + d * self.tables) / (self.vocabulary + 1)) / (s + self.customers)
+
     def base(self, learnt: np.ndarray) -> np.ndarray:
         return np.log10((learnt + 0.5) / (self.tokens + 0.5 * (self.vocabulary + 1)))
 
 
-def _sum_rows(df: DataFrame) -> np.ndarray:
-    """The sum of the tasks' arrays (column x), by way of about the square root of their number of groups."""
+class Bucket:
+    """The restaurants' cells of some words, and their seating."""
+
+    def __init__(self, number: int, cells: bytes, seats: bytes | None, hot: np.ndarray):
+        key, self.c, self.words, self.contexts = _unpack(cells)
+        key = np.cumsum(key)
+        self.number = number
+        self.word, self.k = key // len(self.contexts), key % len(self.contexts)
+        self.learnt = np.bincount(self.word, self.c, len(self.words)).astype(np.int64)
+        self.often = np.isin(self.words, hot)
+        self.hot_at = np.searchsorted(hot, self.words[self.often])
+        if seats is None:
+            self.t = np.minimum(self.c, 1)
+            self.root_t = (self.learnt > 0).astype(np.int64)
+            self.total = np.zeros(len(self.c), np.float32)
+        else:
+            t, root_t, self.total = _unpack(seats)
+            self.t, self.root_t = t.astype(np.int64), root_t.astype(np.int64)
+
+    def seats(self) -> bytes:
+        return _pack(self.t.astype(np.uint32), self.root_t.astype(np.uint32), self.total)
+
+    def sent(self) -> np.ndarray:
+        """Customers of the parent restaurant from these cells, word by word."""
+        return np.bincount(self.word, self.t, len(self.words)).astype(np.int64)
+
+    def sums(self, hot: int) -> np.ndarray:
+        """Learnt tokens, vocabulary, customers and tables of the parent but for frequent words; those words' own."""
+        out = np.zeros(4 + 2 * hot, np.int64)
+        rest, sent = ~self.often, self.sent()
+        out[:4] = self.c.sum(), (self.learnt[rest] > 0).sum(), sent[rest].sum(), self.root_t[rest].sum()
+        np.add.at(out, 4 + self.hot_at, self.learnt[self.often])
+        np.add.at(out, 4 + hot + self.hot_at, sent[self.often])
+        return out
+
+    def shares(self) -> tuple[np.ndarray, np.ndarray]:
+        """This bucket's part of each context's customers and tables."""
+        n = len(self.contexts)
+        return np.bincount(self.k, self.c, n).astype(np.int64), np.bincount(self.k, self.t, n).astype(np.int64)
+
+    def parent(self, root: Root) -> np.ndarray:
+        customers, tables = self.sent(), self.root_t.copy()
+        customers[self.often], tables[self.often] = root.hot_customers[self.hot_at], root.hot_tables[self.hot_at]
+        return root.probabilities(customers, tables)
+
+    def predictive(self, root: Root, guests: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Probability of each cell's word after its context, under the present seating."""
+        d, s = root.strengths.discounts[0], root.strengths.concentrations[0]
+        return (self.c - d * self.t + (s + d * tables[self.k]) * self.parent(root)[self.word]) / (s + guests[self.k])
+
+    def sweep(self, number: int, root: Root, tables: np.ndarray) -> None:
+        """Reseat the customers of every cell, then the parent's, given all others as of the last sweep."""
+        rng = np.random.default_rng([root.strengths.seed, number, self.number])
+        (d, e), (s, r) = root.strengths.discounts, root.strengths.concentrations
+        self.t = reseat(self.c, tables[self.k] - self.t, self.parent(root)[self.word], d, s, rng)
+        flat = np.full(len(self.words), 1 / (root.vocabulary + 1))
+        self.root_t = reseat(self.sent() * ~self.often, root.tables - self.root_t, flat, e, r, rng)
+
+
+def _root(state: DataFrame, strengths: Strengths, hot: np.ndarray, before: Root | None, number: int) -> Root:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(4 + 2 * len(hot), np.int64)
+        for b in _buckets(batches, hot):
+            total += b.sums(len(hot))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["x"])
+
+    found = [np.frombuffer(bytes(r.x), np.int64) for r in _sum_rows(state.mapInArrow(run, "x binary")).collect()]
+    total = sum(found, np.zeros(4 + 2 * len(hot), np.int64))
+    learnt, customers = total[4 : 4 + len(hot)], total[4 + len(hot) :]
+    vocabulary = int(total[1] + (learnt > 0).sum())
+    if before is None:
+        tables = np.minimum(customers, 1)
+    else:
+        flat = np.full(len(hot), 1 / (vocabulary + 1))
+        tables = reseat(customers, before.tables - before.hot_tables, flat, strengths.discounts[1], strengths.concentrations[1], np.random.default_rng([strengths.seed, number]))
+    return Root(strengths, hot, learnt, customers, tables, int(total[2] + customers.sum()), int(total[3] + tables.sum()), int(total[0]), vocabulary)
+
+
+def _sum_rows(df: DataFrame) -> DataFrame:
+    """The tasks' arrays (column x), added up in about the square root of their number of groups."""
     groups = max(1, int(parallelism(df.sparkSession) ** 0.5))
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"x": [sum(np.frombuffer(x, np.int64) for x in rows.x).tobytes()]})
 
-    few = df.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(groups))).groupBy("g").applyInPandas(add, "x binary")
-    found = [np.frombuffer(bytes(r.x), np.int64) for r in few.collect()]
-    return sum(found) if found else np.zeros(0, np.int64)
+    return df.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(groups))).groupBy("g").applyInPandas(add, "x binary")
 
 
-def _train(merged: DataFrame, strengths: Strengths) -> Model:
-    cells = merged.where("cells is not null").select("bucket", "cells")
-
-    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
-        for number, data in _buckets(batches):
-            b = Bucket(number, data, strengths)
-            guests = np.bincount(b.k2, b.c2, CONTEXTS).astype(np.int64)
-            total = total + np.concatenate([guests, [(b.learnt() > 0).sum()], b.totals()])
-        yield _array(total)
-
-    first = _sum_rows(cells.mapInArrow(begin, "x binary"))
-    if not len(first):
-        first = np.zeros(CONTEXTS + 1 + CONTEXTS + PARENTS + 1, np.int64)
-    guests, vocabulary = first[:CONTEXTS], int(first[CONTEXTS])
-    history = [first[CONTEXTS + 1 :]]
-    for _ in range(strengths.burn_in + strengths.samples):
-        past = list(history)
-
-        def step(batches: Iterator[pa.RecordBatch], past=past) -> Iterator[pa.RecordBatch]:
-            total = 0
-            for number, data in _buckets(batches):
-                b = Bucket(number, data, strengths)
-                for i, totals in enumerate(past, 1):
-                    b.sweep(i, totals, guests, vocabulary)
-                total = total + b.totals()
-            yield _array(total)
-
-        after = _sum_rows(cells.mapInArrow(step, "x binary"))
-        history.append(after if len(after) else history[-1])
-    return Model(strengths, guests, history, int(guests.sum()), vocabulary)
-
-
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
+def _buckets(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[Bucket]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield batch.column("bucket")[i].as_py(), batch.column("cells")[i].as_py()
+            yield Bucket(*(batch.column(c)[i].as_py() for c in ("bucket", "cells", "seats")), hot)
 
 
-def _array(x: np.ndarray | int) -> pa.RecordBatch:
-    """One row, or none where a task had no bucket."""
-    rows = [] if isinstance(x, int) else [np.asarray(x, np.int64).tobytes()]
-    return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["x"])
+def _group_of(contexts: np.ndarray, groups: int) -> np.ndarray:
+    return ((contexts >> np.uint64(8)) % np.uint64(groups)).astype(np.int64)
+
+
+def _totals(state: DataFrame, hot: np.ndarray, groups: int) -> DataFrame:
+    """Rows (bucket, part, totals): customers and tables over all buckets of a bucket's contexts in one group."""
+
+    def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _buckets(batches, hot):
+            guests, tables = b.shares()
+            group = _group_of(b.contexts, groups)
+            rows = [(g, b.number, _pack(b.contexts[own], guests[own], tables[own])) for g in np.unique(group) for own in [group == g]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["part", "bucket", "data"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        offers = [_unpack(x) for x in rows.data]
+        known, where = np.unique(np.concatenate([o[0] for o in offers]), return_inverse=True)
+        guests, tables = (np.bincount(where, np.concatenate([o[i] for o in offers]), len(known)).astype(np.int64) for i in (1, 2))
+        out, at = [], 0
+        for o in offers:
+            own = where[at : at + len(o[0])]
+            at += len(o[0])
+            out.append(_pack(guests[own], tables[own]))
+        return pd.DataFrame({"bucket": rows.bucket, "part": rows.part, "totals": out})
+
+    return state.mapInArrow(offer, "part bigint, bucket bigint, data binary").groupBy("part").applyInPandas(add, "bucket bigint, part bigint, totals binary")
+
+
+_STATE = "bucket bigint, cells binary, seats binary"
+
+
+def _step(state: DataFrame, root: Root, number: int, groups: int) -> DataFrame:
+    """Count the present seating if the burn-in is over, then sweep; after the last sweep give logarithms."""
+    hot, strengths = root.hot, root.strengths
+    last = number == strengths.burn_in + strengths.samples
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows[rows.part.isna()].iloc[0]
+        b = Bucket(int(own.bucket), own.cells, own.seats, hot)
+        group = _group_of(b.contexts, groups)
+        guests, tables = np.zeros((2, len(group)), np.int64)
+        for r in rows[rows.part.notna()].itertuples():
+            guests[group == r.part], tables[group == r.part] = _unpack(r.totals)
+        if number > strengths.burn_in:
+            b.total = b.total + b.predictive(root, guests, tables).astype(np.float32)
+        if last:
+            learnt = b.learnt.copy()
+            learnt[b.often] = root.hot_learnt[b.hot_at]
+            seats = _pack(np.log10(b.total.astype(float) / strengths.samples).astype(np.float32), learnt, b.word.astype(np.uint32))
+        else:
+            b.sweep(number + 1, root, tables)
+            seats = b.seats()
+        return pd.DataFrame({"bucket": [b.number], "cells": [None if last else own.cells], "seats": [seats]})
+
+    both = state.unionByName(_totals(state, hot, groups), allowMissingColumns=True)
+    return both.groupBy("bucket").applyInPandas(run, _STATE)
+
+
+def _train(cells: DataFrame, strengths: Strengths, hot: np.ndarray, groups: int) -> tuple[DataFrame, Root]:
+    """Rows (bucket, seats) with the logarithms of the cells' mean predictive probabilities; the last root."""
+    state, root = cells.withColumn("seats", F.lit(None).cast("binary")), None
+    for number in range(strengths.burn_in + strengths.samples + 1):
+        root = _root(state, strengths, hot, root, number)
+        after = stage_table(_step(state, root, number, groups), "seating")
+        if number:
+            discard(state)
+        state = after
+    return state.select("bucket", "seats"), root
 
 
 def _sums(at: int, doc: np.ndarray, n: np.ndarray, learnt: np.ndarray, base: np.ndarray, score: np.ndarray) -> tuple[int, bytes]:
@@ -386,49 +478,38 @@ def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slic
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(200, -(-total // bucket_bytes))
-    hot = _frequent(docs, buckets, slice_bytes)
+    hot = np.sort(np.array(_frequent(docs, buckets, slice_bytes), np.uint64))
     posted = _postings(docs, buckets, hot, slice_bytes)
-    merged = stage_table(posted.groupBy("bucket").applyInPandas(_merge, _MERGED), "restaurants")
-    model = _train(merged, strengths)
-
-    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, data in _buckets(batches):
-            b = Bucket(number, data, strengths)
-            logs = np.log10(b.averaged(model.history, model.guests, model.vocabulary)).reshape(len(b.words), CONTEXTS)
-            blob = _pack(b.words, b.learnt(), logs.ravel())
-            yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["table"])
-
-    frequent = [_unpack(bytes(r.table)) for r in merged.where("kind = 'c'").select("bucket", "cells").mapInArrow(tables, "table binary").collect()]
-    words = np.concatenate([x[0] for x in frequent] or [np.zeros(0, np.uint64)])
-    order = np.argsort(words)
-    learnt = np.concatenate([x[1] for x in frequent] or [np.zeros(0, np.int64)])[order]
-    logs = np.concatenate([x[2].reshape(-1, CONTEXTS) for x in frequent] or [np.zeros((0, CONTEXTS))])[order].astype(np.float32)
-    shared = spark.sparkContext.broadcast((words[order], learnt, logs))  # MOST_HOT rows at most
+    merged = stage_table(posted.groupBy("bucket").applyInPandas(_merging(hot, buckets), _MERGED), "restaurants")
+    cells = merged.where("cells is not null").select("bucket", "cells")
+    seated, root = _train(cells, strengths, hot, max(16, buckets // 12))
+    logs = np.zeros((len(hot), len(hot)), np.float32)
+    for r in seated.where(F.col("bucket") >= buckets).collect():  # MOST_HOT rows of as many numbers at most
+        logs[r.bucket - buckets] = _unpack(bytes(r.seats))[0]
+    shared = spark.sparkContext.broadcast(logs)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for kind, number, at, cells, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "bucket", "slice", "cells", "data"))):
+            for at, seats, data in zip(*(batch.column(c).to_pylist() for c in ("slice", "seats", "data"))):
                 parts = _unpack(data)
-                if kind == "m":
-                    b = Bucket(number, cells, strengths)
-                    logp = np.log10(b.averaged(model.history, model.guests, model.vocabulary))
-                    own = b.learnt()
-                    base = model.base(own)
+                if seats is not None:
+                    logp, own, word = _unpack(seats)
+                    base = root.base(own)
                     for head, step, doc, n in zip(*(parts[i::4] for i in range(4))):
                         cell = np.cumsum(step)
-                        w = b.word[cell]
+                        w = word[cell]
                         out.append(_sums(int(head[0]), doc, n, own[w], base[w], logp[cell]))
                 else:
-                    known, own, table = shared.value
-                    h, per_word, k, doc, n, _ = parts
-                    w = np.repeat(np.searchsorted(known, h), per_word)
-                    out.append(_sums(at, doc, n, own[w], model.base(own)[w], table[w, k]))
+                    w, k, doc, n = parts
+                    out.append(_sums(at, doc, n, root.hot_learnt[w], root.base(root.hot_learnt)[w], shared.value[w, k]))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["slice", "data"])
 
-    scored = merged.where("kind in ('m', 'h')").mapInArrow(score, "slice bigint, data binary").withColumn("docs", F.lit(False))
+    posted = merged.where("kind = 'm'").select("bucket", "slice", "data").join(seated, "bucket").select("slice", "seats", "data")
+    posted = posted.unionByName(merged.where("kind = 'h'").select("slice", F.lit(None).cast("binary").alias("seats"), "data"))
+    scored = posted.mapInArrow(score, "slice bigint, data binary").withColumn("docs", F.lit(False))
     listed = merged.where("kind = 'd'").select("slice", "data", F.lit(True).alias("docs"))
-    train_tokens = model.tokens
+    train_tokens = root.tokens
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
         ids = _unpack(rows.data[rows.docs].iloc[0])
