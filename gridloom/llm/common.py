@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: Where intermediate tables go when a local session names no shared folder (tests).
 LOCAL_FOLDER = "/tmp/checkpoints/gridloom"
 
+#: Spark's setting by which an execution's shuffle files go when it ends.
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,7 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the session's shared checkpoint folder and read it back.
 
-    This cuts the lineage and survives lost executors, as every executor sees the folder. Tables go with
+    This cuts the lineage and survives lost executors, as every executor sees the folder; shuffle files of
+    the write are deleted with its end, as nothing reads them any more. Tables go with
     the folder's session, or by ``discard``. Beyond one machine ``spark.checkpoint.dir`` has to be set.
     """
     spark = df.sparkSession
@@ -32,7 +36,12 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = base or LOCAL_FOLDER
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    kept = spark.conf.get(_SHUFFLES_GO, "false")
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLES_GO, kept)
     if base == LOCAL_FOLDER:
         atexit.register(shutil.rmtree, path, True)
     return spark.read.schema(df.schema).parquet(path)

@@ -460,7 +460,7 @@ def _sums(at: int, doc: np.ndarray, n: np.ndarray, learnt: np.ndarray, base: np.
     return at, _pack(own.astype(np.uint16), sums[0].astype(np.uint32), sums[1].astype(np.uint32), *sums[2:])
 
 
-def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slice_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slice_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """One row per document: the held-out flag, token counts, and base and model log10 probabilities.
 
     Documents whose crc32(doc_id as text) mod 5 is 1 are held out; the others train the model. ``n_known``
