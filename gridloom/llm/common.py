@@ -23,28 +23,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
     """Write ``df`` below the session's shared checkpoint folder and read it back.
 
     This cuts the lineage and survives lost executors, as every executor sees the folder; shuffle files of
-    the write are deleted with its end, as nothing reads them any more. Tables go with
-    the folder's session, or by ``discard``. Beyond one machine ``spark.checkpoint.dir`` has to be set.
+    the write are deleted with its end, as nothing reads them any more. With ``by`` the table is bucketed by
+    that column, so that joins on it read it where it lies. Tables go with the folder's session, or by
+    ``discard``. Beyond one machine ``spark.checkpoint.dir`` has to be set.
     """
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = base or LOCAL_FOLDER
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    table_name = f"{name}_{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{table_name}"
     kept = spark.conf.get(_SHUFFLES_GO, "false")
     spark.conf.set(_SHUFFLES_GO, "true")
     try:
-        df.write.parquet(path)
+        if by:
+            df.write.bucketBy(parallelism(spark), by).format("parquet").option("path", path).saveAsTable(table_name)
+        else:
+            df.write.parquet(path)
     finally:
         spark.conf.set(_SHUFFLES_GO, kept)
     if base == LOCAL_FOLDER:
         atexit.register(shutil.rmtree, path, True)
-    return spark.read.schema(df.schema).parquet(path)
+    if not by:
+        return spark.read.schema(df.schema).parquet(path)
+    staged = spark.table(table_name)
+    spark.sql(f"DROP TABLE {table_name}")  # its name only: the files lie in a folder of their own
+    return staged
 
 
 def discard(staged: DataFrame) -> None:

@@ -35,6 +35,7 @@ from gridloom.llm.common import discard, parallelism, slices, stage_table
 MOST_HOT = 256
 _END = b"\n"
 _FIXED = 1 << 30  # log10 values travel as integers of this scale
+_CUT = np.uint64(16)  # a context goes by the other 48 bits of its word's hash
 _EXACT = 128  # customers of a dish up to which their tables are drawn exactly
 
 
@@ -55,6 +56,15 @@ def _pack(*arrays: np.ndarray) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """Steps of ascending numbers, byte by byte: their high bytes are few and compress."""
+    return np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(len(x), 8).T.ravel()
+
+
+def _from_planes(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(x.reshape(8, -1).T).view(np.uint64).ravel())
+
+
 def _unpack(blob: bytes) -> list[np.ndarray]:
     raw = pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
     at = 4 + int.from_bytes(raw[:4], "little")
@@ -132,7 +142,7 @@ def _postings(docs: DataFrame, buckets: int, hot: np.ndarray, slice_bytes: int)
                         words, per_word = np.unique(w[i:j], return_counts=True)
                         before, k = np.unique(u[i:j], return_inverse=True)
                         k = k.astype(np.uint16 if len(before) < 1 << 16 else np.uint32)
-                        rows.append(("p", b, at, _pack(h[words], per_word.astype(np.uint32), h[before], k, d[i:j].astype(np.uint16), n[i:j].astype(np.uint32), held[d[i:j]])))
+                        rows.append(("p", b, at, _pack(h[words], per_word.astype(np.uint32), _planes(h[before] >> _CUT), k, d[i:j].astype(np.uint16), n[i:j].astype(np.uint32), held[d[i:j]])))
                 i, j = edges[buckets], edges[buckets + 1]
                 if i < j:
                     word, before = np.searchsorted(hot, h[w[i:j]]), np.searchsorted(hot, h[u[i:j]])
@@ -186,12 +196,13 @@ def _merging(hot: np.ndarray, buckets: int):
         number = int(rows.bucket.iloc[0])
         if posted:
             words, inverse = np.unique(np.concatenate([p[0] for _, p in posted]), return_inverse=True)
-            contexts = np.unique(np.concatenate([p[2] for _, p in posted]))
+            before = [_from_planes(p[2]) for _, p in posted]
+            contexts = np.unique(np.concatenate(before))
             keys, at = [], 0
-            for _, p in posted:
+            for (_, p), known in zip(posted, before):
                 own = inverse[at : at + len(p[0])]
                 at += len(p[0])
-                keys.append(np.repeat(own, p[1]).astype(np.int64) * len(contexts) + np.searchsorted(contexts, p[2])[p[3]])
+                keys.append(np.repeat(own, p[1]).astype(np.int64) * len(contexts) + np.searchsorted(contexts, known)[p[3]])
             cells, where = np.unique(np.concatenate(keys), return_inverse=True)
             n = np.concatenate([p[5] * ~p[6] for _, p in posted])
             learnt = np.bincount(where, n, len(cells)).astype(np.int64)
@@ -201,10 +212,10 @@ def _merging(hot: np.ndarray, buckets: int):
                 at += len(key)
                 order = np.argsort(own, kind="stable")
                 packed += [np.array([s, len(own)], np.int64), np.diff(own[order], prepend=0).astype(np.uint32), p[4][order], p[5][order]]
-            out.append(("m", number, 0, _pack(np.diff(cells, prepend=0), learnt, words, contexts), _pack(*packed)))
+            out.append(("m", number, 0, _pack(np.diff(cells, prepend=0), learnt, words, _planes(contexts)), _pack(*packed)))
         pairs = [_unpack(r.data)[0] for r in rows.itertuples() if r.kind == "c"]
         if pairs:
-            cells = _pack(np.diff(np.arange(len(hot)), prepend=0), sum(pairs), hot[number - buckets : number - buckets + 1], hot)
+            cells = _pack(np.diff(np.arange(len(hot)), prepend=0), sum(pairs), hot[number - buckets : number - buckets + 1], _planes(hot >> _CUT))
             out.append(("c", number, 0, cells, None))
         return pd.DataFrame(out, columns=["kind", "bucket", "slice", "cells", "data"])
 
@@ -289,8 +300,8 @@ class Bucket:
     """The restaurants' cells of some words, and their seating."""
 
     def __init__(self, number: int, cells: bytes, seats: bytes | None, hot: np.ndarray):
-        key, self.c, self.words, self.contexts = _unpack(cells)
-        key = np.cumsum(key)
+        key, self.c, self.words, contexts = _unpack(cells)
+        key, self.contexts = np.cumsum(key), _from_planes(contexts)
         self.number = number
         self.word, self.k = key // len(self.contexts), key % len(self.contexts)
         self.learnt = np.bincount(self.word, self.c, len(self.words)).astype(np.int64)
@@ -390,11 +401,11 @@ def _totals(state: DataFrame, hot: np.ndarray, groups: int) -> DataFrame:
         for b in _buckets(batches, hot):
             guests, tables = b.shares()
             group = _group_of(b.contexts, groups)
-            rows = [(g, b.number, _pack(b.contexts[own], guests[own], tables[own])) for g in np.unique(group) for own in [group == g]]
+            rows = [(g, b.number, _pack(_planes(b.contexts[own]), guests[own], tables[own])) for g in np.unique(group) for own in [group == g]]
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["part", "bucket", "data"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        offers = [_unpack(x) for x in rows.data]
+        offers = [(_from_planes(known), *shares) for known, *shares in map(_unpack, rows.data)]
         known, where = np.unique(np.concatenate([o[0] for o in offers]), return_inverse=True)
         guests, tables = (np.bincount(where, np.concatenate([o[i] for o in offers]), len(known)).astype(np.int64) for i in (1, 2))
         out, at = [], 0
@@ -407,46 +418,52 @@ def _totals(state: DataFrame, hot: np.ndarray, groups: int) -> DataFrame:
     return state.mapInArrow(offer, "part bigint, bucket bigint, data binary").groupBy("part").applyInPandas(add, "bucket bigint, part bigint, totals binary")
 
 
-_STATE = "bucket bigint, cells binary, seats binary"
+_STATE = "bucket bigint, seats binary"
 
 
-def _step(state: DataFrame, root: Root, number: int, groups: int) -> DataFrame:
+def _step(cells: DataFrame, state: DataFrame, root: Root, number: int, groups: int) -> DataFrame:
     """Count the present seating if the burn-in is over, then sweep; after the last sweep give logarithms."""
     hot, strengths = root.hot, root.strengths
     last = number == strengths.burn_in + strengths.samples
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        own = rows[rows.part.isna()].iloc[0]
-        b = Bucket(int(own.bucket), own.cells, own.seats, hot)
-        group = _group_of(b.contexts, groups)
-        guests, tables = np.zeros((2, len(group)), np.int64)
-        for r in rows[rows.part.notna()].itertuples():
-            guests[group == r.part], tables[group == r.part] = _unpack(r.totals)
-        if number > strengths.burn_in:
-            b.total = b.total + b.predictive(root, guests, tables).astype(np.float32)
-        if last:
-            learnt = b.learnt.copy()
-            learnt[b.often] = root.hot_learnt[b.hot_at]
-            seats = _pack(np.log10(b.total.astype(float) / strengths.samples).astype(np.float32), learnt, b.word.astype(np.uint32))
-        else:
-            b.sweep(number + 1, root, tables)
-            seats = b.seats()
-        return pd.DataFrame({"bucket": [b.number], "cells": [None if last else own.cells], "seats": [seats]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                b = Bucket(*(batch.column(c)[i].as_py() for c in ("bucket", "cells", "seats")), hot)
+                group = _group_of(b.contexts, groups)
+                guests, tables = np.zeros((2, len(group)), np.int64)
+                for part in batch.column("parts")[i].as_py():
+                    guests[group == part["part"]], tables[group == part["part"]] = _unpack(part["totals"])
+                if number > strengths.burn_in:
+                    b.total = b.total + b.predictive(root, guests, tables).astype(np.float32)
+                if last:
+                    learnt = b.learnt.copy()
+                    learnt[b.often] = root.hot_learnt[b.hot_at]
+                    seats = _pack(np.log10(b.total.astype(float) / strengths.samples).astype(np.float32), learnt, b.word.astype(np.uint32))
+                else:
+                    b.sweep(number + 1, root, tables)
+                    seats = b.seats()
+                yield pa.RecordBatch.from_arrays([pa.array([b.number], pa.int64()), pa.array([seats], pa.binary())], ["bucket", "seats"])
+
+    both = _seated(cells, state)
+    parts = _totals(both, hot, groups).groupBy("bucket").agg(F.collect_list(F.struct("part", "totals")).alias("parts"))  # ``groups`` of them
+    return both.join(parts, "bucket").mapInArrow(run, _STATE)
+
 
-    both = state.unionByName(_totals(state, hot, groups), allowMissingColumns=True)
-    return both.groupBy("bucket").applyInPandas(run, _STATE)
+def _seated(cells: DataFrame, state: DataFrame | None) -> DataFrame:
+    return cells.join(state, "bucket") if state is not None else cells.withColumn("seats", F.lit(None).cast("binary"))
 
 
 def _train(cells: DataFrame, strengths: Strengths, hot: np.ndarray, groups: int) -> tuple[DataFrame, Root]:
     """Rows (bucket, seats) with the logarithms of the cells' mean predictive probabilities; the last root."""
-    state, root = cells.withColumn("seats", F.lit(None).cast("binary")), None
+    state, root = None, None
     for number in range(strengths.burn_in + strengths.samples + 1):
-        root = _root(state, strengths, hot, root, number)
-        after = stage_table(_step(state, root, number, groups), "seating")
-        if number:
+        root = _root(_seated(cells, state), strengths, hot, root, number)
+        after = stage_table(_step(cells, state, root, number, groups), "seating", by="bucket")
+        if state is not None:
             discard(state)
         state = after
-    return state.select("bucket", "seats"), root
+    return state, root
 
 
 def _sums(at: int, doc: np.ndarray, n: np.ndarray, learnt: np.ndarray, base: np.ndarray, score: np.ndarray) -> tuple[int, bytes]:
@@ -460,7 +477,7 @@ def _sums(at: int, doc: np.ndarray, n: np.ndarray, learnt: np.ndarray, base: np.
     return at, _pack(own.astype(np.uint16), sums[0].astype(np.uint32), sums[1].astype(np.uint32), *sums[2:])
 
 
-def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slice_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slice_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """One row per document: the held-out flag, token counts, and base and model log10 probabilities.
 
     Documents whose crc32(doc_id as text) mod 5 is 1 are held out; the others train the model. ``n_known``
@@ -480,9 +497,9 @@ def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slic
     buckets = max(200, -(-total // bucket_bytes))
     hot = np.sort(np.array(_frequent(docs, buckets, slice_bytes), np.uint64))
     posted = _postings(docs, buckets, hot, slice_bytes)
-    merged = stage_table(posted.groupBy("bucket").applyInPandas(_merging(hot, buckets), _MERGED), "restaurants")
+    merged = stage_table(posted.groupBy("bucket").applyInPandas(_merging(hot, buckets), _MERGED), "restaurants", by="bucket")
     cells = merged.where("cells is not null").select("bucket", "cells")
-    seated, root = _train(cells, strengths, hot, max(16, buckets // 12))
+    seated, root = _train(cells, strengths, hot, max(32, buckets // 4))
     logs = np.zeros((len(hot), len(hot)), np.float32)
     for r in seated.where(F.col("bucket") >= buckets).collect():  # MOST_HOT rows of as many numbers at most
         logs[r.bucket - buckets] = _unpack(bytes(r.seats))[0]
