@@ -260,16 +260,18 @@ def reseat(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, discou
     many = np.flatnonzero(customers > _EXACT)
     if len(many):
         c = customers[many].astype(float)
-        start = (concentration + discount * others[many]) * parent[many]
-        lo, hi = np.full(len(c), -60.0), np.full(len(c), 400.0)
-        for _ in range(60):
-            z = (lo + hi) / 2
-            below = np.log(start) - np.logaddexp(0, -z) + (1 - discount) * np.logaddexp(0, z) < np.log(c)
-            lo, hi = np.where(below, z, lo), np.where(below, hi, z)
-        mean = start * -np.expm1(-discount * np.logaddexp(0, lo)) / discount
+        mean = np.zeros(len(c))
+        for _ in range(2):  # then with half of the dish's own tables among those present
+            start = (concentration + discount * (others[many] + mean / 2)) * parent[many]
+            lo, hi = np.full(len(c), -60.0), np.full(len(c), 400.0)
+            for _ in range(60):
+                z = (lo + hi) / 2
+                below = np.log(start) - np.logaddexp(0, -z) + (1 - discount) * np.logaddexp(0, z) < np.log(c)
+                lo, hi = np.where(below, z, lo), np.where(below, hi, z)
+            mean = start * -np.expm1(-discount * np.logaddexp(0, lo)) / discount
         spread = np.maximum(mean - c / (1 + (1 - discount) * np.exp(lo)), 0)
         few = mean < 30
-        drawn = np.where(few, 1 + rng.poisson(np.minimum(mean, 30)), np.rint(mean + np.sqrt(spread) * rng.standard_normal(len(c))))
+        drawn = 1 + np.where(few, rng.poisson(np.minimum(mean, 30)), np.rint(mean + np.sqrt(spread) * rng.standard_normal(len(c))))
         tables[many] = np.clip(drawn, 1, c)
     return tables
 
@@ -477,7 +479,7 @@ def _sums(at: int, doc: np.ndarray, n: np.ndarray, learnt: np.ndarray, base: np.
     return at, _pack(own.astype(np.uint16), sums[0].astype(np.uint32), sums[1].astype(np.uint32), *sums[2:])
 
 
-def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slice_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, strengths: Strengths = Strengths(), *, slice_bytes: int = 2 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """One row per document: the held-out flag, token counts, and base and model log10 probabilities.
 
     Documents whose crc32(doc_id as text) mod 5 is 1 are held out; the others train the model. ``n_known``
