@@ -30,8 +30,12 @@ RESULT = (
 )
 
 
+def fold_words(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD)
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
+    return fold_words(text).split()
 
 
 class TestBlock:

@@ -16,6 +16,7 @@ from gridloom.llm.near_duplicates import link_near_duplicates
 from gridloom.llm.order_minhash import fingerprint_edits
 from gridloom.llm.pii import find_personal_data
 from gridloom.llm.pitman_yor import score_documents
+from gridloom.llm.resampling import resample
 from gridloom.llm.sentence_spans import remove_repeated_spans
 from gridloom.llm.sharding import pack_documents
 from gridloom.llm.toxicity import score_toxicity
@@ -73,6 +74,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: The hostile conversation of the contract, and lengths after escaping (one character a control string).
 _CHAT_SQL = r"""
 WITH c AS (
@@ -137,6 +142,46 @@ FROM d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i
 """
 
 
+#: Features as strings; the checksum byte by byte with a table made from its polynomial.
+_RESAMPLE_SQL = rf"""
+WITH crc AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+w AS (
+    SELECT 0 AS side, doc_id, row_number() OVER () AS r, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    UNION ALL SELECT 1, NULL, row_number() OVER (), regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+),
+f AS (
+    SELECT side, r, unnest(w) AS g FROM w
+    UNION ALL SELECT side, r, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM w
+),
+g AS (SELECT side, r, g, count(*) AS n FROM f GROUP BY ALL),
+b AS (
+    SELECT g, xor(list_reduce(list_concat([4294967295]::BIGINT[], list_transform(range(strlen(g)), lambda i: ('0x' || substr(hex(encode(g)), 2 * i + 1, 2))::BIGINT)),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS b
+    FROM (SELECT DISTINCT g FROM g), crc
+),
+st AS (SELECT b, coalesce(sum(n) FILTER (WHERE side = 0), 0) AS s, coalesce(sum(n) FILTER (WHERE side = 1), 0) AS t FROM g JOIN b USING (g) GROUP BY b),
+gain AS (
+    SELECT b, CAST(floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM st) + 10000)::DOUBLE / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM st) + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM st
+),
+sums AS (SELECT r, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * gain) AS BIGINT) AS total FROM g JOIN b USING (g) JOIN gain USING (b) WHERE side = 0 GROUP BY r),
+d AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features,
+           CASE WHEN n IS NULL THEN 0 ELSE (total - ((total % n) + n) % n) // n END AS weight,
+           CAST(('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT AS DOUBLE) AS h
+    FROM w LEFT JOIN sums USING (r) WHERE side = 0
+),
+e AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM d),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS k FROM e)
+SELECT doc_id, n_features, weight, score, n_words,
+       CASE WHEN n_words >= 20 AND k <= 25 * (SELECT count(*) FROM e WHERE n_words >= 20) // 100 THEN k END AS rank
+FROM ranked
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_byte_bpe,
@@ -149,9 +194,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_order_minhash,
         op10_toxicity,
+        op13_importance_resampling,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": _NEAR_SQL, "op5_chat": _CHAT_SQL, "op8_decontamination": _BENCHMARK_SQL}
+    return {"op4_near_duplicates": _NEAR_SQL, "op5_chat": _CHAT_SQL, "op8_decontamination": _BENCHMARK_SQL, "op13_importance_resampling": _RESAMPLE_SQL}
