@@ -56,6 +56,13 @@ def stage_table(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame
     return staged
 
 
+def stage_all(frames: Iterable[DataFrame], empty: DataFrame, name: str) -> DataFrame:
+    """Write frames of one schema, each before the next one is asked for, and read them back as one table; ``empty`` if there is none."""
+    paths = [staged.inputFiles() for staged in (stage_table(df, name) for df in frames)]
+    files = [f for own in paths for f in own]
+    return empty.sparkSession.read.schema(empty.schema).parquet(*files) if files else empty
+
+
 def discard(staged: DataFrame) -> None:
     """Delete a table of ``stage_table`` that no later step reads."""
     files = staged.inputFiles()

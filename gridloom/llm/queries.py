@@ -12,6 +12,7 @@ from gridloom.llm.byte_bpe import Codec, decode, encode, read_ranks
 from gridloom.llm.chat import format_conversations, read_back, with_hostile_conversation
 from gridloom.llm.common import table
 from gridloom.llm.decontamination import match_benchmark
+from gridloom.llm.hard_negatives import mine_hard_negatives
 from gridloom.llm.near_duplicates import link_near_duplicates
 from gridloom.llm.order_minhash import fingerprint_edits
 from gridloom.llm.pii import find_personal_data
@@ -74,6 +75,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -182,6 +187,27 @@ FROM ranked
 """
 
 
+#: All scores of anchors, by integer products component by component.
+_NEGATIVES_SQL = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [CAST(floor(256 * x::DOUBLE) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+    SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS alike,
+           CAST(list_sum([a.v[i] * b.v[i] FOR i IN range(1, len(a.v) + 1)]) AS BIGINT) AS s
+    FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+p AS (SELECT a, b, s FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+n AS (
+    SELECT p.a, p.b, p.s AS p, s.b AS c, s.s, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS rank
+    FROM p JOIN s ON p.a = s.a AND NOT s.alike AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s
+)
+SELECT a AS anchor_id, b AS positive_id, CAST(rank AS INTEGER) AS rank, c AS negative_id, p AS positive_score, s AS negative_score FROM n WHERE rank <= 3
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_byte_bpe,
@@ -194,10 +220,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_order_minhash,
         op10_toxicity,
+        op11_hard_negatives,
         op13_importance_resampling,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": _NEAR_SQL, "op5_chat": _CHAT_SQL, "op8_decontamination": _BENCHMARK_SQL, "op13_importance_resampling": _RESAMPLE_SQL}
+    return {"op4_near_duplicates": _NEAR_SQL, "op5_chat": _CHAT_SQL, "op8_decontamination": _BENCHMARK_SQL, "op11_hard_negatives": _NEGATIVES_SQL, "op13_importance_resampling": _RESAMPLE_SQL}
