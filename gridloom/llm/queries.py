@@ -17,6 +17,7 @@ from gridloom.llm.near_duplicates import link_near_duplicates
 from gridloom.llm.order_minhash import fingerprint_edits
 from gridloom.llm.pii import find_personal_data
 from gridloom.llm.pitman_yor import score_documents
+from gridloom.llm.quality import score_quality
 from gridloom.llm.resampling import resample
 from gridloom.llm.sentence_spans import remove_repeated_spans
 from gridloom.llm.sharding import pack_documents
@@ -79,6 +80,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -221,6 +226,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_order_minhash,
         op10_toxicity,
         op11_hard_negatives,
+        op12_quality,
         op13_importance_resampling,
     )
     return {f.__name__: f for f in found}
