@@ -35,12 +35,13 @@ def passages(texts: list[str | None], per: int, block: int = 4096) -> Iterator[t
     Features are shares of the kinds of bytes, the share of distinct words and of words that repeat the one
     before, word length and number, and words hashed to buckets.
     """
-    data = b"".join((t or "").encode("utf-8", "surrogatepass").strip() + b"\n" for t in texts)
+    stripped = [(t or "").encode("utf-8", "surrogatepass").strip() for t in texts]
+    filled = np.array([i for i, t in enumerate(stripped) if t], np.int64)
+    data = b"".join(stripped[i] + b"\n" for i in filled)
     raw = np.frombuffer(data, np.uint8)
     blank = _BLANK[raw]
     starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]])) if len(raw) else np.zeros(0, np.int64)
-    lengths = [len((t or "").encode("utf-8", "surrogatepass").strip()) + 1 for t in texts]
-    owner = np.searchsorted(np.cumsum(lengths), starts, "right")
+    owner = filled[np.searchsorted(np.cumsum([len(stripped[i]) + 1 for i in filled]), starts, "right")] if len(filled) else filled
     number = np.arange(len(starts)) - np.searchsorted(owner, owner)
     head = np.flatnonzero(number % per == 0)
     for p in range(0, len(head), block):
@@ -48,7 +49,7 @@ def passages(texts: list[str | None], per: int, block: int = 4096) -> Iterator[t
         after = head[p + block] if p + block < len(head) else len(starts)
         begin, end = starts[own[0]], starts[after] if after < len(starts) else len(raw)
         yield owner[own], _features(data[begin:end], raw[begin:end], starts[own] - begin, np.diff(np.append(own, after)))
-    none = np.setdiff1d(np.arange(len(texts)), owner)
+    none = np.array([i for i, t in enumerate(stripped) if not t], np.int64)
     if len(none):
         yield none, np.zeros((len(none), WIDTH))
 
