@@ -151,7 +151,10 @@ fn("VALUETOTEXT")(lambda x, strict=0, of="string": F.concat(F.lit('"'), F.replac
 fn("ARRAYTOTEXT")(lambda a, strict=0: F.concat(F.lit("{"), F.array_join(a.cast("array<string>"), ","), F.lit("}")) if strict else F.array_join(a.cast("array<string>"), ", "))
 
 
-@fn("VALUE", "N")
+fn("N")(lambda x: F.when(F.typeof(c(x)).isin("string", "void"), 0.0).otherwise(F.coalesce(c(x).try_cast("double"), F.lit(0.0))))
+
+
+@fn("VALUE")
 def value(s) -> Column:
     """Numbers, percentages, currency, dates (as serials) and times (as day fractions) in text."""
     from gridloom.functions.dates import date_value, time_value

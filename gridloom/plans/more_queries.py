@@ -69,14 +69,16 @@ def text_splitting(spark, d):
     )
 
 
-@query("""WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 900 AS INT) AS b FROM orders)
-SELECT o_orderkey, CAST(date_diff('day', a, b) AS DOUBLE) AS days, CAST(date_sub('year', a, b) AS DOUBLE) AS years, CAST(date_sub('month', a, b) AS DOUBLE) AS months, round(date_diff('day', a, b) / 365, 8) AS frac3, isodow(a) % 7 + 1 AS wd1,
-  dayofyear(b) AS doy FROM o WHERE day(a) <= 28 AND day(b) <= 28""")
+@query("""WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 900 AS INT) AS b FROM orders),
+m AS (SELECT *, (year(b) - year(a)) * 12 + month(b) - month(a) - CASE WHEN day(b) < day(a) THEN 1 ELSE 0 END AS m FROM o)
+SELECT o_orderkey, CAST(date_diff('day', a, b) AS DOUBLE) AS days, CAST(m // 12 AS DOUBLE) AS years, CAST(m AS DOUBLE) AS months, CAST(m % 12 AS DOUBLE) AS beyond_years, round(date_diff('day', a, b) / 365, 8) AS frac3,
+  isodow(a) % 7 + 1 AS wd1, dayofyear(b) AS doy FROM m""")
 def dates_differences(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("a"))
-    o = o.withColumn("b", F.date_add("a", (F.col("o_orderkey") % 900).cast("int"))).where("day(a) <= 28 AND day(b) <= 28")
+    o = o.withColumn("b", F.date_add("a", (F.col("o_orderkey") % 900).cast("int")))
     a, b = serial(F.col("a")), serial(F.col("b"))
-    return o.select("o_orderkey", call("DAYS", b, a).cast("double").alias("days"), call("DATEDIF", a, b, "Y").alias("years"), call("DATEDIF", a, b, "M").alias("months"), F.round(call("YEARFRAC", a, b, 3), 8).alias("frac3"), call("WEEKDAY", a).alias("wd1"), F.dayofyear("b").alias("doy"))
+    whole = {name: call("DATEDIF", a, b, unit) for name, unit in (("years", "Y"), ("months", "M"), ("beyond_years", "YM"))}
+    return o.select("o_orderkey", call("DAYS", b, a).cast("double").alias("days"), *[x.alias(name) for name, x in whole.items()], F.round(call("YEARFRAC", a, b, 3), 8).alias("frac3"), call("WEEKDAY", a).alias("wd1"), F.dayofyear("b").alias("doy"))
 
 
 @query("""SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN '#NUM!' WHEN s_suppkey % 5 = 0 THEN '#N/A' END IS NOT NULL AS is_error, coalesce(s_suppkey % 5 = 0 AND s_acctbal >= 0, FALSE) AS is_na,

@@ -153,3 +153,16 @@ def test_datedif_over_month_ends(spark):
         months = (r.y.year - r.x.year) * 12 + r.y.month - r.x.month - (r.y.day < r.x.day)
         assert (r.years, r.months) == (months // 12, months), (r.x, r.y)
     assert len(got) == len(pairs)
+
+
+def test_n_by_kind(spark):
+    row = spark.sql("SELECT 3.5D AS d, 7 AS i, true AS b, '12' AS s, 'x' AS w, CAST(NULL AS DOUBLE) AS z").select(*[call("N", F.col(x)).alias(x) for x in "dibswz"]).first()
+    assert tuple(row) == (3.5, 7.0, 1.0, 0.0, 0.0, 0.0)
+
+
+def test_kind_of_long_cells(spark):
+    from gridloom.operators.profile import kind_of
+
+    cells = ["9" * 400, "9" * 401, " " * 400 + "7", "x" * 500, "\t-1.5e3 ", ".5", "+", "2024-02-30", "2024-02-29", "1 2", "- 1"]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(cells)], "i int, x string").orderBy("i").select(kind_of(F.col("x"))).collect()
+    assert [r[0] for r in got] == ["number", "number", "number", "string", "number", "number", "string", "string", "date", "string", "string"]
