@@ -89,9 +89,14 @@ def _long_list(values: np.ndarray) -> pa.Array:
 
 
 class Codec:
-    """The constants of one vocabulary of ranks (a piece's rank is its id), staged once a session."""
+    """The constants of one vocabulary of ranks (a piece's rank is its id), staged once a session.
+
+    Ids have 17 bits; a vocabulary with larger ones is refused.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        if max(ranks.values(), default=0) >= _NONE:
+            raise ValueError(f"ids go up to {_NONE - 1}, the vocabulary's up to {max(ranks.values())}")
         self.pattern, self.ranks = java_pattern(pattern), ranks
         self._staged: tuple[SparkSession, DataFrame] | None = None
 

@@ -462,3 +462,10 @@ def test_toxicity(spark, none):
     assert kept.columns == frame.columns and kept.where("doc_id is null").count() == 0
     assert score_toxicity(none, marks).count() == 0
     assert score_toxicity(frame, marks.limit(0)).where("toxic").count() == 0
+
+
+def test_vocabularies_with_ids_beyond_17_bits_are_refused():
+    pieces = {bytes([i]): i for i in range(256)}
+    with pytest.raises(ValueError, match="140000"):
+        Codec(pieces | {b"ab": 140_000}, public_tokenizers.PATTERN)
+    Codec(pieces | {b"ab": 131_070}, public_tokenizers.PATTERN)
