@@ -14,41 +14,47 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.window import Window
 
 from gridloom.functions.base import c, fn
+from gridloom.functions.ordered import Fold, scan, sort_columns
 
 ORD = "ord"
 
 
-def numbered(df: DataFrame, by: list, keys: list[str] | None = None, name: str = ORD) -> DataFrame:
-    """``df`` with a gapless order column from 0.
+def numbered(df: DataFrame, by: list[str], keys: list[str] | None = None, name: str = ORD) -> DataFrame:
+    """``df`` with a gapless order column from 0, by the columns ``by`` ("-name" falls).
 
-    Without ``keys``, rows are range-partitioned by the order and each partition's numbers are shifted by
-    the sizes of those before it, so that no task sorts all rows.
+    Without ``keys`` the order is cut into stretches, so that no task sorts all rows; tell ties apart by
+    further columns of ``by``.
     """
     if keys:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by)) - 1)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # a key decides its partition, so ties must be told apart by further columns of ``by``
-    placed = df.repartitionByRange(n, *by).withColumn("__p", F.spark_partition_id()).persist()
-    sizes = placed.groupBy("__p").count().orderBy("__p").collect()  # one row a partition
-    shift, total = [], 0
-    for r in sizes:
-        shift += [F.lit(r["__p"]), F.lit(total)]
-        total += r["count"]
-    inside = F.row_number().over(Window.partitionBy("__p").orderBy(*by)) - 1
-    start = F.try_element_at(F.create_map(*shift), F.col("__p")) if shift else F.lit(0)
-    return placed.withColumn(name, (inside + start).cast("bigint")).drop("__p")
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_columns(by))) - 1)
+    return scan(df, by, {name: Fold("count", F.lit(1))}).withColumn(name, F.col(name) - 1)
 
 
 # Over array columns.
 fn("SEQUENCE")(lambda n, start=1, step=1: F.transform(F.sequence(F.lit(0), c(n).cast("int") - 1), lambda i: c(start) + i * c(step)))
 fn("MAP")(lambda *x: F.transform(x[0], x[1]) if len(x) == 2 else F.zip_with(x[0], x[1], x[2]))
-fn("SCAN")(lambda start, array, f: F.transform(array, lambda _, i: F.aggregate(F.slice(array, F.lit(1), i + 1), c(start), f)))
 fn("BYROW")(lambda matrix, f: F.transform(matrix, f))
 fn("BYCOL")(lambda matrix, f: F.transform(transpose(matrix), f))
 fn("MAKEARRAY")(lambda rows, cols, f: F.transform(F.sequence(F.lit(1), c(rows)), lambda i: F.transform(F.sequence(F.lit(1), c(cols)), lambda j: f(i, j))))
 fn("TEXTSPLIT")(lambda s, by, rows=None: F.split(s, "\\Q" + by + "\\E", -1) if rows is None else F.transform(F.split(s, "\\Q" + rows + "\\E", -1), lambda r: F.split(r, "\\Q" + by + "\\E", -1)))
 
 
+@fn("SCAN")
+def scan_array(start, array, f: Callable[[Column, Column], Column]) -> Column:
+    """Every step of a fold over an array.
+
+    Blocks of about the square root of the length are folded one after another, each appending its steps to
+    an array of its own: what is copied grows with n times that root, and each element is folded once.
+    """
+    n = F.size(array)
+    width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+    numbers = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int"))).when(n == 0, F.array().cast("array<int>"))
+    blocks = F.transform(numbers, lambda i: F.slice(array, i * width + 1, width))
+    steps = lambda block, at: F.aggregate(block, F.array(at), lambda held, x: F.concat(held, F.array(f(F.element_at(held, -1), x))))
+    done = F.aggregate(blocks, F.array(F.array(c(start))), lambda held, block: F.concat(held, F.array(steps(block, F.element_at(F.element_at(held, -1), -1)))))
+    return F.flatten(F.transform(F.slice(done, F.lit(2), F.size(done)), lambda b: F.slice(b, F.lit(2), F.size(b))))
+
+
 @fn("TRANSPOSE")
 def transpose(matrix: Column) -> Column:
     """Of an array of rows of equal length."""
@@ -84,10 +90,15 @@ def unique_rows(df: DataFrame, columns: list[str], once: bool = False) -> DataFr
     return df.select(*columns).distinct()
 
 
-def running(df: DataFrame, value: str, order: str, keys: list[str] | None = None, how: Callable = F.sum, name: str = "running") -> DataFrame:
-    """SCAN with a sum, minimum or maximum: the aggregate of each row and those before it in its keys."""
-    w = Window.partitionBy(*(keys or [])).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, how(value).over(w))
+def running(df: DataFrame, value: str, order: str, keys: list[str] | None = None, how: str = "sum", name: str = "running", spread: bool = False) -> DataFrame:
+    """SCAN with a sum, count, min or max: the aggregate of each row and those before it in its keys.
+
+    Without keys, or with ``spread`` where some keys fill many tasks, the order is cut into stretches.
+    """
+    if spread or not keys:
+        return scan(df, [order], {name: Fold(how, F.col(value))}, keys or [])
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(name, Fold(how, F.col(value)).over(w))
 
 
 def sum_before(df: DataFrame, by: str, amount: str, ties: list[str] | None = None, descending: bool = False, name: str = "before") -> DataFrame:

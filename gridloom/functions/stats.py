@@ -89,12 +89,14 @@ def kth(df: DataFrame, keys: list[str], value: str, k: int, largest: bool = True
 
 
 def _ordered(x: Column, ascending: bool, keys: list) -> WindowSpec:
+    if not keys:
+        raise ValueError("ranks among all rows come from ranks(df, value): a window without keys is one task")
     return Window.partitionBy(*keys).orderBy(x.asc() if ascending else x.desc())
 
 
 @fn("RANK", "RANK.EQ")
 def rank_eq(x, ascending: bool = False, keys: list | None = None) -> Column:
-    """Competition rank of each row within its keys; without keys one task ranks all rows, see ``ranks``."""
+    """Competition rank of each row within its keys; ``ranks`` ranks all rows of a table."""
     return F.rank().over(_ordered(num(x), ascending, keys or []))
 
 

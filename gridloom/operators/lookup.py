@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridloom.functions.base import CATALOGUE
+from gridloom.functions.ordered import Fold, scan
 from gridloom.functions.text import wildcard_regex
 
 
@@ -34,25 +35,31 @@ def exact(left: DataFrame, on: str, right: DataFrame, key: str, take: list[str],
     return out.drop("__key", "__found")
 
 
-def as_of(left: DataFrame, on: str, right: DataFrame, key: str, take: list[str], by: list[str] | None = None, direction: str = "backward", order: str | None = None) -> DataFrame:
+def as_of(left: DataFrame, on: str, right: DataFrame, key: str, take: list[str], by: list[str] | None = None, direction: str = "backward", order: str | None = None, spread: bool = False) -> DataFrame:
     """The right row of greatest key <= ``on`` (backward) or least key >= it (forward), within equal ``by``.
 
     Left and right rows are united, sorted once within each group, and the last (next) right row is carried
     along. Of right rows of equal key the last in ``order`` counts backward, the first forward. Without
-    ``by`` there is one group, for small tables only; give a ``by`` at scale.
+    ``by``, or with ``spread`` where some groups fill many tasks, the order is cut into stretches that hand
+    their last right row on.
     """
     by = by or []
     found = F.struct(F.lit(True).alias("__hit"), *[F.col(c) for c in take])
     tie = F.col(order).cast("double") if order else F.lit(0.0)
-    l = left.select(*by, F.col(on).alias("__at"), F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("__left"), F.lit(1).alias("__side"), F.lit(0.0).alias("__tie"))
+    l = left.select(*by, F.col(on).alias("__at"), F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("__left"), F.lit(1).alias("__side"), F.monotonically_increasing_id().cast("double").alias("__tie"))
     r = right.where(F.col(key).isNotNull()).select(*by, F.col(key).alias("__at"), found.alias("__right"), F.lit(0 if direction == "backward" else 2).alias("__side"), tie.alias("__tie"))
     both = l.unionByName(r, allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy("__at", "__side", "__tie")
-    if direction == "backward":
-        pick = F.last("__right", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    if spread or not by:
+        falls = "" if direction == "backward" else "-"
+        both = scan(both, [f"{falls}{c}" for c in ("__at", "__side", "__tie")], {"__pick": Fold("last", F.col("__right"))}, by)
     else:
-        pick = F.first("__right", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    out = both.withColumn("__pick", pick).where(F.col("__left").isNotNull())
+        w = Window.partitionBy(*by).orderBy("__at", "__side", "__tie")
+        if direction == "backward":
+            pick = F.last("__right", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        else:
+            pick = F.first("__right", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+        both = both.withColumn("__pick", pick)
+    out = both.where(F.col("__left").isNotNull())
     seen = F.col("__at").isNotNull()
     return out.select("__left.*", *[F.when(seen, F.col(f"__pick.{c}")).alias(c) for c in take])
 

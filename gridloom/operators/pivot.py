@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridloom.functions.ordered import Fold, scan
+
 _NUM = lambda x: x.try_cast("double")
 
 AGGREGATES = {
@@ -165,8 +167,8 @@ class Pivot:
             if c:
                 w = Window.partitionBy(*r, "row_level", "col_level").orderBy(*c).rowsBetween(Window.unboundedPreceding, 0)
                 return out.withColumn(v.alias, F.when(F.col("col_level") == 0, F.sum(x).over(w)).otherwise(x))
-            w = Window.partitionBy("row_level").orderBy(*r).rowsBetween(Window.unboundedPreceding, 0)
-            return out.withColumn(v.alias, F.when(F.col("row_level") == 0, F.sum(x).over(w)).otherwise(x))
+            run = scan(out, r, {"__run": Fold("sum", x)}, ["row_level"])
+            return run.withColumn(v.alias, F.when(F.col("row_level") == 0, F.col("__run")).otherwise(x)).drop("__run")
         top_r, top_c = F.col("row_level") == len(r), F.col("col_level") == len(c)
         if v.show_as == "percent_of_total":
             whole = out.where(top_r & top_c).agg(F.max(x).alias("__whole"))  # the one grand total

@@ -102,21 +102,44 @@ def text_rule(x: Column, op: str, value: str) -> Column:
 
 
 def top_flag(x: Column, n: float, percent: bool = False, bottom: bool = False, keys: list | None = None) -> Column:
-    """Rows among the first n, or percent, of their keys; ties of the last place are in."""
-    w = Window.partitionBy(*(keys or [])).orderBy(x.asc_nulls_last() if bottom else x.desc_nulls_last())
-    size = F.count(x).over(Window.partitionBy(*(keys or [])))
+    """Rows among the first n, or percent, of their keys; ties of the last place are in. ``flag_top`` takes whole tables."""
+    w = Window.partitionBy(*_needed(keys, "flag_top")).orderBy(x.asc_nulls_last() if bottom else x.desc_nulls_last())
+    size = F.count(x).over(Window.partitionBy(*keys))
     limit = F.greatest(F.floor(size * n / 100), F.lit(1)) if percent else F.lit(n)
     return _SURE(x.isNotNull() & (F.rank().over(w) <= limit))
 
 
 def average_flag(x: Column, above: bool = True, deviations: int = 0, equal: bool = False, keys: list | None = None) -> Column:
-    """Above (below) the mean, moved by so many population standard deviations."""
-    w = Window.partitionBy(*(keys or []))
-    line = F.avg(x).over(w) + F.stddev_pop(x).over(w) * (deviations if above else -deviations)
+    """Above (below) their keys' mean, moved by so many population standard deviations. ``flag_average`` takes whole tables."""
+    w = Window.partitionBy(*_needed(keys, "flag_average"))
+    return _beyond(x, F.avg(x).over(w) + F.stddev_pop(x).over(w) * (deviations if above else -deviations), above, equal)
+
+
+def _needed(keys: list | None, instead: str) -> list:
+    if not keys:
+        raise ValueError(f"a window without keys is one task; use {instead}(df, name, ...)")
+    return keys
+
+
+def _beyond(x: Column, line: Column, above: bool, equal: bool) -> Column:
     hit = (x > line) if above else (x < line)
     return _SURE(hit | (x == line) if equal else hit)
 
 
+def flag_top(df: DataFrame, name: str, n: float, percent: bool = False, bottom: bool = False, flag: str = "flag") -> DataFrame:
+    """``df`` with a flag for the first n rows, or percent, of the whole table, ties included: a comparison with one value."""
+    kind = ("bottom" if bottom else "top") + ("Percent" if percent else "")
+    x, cut = F.col(name), ranked_cut(df, name, kind, n)
+    return df.withColumn(flag, _SURE(x <= cut if bottom else x >= cut))
+
+
+def flag_average(df: DataFrame, name: str, above: bool = True, deviations: int = 0, equal: bool = False, flag: str = "flag") -> DataFrame:
+    """``df`` with a flag for values beyond the whole table's mean: a comparison with one value."""
+    x = F.col(name)
+    line = df.agg((F.avg(x) + F.stddev_pop(x) * (deviations if above else -deviations)).alias("line")).scalar()
+    return df.withColumn(flag, _beyond(x, line, above, equal))
+
+
 def repeated_flag(x: Column, unique: bool = False, keys: list | None = None) -> Column:
     """Values met more than once (or once) in their keys, text without case; blanks are neither."""
     n = F.count("*").over(Window.partitionBy(*(keys or []), F.lower(_S(x))))

@@ -1,3 +1,3 @@
 """Imports the modules that register queries."""
 
-from gridloom.plans import function_queries, more_queries, pivot_queries, range_queries, value_queries  # noqa: F401
+from gridloom.plans import deep_queries, function_queries, more_queries, pivot_queries, range_queries, value_queries  # noqa: F401

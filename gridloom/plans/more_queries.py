@@ -90,14 +90,14 @@ def logic_errors(spark, d):
 
 @query("""SELECT coalesce(a.place, b.place) AS place, n_name, r_name FROM (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS place FROM nation) a FULL JOIN (SELECT r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS place FROM region) b ON a.place = b.place""")
 def array_stack_columns(spark, d):
-    n = arrays.numbered(table(spark, d, "nation").select("n_name", "n_nationkey"), [F.asc("n_nationkey")], name="place").drop("n_nationkey")
-    r = arrays.numbered(table(spark, d, "region").select("r_name", "r_regionkey"), [F.asc("r_regionkey")], name="place").drop("r_regionkey")
+    n = arrays.numbered(table(spark, d, "nation").select("n_name", "n_nationkey"), ["n_nationkey"], name="place").drop("n_nationkey")
+    r = arrays.numbered(table(spark, d, "region").select("r_name", "r_regionkey"), ["r_regionkey"], name="place").drop("r_regionkey")
     return arrays.stack_columns(n, r, "place")
 
 
 @query("""SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS k FROM orders) WHERE k BETWEEN 10 AND 29""")
 def array_take_and_drop(spark, d):
-    rows = arrays.numbered(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), [F.asc("o_orderkey")])
+    rows = arrays.numbered(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"])
     return arrays.rows_between(rows, 10, 30).select("o_orderkey", "o_totalprice")
 
 

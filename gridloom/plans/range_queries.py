@@ -178,7 +178,7 @@ def window_sparkline(spark, d):
 @query("SELECT * FROM (SELECT o_orderkey, o_orderpriority, o_totalprice, row_number() OVER (ORDER BY o_orderpriority DESC, o_totalprice, o_orderkey) - 1 AS place FROM orders)")
 def sort_typed(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return arrays.numbered(o, [F.desc("o_orderpriority"), F.asc("o_totalprice"), F.asc("o_orderkey")], name="place")
+    return arrays.numbered(o, ["-o_orderpriority", "o_totalprice", "o_orderkey"], name="place")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 40")

@@ -7,6 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.functions import call
 from gridloom.operators import lookup, profile, ranges, selectors
 from gridloom.operators.pivot import Pivot, Value, ordered
 from gridloom.sources import delimited, markup, workbook
@@ -121,7 +122,10 @@ def test_filters_formats_and_validation(spark):
     assert {r.v for r in ranges.autofilter(df, {"v": [("top", 3)]}).collect()} == {100.0, 91.0, 88.0}
     assert {r.v for r in ranges.autofilter(df, {"v": [("bottomPercent", 20)]}).collect()} == {12.0, 30.0}
     assert {r.v for r in ranges.autofilter(df, {"v": [("lt", 20), ("gt", 95)], "i": [("gte", 8)]}).collect()} == {12.0}
-    flags = df.select(v, ranges.top_flag(v, 25, percent=True).alias("t"), ranges.average_flag(v, deviations=1).alias("a"), ranges.cell_is(v, "between", 50, 70).alias("b"))
+    flags = ranges.flag_average(ranges.flag_top(df, "v", 25, percent=True, flag="t"), "v", deviations=1, flag="a").withColumn("b", ranges.cell_is(v, "between", 50, 70))
+    for build in (lambda: ranges.top_flag(v, 3), lambda: ranges.average_flag(v), lambda: call("RANK", v)):
+        with pytest.raises(ValueError, match="one task"):
+            build()
     got = flags.collect()
     assert {r.v for r in got if r.t} == {100.0, 91.0} and {r.v for r in got if r.b} == {58.0, 65.0} and {r.v for r in got if r.a} == {91.0, 100.0}
     cells = spark.createDataFrame([("Draft",), ("draft ",), ("",), (None,), ("7",), ("7.5",)], "x string")
@@ -188,3 +192,23 @@ def test_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(60)
     assert sorted(map(tuple, spark.table("w").collect())) == expected
     assert deduplicated(batch, ["k"]).count() == 2
+
+
+def test_long_scan(spark):
+    got = spark.range(1).select(call("SCAN", F.lit(0).cast("bigint"), F.sequence(F.lit(1), F.lit(100_000)).cast("array<bigint>"), lambda a, x: a + x).alias("s")).first().s
+    assert len(got) == 100_000 and got[-1] == 100_000 * 100_001 // 2 and got[:3] == [1, 3, 6]
+    odd = spark.sql("SELECT array(cast(3 as bigint)) AS one, cast(array() AS array<bigint>) AS none, cast(NULL AS array<bigint>) AS missing")
+    add = lambda x: call("SCAN", F.lit(10).cast("bigint"), F.col(x), lambda a, e: a * e)
+    assert tuple(odd.select(*[add(x) for x in odd.columns]).first()) == ([30], [], None)
+
+
+def test_as_of_over_all_rows_equals_one_group(spark):
+    left = spark.range(300).select((F.col("id") * 7 % 50).alias("x"), "id")
+    left = left.unionByName(spark.createDataFrame([(None, 999)], "x bigint, id bigint"))
+    right = spark.range(40).select((F.col("id") * 3 % 45).alias("t"), "id", F.lit("v").alias("v")).withColumn("one", F.lit(1))
+    for direction in ("backward", "forward"):
+        whole = lookup.as_of(left, "x", right.withColumnRenamed("id", "rid"), "t", ["rid"], None, direction, "rid")
+        grouped = lookup.as_of(left.withColumn("one", F.lit(1)), "x", right.withColumnRenamed("id", "rid"), "t", ["rid"], ["one"], direction, "rid")
+        spread = lookup.as_of(left.withColumn("one", F.lit(1)), "x", right.withColumnRenamed("id", "rid"), "t", ["rid"], ["one"], direction, "rid", spread=True)
+        want = sorted(map(tuple, grouped.select("id", "x", "rid").collect()), key=repr)
+        assert sorted(map(tuple, whole.select("id", "x", "rid").collect()), key=repr) == want == sorted(map(tuple, spread.select("id", "x", "rid").collect()), key=repr)
