@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import arrays, call
 from gridloom.functions.ordered import Fold, scan
-from gridloom.operators import lookup, ranges
+from gridloom.operators import lookup, ranges, selectors
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
+from gridloom.sources import workbook
+from gridloom.staging import scratch
 
 
 @query("""WITH b AS (
@@ -60,3 +62,82 @@ def array_scan_of_orders(spark, d):
 def info_n_unicode_column(spark, d):
     t = table(spark, d, "customer")
     return t.select("c_custkey", call("N", F.col("c_acctbal")).alias("number"), call("N", F.col("c_name")).alias("of_text"), call("N", F.col("c_acctbal") > 0).alias("of_truth"), call("UNICODE", F.col("c_name")).alias("code"), call("COLUMN", t.select("c_custkey", "c_name", "c_acctbal"), "c_acctbal").alias("place"))
+
+
+def _workbooks(spark, df, name):
+    """``df`` as a folder of workbooks."""
+    workbook.register(spark)
+    where = scratch(spark, name)
+    df.write.format("workbook").mode("overwrite").save(where)
+    return where
+
+
+@query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""")
+def workbook_orders(spark, d):
+    """All orders written to workbooks and read back as a typed table, dates by their number format."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority")
+    return spark.read.format("workbook").schema(o.schema).option("header", True).load(_workbooks(spark, o, "orders_book")).withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+@query("""WITH c AS (SELECT unnest([1, 2, 3, 4]) AS col, unnest(['number', 'string', 'number', 'boolean']) AS kind, unnest([c_custkey, NULL, c_acctbal, NULL]) AS num, unnest([NULL, c_name, NULL, upper(CAST(c_acctbal > 0 AS VARCHAR))]) AS text FROM customer)
+SELECT col, kind, count(*) AS cells, round(coalesce(sum(num), 0), 2) AS total, count(DISTINCT text) AS texts FROM c GROUP BY ALL""")
+def workbook_cells(spark, d):
+    """Cells of a folder of workbooks by column and kind; the header rows are left to the reader's filter."""
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", (F.col("c_acctbal") > 0).alias("owed"))
+    cells = spark.read.format("workbook").load(_workbooks(spark, c, "customer_book")).where("row > 1")
+    text = F.when(F.col("kind") != "number", F.col("text"))
+    return cells.groupBy("col", "kind").agg(F.count("*").alias("cells"), F.round(F.coalesce(F.sum("num"), F.lit(0.0)), 2).alias("total"), F.count_distinct(text).alias("texts"))
+
+
+def _region_trees(spark, d):
+    """Regions, nations, customers and orders as trees, one file a region."""
+    region, nation, customer, orders = (table(spark, d, n) for n in ("region", "nation", "customer", "orders"))
+    form = lambda *kv: F.create_map(*[F.lit(x) if i % 2 == 0 else F.col(x).cast("string") for i, x in enumerate(kv)])
+    n = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    c = customer.join(n, customer.c_nationkey == n.n_nationkey)
+    o = orders.join(c, orders.o_custkey == c.c_custkey)
+    columns = lambda path, parent, ord, kind, text, fm: [F.col("r_name").alias("file"), path.alias("path"), parent.alias("parent_path"), F.col(ord).cast("bigint").alias("ord"), F.lit(kind).alias("type"), F.col(text).alias("text"), F.lit(None).cast("string").alias("style"), fm.alias("format")]
+    key = lambda letter, name: F.concat(F.lit(letter), F.col(name).cast("string"))
+    return (
+        region.select(*columns(key("r", "r_regionkey"), F.lit("/"), "r_regionkey", "region", "r_name", form("name", "r_name")))
+        .unionByName(n.select(*columns(key("n", "n_nationkey"), key("r", "r_regionkey"), "n_nationkey", "nation", "n_name", form("name", "n_name"))))
+        .unionByName(c.select(*columns(key("c", "c_custkey"), key("n", "n_nationkey"), "c_custkey", "customer", "c_name", form("segment", "c_mktsegment", "owed", "c_acctbal"))))
+        .unionByName(o.select(*columns(key("o", "o_orderkey"), key("c", "c_custkey"), "o_orderkey", "order", "o_orderpriority", form("status", "o_orderstatus", "price", "o_totalprice"))))
+    )
+
+
+@query("""WITH n AS (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS k FROM nation),
+t AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey DESC) AS last FROM orders JOIN customer ON o_custkey = c_custkey JOIN n ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT r_name AS file, 'o' || o_orderkey AS path FROM t WHERE c_mktsegment = 'BUILDING' AND o_orderstatus = 'F'
+UNION SELECT r_name, 'o' || o_orderkey FROM t WHERE k = 2 AND last = 1
+UNION SELECT DISTINCT r_name, 'c' || c_custkey FROM customer JOIN n ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE k = 1 AND c_acctbal < 0""")
+def select_in_trees(spark, d):
+    """Descendants, children, positions and last ones in a tree a region, by interval labels."""
+    trees = selectors.label_nodes(_region_trees(spark, d))
+    found = selectors.select_nodes(trees, "region//customer[segment=BUILDING] > order[status=F], /region/nation[2]//order[last()], nation[1] customer[owed<0]")
+    return found.select("file", "path")
+
+
+@query("""WITH n AS (SELECT 'r' || r_regionkey AS id, NULL AS up, r_name AS file, lpad(CAST(r_regionkey AS VARCHAR), 9, '0') AS place, 0 AS depth FROM region
+  UNION ALL SELECT 'n' || n_nationkey, NULL, r_name, lpad(CAST(r_regionkey AS VARCHAR), 9, '0') || lpad(CAST(n_nationkey AS VARCHAR), 9, '0'), 1 FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT 'c' || c_custkey, NULL, r_name, lpad(CAST(r_regionkey AS VARCHAR), 9, '0') || lpad(CAST(n_nationkey AS VARCHAR), 9, '0') || lpad(CAST(c_custkey AS VARCHAR), 9, '0'), 2 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT 'o' || o_orderkey, NULL, r_name, lpad(CAST(r_regionkey AS VARCHAR), 9, '0') || lpad(CAST(n_nationkey AS VARCHAR), 9, '0') || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), 3
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+p AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY place) - 1 AS pre FROM n),
+s AS (SELECT file, substr(place, 1, 9 * unnest(range(1, depth + 2))) AS place FROM p),
+z AS (SELECT file, place, count(*) AS size FROM s GROUP BY ALL)
+SELECT p.file, id AS path, pre, pre + size - 1 AS post, depth FROM p JOIN z ON p.file = z.file AND p.place = z.place""")
+def label_trees(spark, d):
+    """Places in document order, ends of subtrees and depths of all nodes."""
+    return selectors.label_nodes(_region_trees(spark, d)).select("file", "path", "pre", "post", "depth")
+
+
+@query("""SELECT p_partkey AS key, CASE WHEN k % 2 = 0 THEN 'cell' ELSE 'row' END AS type, CASE WHEN k % 2 = 0 THEN p_name END AS text FROM (SELECT p_partkey, p_name, unnest([0, 1]) AS k FROM part) WHERE p_partkey % 10 = 3""")
+def select_in_sheets(spark, d):
+    """Rows and cells of a folder of workbooks by a path with a condition, as trees of sheet, row and cell."""
+    cells = spark.read.format("workbook").load(_workbooks(spark, table(spark, d, "part").select("p_partkey", "p_name"), "part_book"))
+    nodes = selectors.sheet_nodes(cells)
+    hit = selectors.select_nodes(nodes, 'sheet//cell[ord=1][text ~= r"3$"]').select("file", "sheet", F.col("parent_path").alias("p"), F.col("text").cast("bigint").alias("key"))
+    both = selectors.select_nodes(nodes, "/sheet > row, row cell[ord=2]")
+    at = F.when(F.col("type") == "row", F.col("path")).otherwise(F.col("parent_path"))
+    return both.withColumn("p", at).join(hit, ["file", "sheet", "p"]).select("key", "type", "text")

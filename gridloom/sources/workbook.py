@@ -1,181 +1,305 @@
-"""Office files as tables: cells of workbooks, nodes of documents and slides, and a simple workbook writer.
+"""Workbooks as a Spark data source, cells of workbooks in any store that Spark reads, and a workbook writer.
 
-Files come through Spark's binaryFile reader, so any store that Spark reads will do; each file is unpacked
-in the task that reads it.
+``register(spark)`` enters the format "workbook": ``spark.read.format("workbook").load(folder)`` gives the
+cells of all sheets, a task for each file and sheet; with ``header`` the rows of a sheet as a table.
+``df.write.format("workbook").mode("overwrite").save(folder)`` writes a file a task.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import fnmatch
 import io
-import re
-import xml.etree.ElementTree as ET
-import zipfile
+import os
+import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
-
-CELLS = "file string, sheet string, row bigint, col bigint, kind string, num double, text string, formula string"
-NODES = "file string, path string, parent_path string, ord bigint, type string, text string, style string, format map<string,string>"
-MOST_BYTES = 2 << 30  # unpacked size of a file beyond which it is refused
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
-
-
-def _open(data: bytes) -> zipfile.ZipFile:
-    z = zipfile.ZipFile(io.BytesIO(data))
-    if sum(i.file_size for i in z.infolist()) > MOST_BYTES:
-        raise ValueError("the unpacked file is too large")
-    return z
-
-
-def _tag(e: ET.Element) -> str:
-    return e.tag.rsplit("}", 1)[-1]
-
-
-def _kids(e: ET.Element | None, name: str) -> list[ET.Element]:
-    return [] if e is None else [k for k in e if _tag(k) == name]
-
-
-def _text(e: ET.Element) -> str:
-    return "".join(t.text or "" for t in e.iter() if _tag(t) == "t")
-
-
-def _column(letters: str) -> int:
-    n = 0
-    for ch in letters:
-        n = n * 26 + ord(ch) - 64
-    return n
-
-
-def workbook_cells(data: bytes) -> Iterator[tuple]:
-    """(sheet, row, col, kind, num, text, formula) of each stored cell."""
-    z = _open(data)
-    names = set(z.namelist())
-    shared = [_text(si) for si in _kids(ET.fromstring(z.read("xl/sharedStrings.xml")), "si")] if "xl/sharedStrings.xml" in names else []
-    targets = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-    book = ET.fromstring(z.read("xl/workbook.xml"))
-    for sheet in (s for holder in _kids(book, "sheets") for s in holder):
-        target = targets[sheet.get(_REL)]
-        root = ET.fromstring(z.read(target.lstrip("/") if target.startswith("/") else f"xl/{target}"))
-        for row in (r for d in _kids(root, "sheetData") for r in d):
-            for cell in row:
-                m = re.match(r"([A-Z]+)(\d+)", cell.get("r", ""))
-                if not m:
-                    continue
-                value = next((v.text for v in _kids(cell, "v")), None)
-                formula = next((f.text or "" for f in _kids(cell, "f")), None)
-                kind, text, number = cell.get("t", "n"), value, None
-                if kind == "s" and value is not None:
-                    kind, text = "string", shared[int(value)]
-                elif kind == "inlineStr":
-                    kind, text = "string", _text(cell)
-                elif kind == "str":
-                    kind = "string"
-                elif kind == "b":
-                    kind, text = "boolean", "TRUE" if value == "1" else "FALSE"
-                elif kind == "e":
-                    kind = "error"
-                elif value is not None:
-                    kind, number = "number", float(value)
-                else:
-                    kind = "blank"
-                yield sheet.get("name"), int(m[2]), _column(m[1]), kind, number, text, formula
-
-
-def document_nodes(data: bytes) -> Iterator[tuple]:
-    """(path, parent_path, ord, type, text, style, format) of paragraphs, runs, tables and slide shapes."""
-    z = _open(data)
-    wanted = {"p": "paragraph", "r": "run", "tbl": "table", "tr": "tr", "tc": "tc", "sp": "shape"}
-    parts = sorted(n for n in z.namelist() if n == "word/document.xml" or re.fullmatch(r"ppt/slides/slide\d+\.xml", n))
-
-    def walk(e: ET.Element, parent: str) -> Iterator[tuple]:
-        counts: dict[str, int] = {}
-        for k in e:
-            kind = wanted.get(_tag(k))
-            if kind is None:
-                yield from walk(k, parent)
-                continue
-            counts[kind] = counts.get(kind, 0) + 1
-            path = f"{parent}/{kind}[{counts[kind]}]"
-            while path in seen:
-                counts[kind] += 1
-                path = f"{parent}/{kind}[{counts[kind]}]"
-            seen.add(path)
-            own = next((x for x in k if _tag(x) in ("pPr", "rPr")), None)
-            style = next((next(iter(s.attrib.values()), None) for s in (own if own is not None else []) if _tag(s) in ("pStyle", "rStyle")), None)
-            form = {_tag(s): next(iter(s.attrib.values()), "true") for s in (own if own is not None else [])}
-            yield path, parent, counts[kind], kind, _text(k), style, form
-            yield from walk(k, path)
-
-    for part in parts:
-        seen: set[str] = set()
-        root = "/body" if part.startswith("word/") else "/slide[" + re.search(r"(\d+)\.xml", part)[1] + "]"
-        yield root, "/", 1, root.strip("/").split("[")[0], None, None, {}
-        yield from walk(ET.fromstring(z.read(part)), root)
-
-
-def _files(spark: SparkSession, path: str, read, schema: str) -> DataFrame:
-    columns = [f.split()[0] for f in re.split(r",\s*(?![^<]*>)", schema)]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.types import BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegralType, StringType, StructField, StructType, TimestampNTZType, TimestampType, _parse_datatype_string
+
+from gridloom.sources.ooxml import Cell, Workbook, write_package
+
+CELLS = "file string, sheet string, row bigint, col bigint, kind string, num double, text string, formula string, moment timestamp_ntz, merge string"
+BATCH = 8192  # rows of an Arrow batch
+
+
+def register(spark: SparkSession) -> None:
+    """Enter the format "workbook". Filters are pushed to it, which is a setting of the session."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(WorkbookSource)
+
+
+def file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
+    if "://" in path or path.startswith("file:"):
+        return pa.fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+    return pa.fs.LocalFileSystem(), os.path.abspath(path)
+
+
+def workbook_files(path: str) -> tuple[pa.fs.FileSystem, list[str]]:
+    """Workbooks at a file, in a folder, or by a pattern in the last part; hidden and unfinished files are none."""
+    fs, at = file_system(path)
+    folder, name = at.rsplit("/", 1)
+    pattern = name if any(ch in name for ch in "*?[") else None
+    info = fs.get_file_info(folder if pattern else at)
+    if info.type == pa.fs.FileType.File:
+        return fs, [at]
+    if info.type == pa.fs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    found = fs.get_file_info(pa.fs.FileSelector(folder if pattern else at))
+    good = [f.path for f in found if f.type == pa.fs.FileType.File and f.base_name[:1] not in "._~" and (fnmatch.fnmatch(f.base_name, pattern) if pattern else f.base_name.lower().endswith((".xlsx", ".xlsm")))]
+    return fs, sorted(good)
+
+
+@dataclass
+class Part(InputPartition):
+    file: str
+    sheet: str
+
+
+class WorkbookSource(DataSource):
+    """Options: ``path``; ``sheet`` (a name; all by default); ``header`` (the first row names the columns, and rows
+    are a table: texts, or the types of the schema given, whose columns alone are converted); ``merged``
+    (cells know their merged range); ``fillMerged`` (covered cells take its value). To write: ``sheetName``,
+    ``header``, ``maxRows`` of a sheet, ``formulas`` (texts that begin with = are formulas)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "workbook"
+
+    def schema(self) -> StructType | str:
+        if not _true(self.options.get("header")):
+            return CELLS
+        fs, files = workbook_files(self.options["path"])
+        for file in files:
+            with fs.open_input_file(file) as f:
+                book = Workbook(f)
+                for sheet in book.sheets:
+                    if self.options.get("sheet", sheet) == sheet:
+                        return StructType([StructField(n, StringType()) for n in _header(book, sheet)])
+        raise ValueError("no sheet to take the columns from; give a schema")
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return WorkbookReader(schema, dict(self.options))
+
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return WorkbookWriter(schema, dict(self.options), overwrite)
+
+
+def _true(x: str | None) -> bool:
+    return str(x).lower() == "true"
+
+
+def _header(book: Workbook, sheet: str) -> dict[str, int]:
+    """Column names of the first row, with their numbers; of equal names the first counts."""
+    names: dict[str, int] = {}
+    for c in book.cells(sheet, last=1):
+        if c.text:
+            names.setdefault(c.text, c.col)
+    return names
+
+
+class WorkbookReader(DataSourceReader):
+    """Rows of ``Part``s. Filters on file and sheet leave tasks out, those on row and column cells; reading ends at the last row wanted."""
+
+    def __init__(self, schema: StructType, options: dict[str, str]):
+        options = {k.lower(): v for k, v in options.items()}
+        self.fields, self.path = [(f.name, f.dataType) for f in schema.fields], options["path"]
+        self.table = _true(options.get("header"))
+        self.sheets = {options["sheet"]} if "sheet" in options else None
+        self.files: set[str] | None = None
+        self.first, self.last, self.columns = 1, None, None
+        self.merged, self.fill = _true(options.get("merged")), _true(options.get("fillmerged"))
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            name = f.attribute[0] if getattr(f, "attribute", None) and len(f.attribute) == 1 else ""
+            values = {f.value} if isinstance(f, EqualTo) else set(f.value) if isinstance(f, In) else None
+            if self.table or name not in ("file", "sheet", "row", "col"):
+                yield f
+            elif name in ("file", "sheet") and values is not None:
+                held = self.sheets if name == "sheet" else self.files
+                setattr(self, "sheets" if name == "sheet" else "files", values if held is None else held & values)
+            elif name == "col" and values is not None:
+                self.columns = values if self.columns is None else self.columns & values
+            elif name == "row" and isinstance(f, EqualTo):
+                self._rows(f.value, f.value)
+            elif name == "row" and isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+                self._rows(f.value + isinstance(f, GreaterThan), None)
+            elif name == "row" and isinstance(f, (LessThan, LessThanOrEqual)):
+                self._rows(1, f.value - isinstance(f, LessThan))
+            else:
+                yield f
+
+    def _rows(self, first: int, last: int | None) -> None:
+        self.first = max(self.first, first)
+        self.last = last if self.last is None else self.last if last is None else min(self.last, last)
+
+    def partitions(self) -> list[Part]:
+        """A part for each file and sheet; only the files' directories are read for it, several at a time."""
+        fs, files = workbook_files(self.path)
+
+        def sheets(file: str) -> list[Part]:
+            with fs.open_input_file(file) as f:
+                return [Part(file, s) for s in Workbook(f).sheets if self.sheets is None or s in self.sheets]
+
+        chosen = [f for f in files if self.files is None or f in self.files]
+        with ThreadPoolExecutor(16) as pool:
+            return [p for own in pool.map(sheets, chosen) for p in own] or [Part("", "")]
+
+    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        if not partition.file:
+            return
+        fs, _ = file_system(self.path)
+        schema = to_arrow_schema(StructType([StructField(n, t) for n, t in self.fields]))
+        with fs.open_input_file(partition.file) as f:
+            book = Workbook(f)
+            rows = self._table(book, partition.sheet) if self.table else self._cells(book, partition)
+            held: list[tuple] = []
+            for row in rows:
+                held.append(row)
+                if len(held) == BATCH:
+                    yield _batch(held, schema)
+                    held = []
+            if held:
+                yield _batch(held, schema)
+
+    def _cells(self, book: Workbook, part: Part) -> Iterator[tuple]:
+        names = [n for n, _ in self.fields]
+        every = CELLS.split(", ")
+        take = [[c.split()[0] for c in every].index(n) for n in names]
+        for c in book.cells(part.sheet, self.first, self.last, self.columns, self.merged, self.fill):
+            row = (part.file, part.sheet, *c)
+            yield tuple(row[i] for i in take)
+
+    def _table(self, book: Workbook, sheet: str) -> Iterator[tuple]:
+        names = {n.lower(): col for n, col in reversed(_header(book, sheet).items())}
+        places = [names.get(n.lower()) for n, _ in self.fields]
+        kinds = [t for _, t in self.fields]
+        for _, row in book.rows(sheet, first=2, columns={p for p in places if p}, fill=self.fill):
+            values = {c.col: c for c in row}
+            yield tuple(_value(values.get(p), t) for p, t in zip(places, kinds))
+
+
+def _value(c: Cell | None, kind):
+    """A cell as a value of the column's type; None where it is none."""
+    if c is None or c.kind in ("blank", "error"):
+        return None
+    try:
+        if isinstance(kind, StringType):
+            return c.text
+        if isinstance(kind, BooleanType):
+            return {"TRUE": True, "FALSE": False}.get((c.text or "").upper())
+        if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+            at = c.moment or dt.datetime.fromisoformat(c.text)
+            return at.date() if isinstance(kind, DateType) else at.replace(tzinfo=dt.timezone.utc) if isinstance(kind, TimestampType) else at
+        if isinstance(kind, IntegralType):
+            return int(c.text) if c.kind == "number" and c.text.lstrip("-").isdigit() else int(c.num if c.num is not None else float(c.text))
+        if isinstance(kind, (DoubleType, FloatType)):
+            return c.num if c.num is not None else float(c.text)
+        if isinstance(kind, DecimalType):
+            from decimal import Decimal
+
+            return Decimal(c.text).quantize(Decimal(1).scaleb(-kind.scale))
+    except (ValueError, ArithmeticError):
+        return None
+    raise TypeError(f"a workbook has no cells of type {kind.simpleString()}")
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(column, f.type) for column, f in zip(zip(*rows), schema)], schema=schema)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    name: str
+    rows: int
+
+
+class WorkbookWriter(DataSourceArrowWriter):
+    """A file a task under a hidden name; ``commit`` gives the files their names, ``abort`` deletes them."""
+
+    def __init__(self, schema: StructType, options: dict[str, str], overwrite: bool):
+        options = {k.lower(): v for k, v in options.items()}
+        wrong = [f.name for f in schema.fields if not isinstance(f.dataType, (StringType, BooleanType, DateType, TimestampType, TimestampNTZType, IntegralType, DoubleType, FloatType, DecimalType))]
+        if wrong:
+            raise TypeError(f"no cells for the types of {', '.join(wrong)}")
+        self.path, self.overwrite, self.job = options["path"], overwrite, uuid.uuid4().hex
+        self.columns = None if str(options.get("header", "true")).lower() == "false" else [f.name for f in schema.fields]
+        self.sheet, self.most, self.formulas = options.get("sheetname", "Sheet1"), int(options.get("maxrows", 1_048_576)), _true(options.get("formulas"))
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        from pyspark import TaskContext
+
+        fs, folder = file_system(self.path)
+        fs.create_dir(folder, recursive=True)
+        context = TaskContext.get()
+        name = f"part-{context.partitionId():05d}-{context.taskAttemptId()}-{self.job}.xlsx"
+        rows = (row for batch in iterator for row in zip(*(c.to_pylist() for c in batch.columns)))
+        with fs.open_output_stream(f"{folder}/_{name}") as out:
+            n = write_package(out, self.columns, rows, self.sheet, self.most, self.formulas)
+        return Written(name, n)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        fs, folder = file_system(self.path)
+        if self.overwrite:
+            for f in fs.get_file_info(pa.fs.FileSelector(folder, allow_not_found=True)):
+                if f.type == pa.fs.FileType.File and f.base_name.startswith("part-") and f.base_name.endswith(".xlsx"):
+                    fs.delete_file(f.path)
+        for m in messages:
+            if m is not None:
+                fs.move(f"{folder}/_{m.name}", f"{folder}/{m.name}")
+        self._sweep(fs, folder)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        fs, folder = file_system(self.path)
+        self._sweep(fs, folder)
+
+    def _sweep(self, fs: pa.fs.FileSystem, folder: str) -> None:
+        """Delete what tasks of this job have left that failed or ran twice."""
+        for f in fs.get_file_info(pa.fs.FileSelector(folder, allow_not_found=True)):
+            if f.base_name.startswith("_part-") and f.base_name.endswith(f"-{self.job}.xlsx"):
+                fs.delete_file(f.path)
+
+
+def read_workbooks(spark: SparkSession, path: str, merged: bool = False) -> DataFrame:
+    """Cells of all workbooks at a path or pattern, through Spark's own reader of binary files: for stores that only Spark reads."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = to_arrow_schema(_parse_datatype_string(CELLS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for file, data in zip(b["path"], b["content"]):
-                yield pd.DataFrame([(file, *row) for row in read(bytes(data))], columns=columns)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
-
+            for file, content in zip(b.column("path"), b.column("content")):
+                book = Workbook(io.BytesIO(content.as_buffer()))
+                for sheet in book.sheets:
+                    held: list[tuple] = []
+                    for c in book.cells(sheet, merged=merged):
+                        held.append((file.as_py(), sheet, *c))
+                        if len(held) == BATCH:
+                            yield _batch(held, schema)
+                            held = []
+                    if held:
+                        yield _batch(held, schema)
 
-def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """Cells of all workbooks at a path or pattern."""
-    return _files(spark, path, workbook_cells, CELLS)
-
-
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Nodes of all text documents and slides at a path or pattern."""
-    return _files(spark, path, document_nodes, NODES)
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, CELLS)
 
 
 def sheet_table(cells: DataFrame, sheet: str, columns: list[str], header_row: int = 1) -> DataFrame:
     """A sheet's cells as a wide table with the given column names, one row for each row below the header."""
-    from pyspark.sql import functions as F
-
     rows = cells.where((F.col("sheet") == sheet) & (F.col("row") > header_row))
     return rows.groupBy("file", "row").agg(*[F.max(F.when(F.col("col") == i + 1, F.col("text"))).alias(c) for i, c in enumerate(columns)])
 
 
 def write_workbook(rows: list[tuple], columns: list[str], sheet: str = "Sheet1") -> bytes:
-    """A minimal workbook of a report's rows (a result small enough for one sheet)."""
-    from xml.sax.saxutils import escape
-
-    def cell(v) -> str:
-        if v is None:
-            return "<c/>"
-        if isinstance(v, bool):
-            return f'<c t="b"><v>{int(v)}</v></c>'
-        if isinstance(v, (int, float)):
-            return f"<c><v>{v}</v></c>"
-        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>'
-
-    def letters(n: int) -> str:
-        out = ""
-        while n:
-            n, r = divmod(n - 1, 26)
-            out = chr(65 + r) + out
-        return out
-
-    body = []
-    for r, row in enumerate([tuple(columns), *rows], 1):
-        cells = "".join(cell(v).replace("<c", f'<c r="{letters(i)}{r}"', 1) for i, v in enumerate(row, 1))
-        body.append(f'<row r="{r}">{cells}</row>')
-    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    package = "http://schemas.openxmlformats.org/package/2006"
-    kinds = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    """A workbook of a report's rows, as bytes; tables are written by the data source."""
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml", f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kinds}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kinds}.worksheet+xml"/></Types>')
-        z.writestr("_rels/.rels", f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="{escape(sheet)}" sheetId="1" r:id="r1"/></sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData>{"".join(body)}</sheetData></worksheet>')
+    write_package(out, columns, rows, sheet)
     return out.getvalue()

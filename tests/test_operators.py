@@ -212,3 +212,31 @@ def test_as_of_over_all_rows_equals_one_group(spark):
         spread = lookup.as_of(left.withColumn("one", F.lit(1)), "x", right.withColumnRenamed("id", "rid"), "t", ["rid"], ["one"], direction, "rid", spread=True)
         want = sorted(map(tuple, grouped.select("id", "x", "rid").collect()), key=repr)
         assert sorted(map(tuple, whole.select("id", "x", "rid").collect()), key=repr) == want == sorted(map(tuple, spread.select("id", "x", "rid").collect()), key=repr)
+
+
+def test_selectors_over_several_files(spark):
+    """Nodes of equal paths in several files: none is lost, and steps stay in their file."""
+    rows = []
+    for file in ("f1", "f2", "f3"):
+        rows += [(file, "/b", "/", 1, "body", None), (file, "/b/p1", "/b", 1, "paragraph", f"{file} one"), (file, "/b/t1", "/b", 2, "table", None), (file, "/b/t1/p1", "/b/t1", 1, "paragraph", "deep"), (file, "/b/t1/p1/r1", "/b/t1/p1", 1, "run", "deep")]
+        if file != "f2":
+            rows += [(file, "/b/p2", "/b", 3, "paragraph", "two")]
+    df = spark.createDataFrame([(*r, None, {}) for r in rows], "file string, path string, parent_path string, ord int, type string, text string, style string, format map<string,string>")
+    trees = selectors.label_nodes(df).cache()
+    assert {(r.path, r.pre, r.post, r.depth) for r in trees.where("file = 'f1'").collect()} == {("/b", 0, 5, 0), ("/b/p1", 1, 1, 1), ("/b/t1", 2, 4, 1), ("/b/t1/p1", 3, 4, 2), ("/b/t1/p1/r1", 4, 4, 3), ("/b/p2", 5, 5, 1)}
+    for spread in (False, True):
+        found = lambda s: sorted((r.file, r.path) for r in selectors.select_nodes(trees, s, spread=spread).collect())
+        files = lambda p, skip=(): [(f, p) for f in ("f1", "f2", "f3") if f not in skip]
+        assert found("body > paragraph[2]") == files("/b/p2", ["f2"])
+        assert found("/body/paragraph[1]") == files("/b/p1") == found('paragraph[text~="one"]')
+        assert found("table//run") == found("table run") == found("//table/paragraph/run[last()]") == files("/b/t1/p1/r1")
+        assert found("body//paragraph[last()]") == sorted(files("/b/p2", ["f2"]) + [("f2", "/b/p1")] + files("/b/t1/p1"))
+        assert found("run, table > paragraph, run:contains(deep)") == sorted(files("/b/t1/p1") + files("/b/t1/p1/r1"))
+        assert found("paragraph paragraph") == [] and found("/paragraph") == []
+    for wrong in ("a > > b", "> a", "a >", "", "a/[1"):
+        with pytest.raises(selectors.SelectorError):
+            selectors.select_nodes(trees, wrong)
+    with pytest.raises(selectors.SelectorError, match="label_nodes"):
+        selectors.select_nodes(df, "a//b")
+    with pytest.raises(ValueError, match="cycle"):
+        selectors.label_nodes(spark.createDataFrame([("f", "/a", "/", 1), ("f", "/b", "/c", 1), ("f", "/c", "/b", 1)], "file string, path string, parent_path string, ord int"))
