@@ -117,10 +117,14 @@ def across(left: DataFrame, on: str, wide: DataFrame, label: str, row, columns:
 def xlookup(left: DataFrame, on: str, right: DataFrame, key: str, take: list[str], order: str | None = None, mode: int = 0, last: bool = False, default: dict | None = None, by: list[str] | None = None) -> DataFrame:
     """XLOOKUP with its match modes 0, -1 and 1, the search from the end (``last``) and the value if not found.
 
-    Mode 2, wildcards, is ``wildcard``: its patterns are the searched values.
+    Mode 2, wildcards, takes the patterns from ``on`` (see ``patterns``); ``order`` is needed for it.
     """
     if mode == 0:
         return exact(left, on, right, key, take, order, last, default)
+    if mode == 2:
+        from gridloom.operators.patterns import wildcard_lookup
+
+        return wildcard_lookup(left, on, right, key, take, order, default)
     picked = F.struct(*[F.col(c) for c in take])
     few = right.where(F.col(key).isNotNull()).groupBy(*(by or []), key).agg((F.max_by if last else F.min_by)(picked, F.col(order) if order else F.lit(0)).alias("__few"))
     out = nearest(left, on, few, key, ["__few"], by, larger=mode > 0)

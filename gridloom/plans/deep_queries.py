@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import arrays, call
 from gridloom.functions.ordered import Fold, scan
-from gridloom.operators import lookup, ranges, selectors
+from gridloom.operators import lookup, patterns, ranges, selectors
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
 from gridloom.sources import workbook
@@ -141,3 +141,37 @@ def select_in_sheets(spark, d):
     both = selectors.select_nodes(nodes, "/sheet > row, row cell[ord=2]")
     at = F.when(F.col("type") == "row", F.col("path")).otherwise(F.col("parent_path"))
     return both.withColumn("p", at).join(hit, ["file", "sheet", "p"]).select("key", "type", "text")
+
+
+#: A pattern of each kind from the part names, by key: plain, start, end, middle, single characters, escapes, none.
+_PATTERN_SQL = """SELECT p_partkey AS k, CASE p_partkey % 8 WHEN 0 THEN upper(p_name) WHEN 1 THEN substr(p_name, 1, 4) || '*' WHEN 2 THEN '*' || right(p_name, 3) WHEN 3 THEN '*' || substr(p_name, 3, 5) || '*'
+  WHEN 4 THEN '?' || substr(p_name, 2, 4) || '?*' WHEN 5 THEN '*' || right(p_name, 1) WHEN 6 THEN repeat('?', length(p_name)) ELSE '*~*' || p_name END AS pattern FROM part"""
+
+
+def _part_patterns(spark, d):
+    n, m = F.col("p_name"), F.col("p_partkey") % 8
+    kinds = [F.upper(n), F.concat(F.substring(n, 1, 4), F.lit("*")), F.concat(F.lit("*"), F.right(n, F.lit(3))), F.concat(F.lit("*"), F.substring(n, 3, 5), F.lit("*")), F.concat(F.lit("?"), F.substring(n, 2, 4), F.lit("?*")), F.concat(F.lit("*"), F.right(n, F.lit(1))), F.repeat(F.lit("?"), F.char_length(n)), F.concat(F.lit("*~*"), n)]
+    pattern = F.when(m == 0, kinds[0])
+    for i, kind in enumerate(kinds[1:], 1):
+        pattern = pattern.when(m == i, kind)
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), pattern.alias("pattern"))
+
+
+_FITS = "lower(p_name) LIKE replace(replace(replace(lower(pattern), '_', '!_'), '?', '_'), '*', '%') ESCAPE '!'"
+
+
+@query(f"""WITH p AS ({_PATTERN_SQL}), m AS (SELECT k, p_partkey, p_name, row_number() OVER (PARTITION BY k ORDER BY p_partkey) AS r, p_retailprice FROM p JOIN part ON pattern NOT LIKE '*~*%' AND {_FITS})
+SELECT p.k, p_partkey AS part, coalesce(p_retailprice, -1) AS price FROM p LEFT JOIN m ON p.k = m.k AND r = 1""")
+def lookup_patterns_from_a_table(spark, d):
+    """XLOOKUP with wildcards: for a pattern from every part's name the first part that fits."""
+    part = table(spark, d, "part").select(F.col("p_partkey").alias("part"), "p_name", F.col("p_retailprice").alias("price"))
+    return lookup.xlookup(_part_patterns(spark, d), "pattern", part, "p_name", ["part", "price"], "part", mode=2, default={"price": -1.0}).drop("pattern")
+
+
+@query(f"""WITH p AS ({_PATTERN_SQL}) SELECT k, count(p_partkey) AS parts, coalesce(round(sum(p_retailprice), 2), 0) AS price FROM p LEFT JOIN part ON pattern NOT LIKE '*~*%' AND {_FITS} GROUP BY k""")
+def criteria_patterns_from_a_table(spark, d):
+    """COUNTIF and SUMIF with a pattern from every part's name over all parts."""
+    part = table(spark, d, "part")
+    out = patterns.wildcard_counts(_part_patterns(spark, d), "pattern", part, "p_name", "parts")
+    out = patterns.wildcard_counts(out, "pattern", part, "p_name", "price", "p_retailprice")
+    return out.select("k", "parts", F.round("price", 2).alias("price"))
