@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from gridloom.functions import arrays, call
 from gridloom.functions.ordered import Fold, scan
-from gridloom.operators import lookup, patterns, ranges, selectors
+from gridloom.operators import criteria_tables, lookup, patterns, ranges, selectors
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
 from gridloom.sources import workbook
@@ -175,3 +177,25 @@ def criteria_patterns_from_a_table(spark, d):
     out = patterns.wildcard_counts(_part_patterns(spark, d), "pattern", part, "p_name", "parts")
     out = patterns.wildcard_counts(out, "pattern", part, "p_name", "price", "p_retailprice")
     return out.select("k", "parts", F.round("price", 2).alias("price"))
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey % 6 AS m FROM customer)
+SELECT o_orderstatus, round(sum(o_totalprice), 2) AS dsum, count(*) AS dcount, max(o_totalprice) AS dmax FROM orders WHERE EXISTS (SELECT 1 FROM c WHERE CASE m
+  WHEN 0 THEN o_custkey = k AND o_totalprice > 200000 WHEN 1 THEN o_orderpriority LIKE '1%' AND o_custkey = k WHEN 2 THEN o_totalprice > 500000 - k AND o_orderstatus = 'F'
+  WHEN 3 THEN o_totalprice < 500 + k AND o_orderkey >= 10 WHEN 4 THEN lower(o_orderpriority) LIKE '_-%e%' AND o_orderkey <= k ELSE o_orderpriority <> '2-HIGH' AND o_orderpriority > '4' AND o_orderkey = 3 * k END) GROUP BY o_orderstatus""")
+def database_criteria_from_a_table(spark, d):
+    """DSUM, DCOUNT and DMAX of orders with a criteria row for every customer: equalities, ranges, patterns and inequalities."""
+    k, m = F.col("c_custkey").cast("string"), F.col("c_custkey") % 6
+    cell = lambda *pairs: reduce(lambda a, p: a.when(m == p[0], p[1]), pairs, F.when(F.lit(False), ""))
+    rows = table(spark, d, "customer").select(
+        cell((0, k), (1, F.concat(F.lit("="), k))).alias("O_CUSTKEY"),
+        cell((0, F.lit(">200000")), (2, F.concat(F.lit(">"), (500000 - F.col("c_custkey")).cast("string"))), (3, F.concat(F.lit("<"), (500 + F.col("c_custkey")).cast("string")))).alias("o_totalprice"),
+        cell((1, F.lit("1*")), (4, F.lit("?-*E*")), (5, F.lit("<>2-HIGH"))).alias("o_orderpriority"),
+        cell((2, F.lit("f"))).alias("o_orderstatus"),
+        cell((3, F.lit(">=10")), (4, F.concat(F.lit("<="), k)), (5, (3 * F.col("c_custkey")).cast("string"))).alias("o_orderkey"),
+        cell((5, F.lit(">4"))).alias("o_text"),
+    )
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", F.concat(F.lit("x"), F.col("o_orderpriority")).alias("o_text"))
+    rows = rows.withColumn("o_text", F.when(F.col("o_text").isNotNull(), F.lit(">x4")))
+    out = criteria_tables.database_by_table(orders, ["DSUM", "DCOUNT", "DMAX"], "o_totalprice", rows, ["o_orderstatus"])
+    return out.select("o_orderstatus", F.round("dsum", 2).alias("dsum"), "dcount", "dmax")

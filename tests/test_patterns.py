@@ -45,3 +45,33 @@ def test_patterns_of_nothing(spark):
     assert [tuple(r) for r in wildcard_lookup(left, "p", right.limit(0), "t", ["k"], "k").collect()] == [("a*", None)]
     assert wildcard_lookup(left.limit(0), "p", right, "t", ["k"], "k").collect() == []
     assert [tuple(r) for r in wildcard_counts(left, "p", right.limit(0), "t").collect()] == [("a*", 0)]
+
+
+CELLS = ["", None, "5", "=5", ">3", "<=2.5", "<>4", "apple", "=apple", "<>apple", "a*", "*p?e", ">b", "<b", ">=pear", "~*", "1e1", "zzz", "=", "<>"]
+
+
+def test_criteria_tables_by_the_plain_criterion(spark):
+    """Every row of a criteria table holds as the criteria strings of its cells do."""
+    from gridloom.operators.criteria import block
+    from gridloom.operators.criteria_tables import database_by_table, where_any
+
+    rng = random.Random(9)
+    values = ["apple", "Apple", "pear", "*", "", None, "5", "10", "ape", "b", "4.00000000001", "4"]
+    rows = [(i, rng.choice(values), rng.choice([None, 5.0, 4.0, 2.5, -1.0, 10.0, float("nan")]), rng.choice(values)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, word string, n double, other string")
+    for trial in range(4):
+        picked = [{"WORD": rng.choice(CELLS), "n": rng.choice(CELLS), "other": rng.choice(CELLS)} for _ in range(trial * 4 + 1)]
+        picked = [p for p in picked if any(p.values())]
+        criteria = spark.createDataFrame([(p["WORD"], p["n"], p["other"]) for p in picked], "WORD string, n string, other string")
+        want = df.where(block([{k: v for k, v in (("word", p["WORD"]), ("n", p["n"]), ("other", p["other"])) if v} for p in picked]))
+        assert sorted(r.id for r in where_any(df, criteria).collect()) == sorted(r.id for r in want.collect()), picked
+    one = lambda *cells: spark.createDataFrame([cells], "word string, n string")
+    assert where_any(df, one(None, "")).count() == 300 == where_any(df, one("a", "b").limit(0)).count()
+    assert where_any(df, one("apple", None).withColumn("colour", F.lit("red"))).count() == 0
+    assert where_any(df, one("apple", None).withColumn("colour", F.lit(""))).count() == sum(str(r[1]).lower() == "apple" for r in rows)
+    big = spark.range(1_000).select(F.concat(F.lit("<"), F.col("id")).alias("n"), F.lit("p*").alias("word"))
+    plan = where_any(df, big)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "LeftSemi" in plan
+    got = database_by_table(df.where("n > 0"), ["DSUM", "DGET", "DCOUNT"], "n", one("apple", ">4")).first()
+    some = [r[2] for r in rows if str(r[1]).lower() == "apple" and r[2] is not None and r[2] > 4]
+    assert got.dsum == sum(some) and got.dcount == len(some) and got.dget == (some[0] if len(some) == 1 else None)
