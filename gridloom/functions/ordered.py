@@ -57,14 +57,14 @@ def sort_columns(order: Sequence[str]) -> list[Column]:
 
 def _ahead(names: list[tuple[str, bool]], cut: Sequence) -> Column:
     """Whether a row stands before a cut point; NULL is the least value, NaN the greatest."""
-    out = F.lit(False)
+    out = None
     for (name, down), v in list(zip(names, cut))[::-1]:
         x = F.col(f"`{name}`")
         if v is None:
             less = x.isNotNull() if down else F.lit(False)
         else:
             less = F.coalesce(x > F.lit(v), F.lit(False)) if down else F.coalesce(x < F.lit(v), F.lit(True))
-        out = less | (x.eqNullSafe(F.lit(v)) & out)
+        out = less if out is None else less | (x.eqNullSafe(F.lit(v)) & out)
     return out
 
 
@@ -90,6 +90,17 @@ def in_stretches(df: DataFrame, order: Sequence[str], cuts: list, name: str = "_
     return df.withColumn(name, tree(0, len(cuts)))
 
 
+def in_intervals(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
+    """``df`` with the number of the interval that a number lies in, by binary search; NaN and NULL come behind the last one."""
+    if not cuts:
+        return df.withColumn(name, F.lit(0))
+    from pyspark.ml.feature import Bucketizer
+
+    splits = [float("-inf"), *cuts, float("inf")]
+    put = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+    return put.withColumn(name, F.col(name).cast("int"))
+
+
 def scan(df: DataFrame, order: Sequence[str], folds: dict[str, Fold], by: Sequence[str] = (), pieces: int | None = None) -> DataFrame:
     """``df`` with a column for each fold, over the rows in the order of ``order`` ("-name" falls) within ``by``.
 

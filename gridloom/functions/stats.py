@@ -8,6 +8,9 @@ from pyspark.sql.window import Window, WindowSpec
 
 from gridloom.functions.arrays import sum_before
 from gridloom.functions.base import c, fn, num, ok
+from gridloom.functions.order_stats import null_safe_join, order_statistics
+from gridloom.functions.ordered import Fold, scan
+from gridloom.staging import staged
 
 fn("MEDIAN")(lambda x: F.median(num(x)))
 fn("STDEV", "STDEV.S")(lambda x: F.stddev_samp(num(x)))
@@ -77,15 +80,15 @@ def percentile_exc(x, k: float) -> Column:
 
 
 fn("QUARTILE.EXC")(lambda x, q: percentile_exc(x, q / 4))
+# Of small groups; ``kth`` and ``order_stats.order_statistics`` take groups of any size.
 fn("LARGE")(lambda x, k: F.get(F.sort_array(F.collect_list(num(x)), asc=False), F.lit(int(k) - 1)))
 fn("SMALL")(lambda x, k: F.get(F.sort_array(F.collect_list(num(x))), F.lit(int(k) - 1)))
 
 
 def kth(df: DataFrame, keys: list[str], value: str, k: int, largest: bool = True) -> DataFrame:
-    """LARGE or SMALL of each group without gathering the group: keys and the k-th value."""
-    order = F.desc_nulls_last(value) if largest else F.asc_nulls_last(value)
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.where(F.col(value).isNotNull()).withColumn("__k", F.row_number().over(w)).where(F.col("__k") == k).select(*keys, value)
+    """LARGE or SMALL of each group without gathering the group: keys and the k-th value; groups of fewer values have none."""
+    found = order_statistics(df, keys, value, {"__k": ("large" if largest else "small", k)})
+    return found.where(F.col("__k").isNotNull()).select(*keys, F.col("__k").cast(df.schema[value].dataType).alias(value))
 
 
 def _ordered(x: Column, ascending: bool, keys: list) -> WindowSpec:
@@ -144,11 +147,17 @@ def average_deviation(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def trimmed_mean(df: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:
-    """TRIMMEAN: floor(n * share / 2) values are left out at each end."""
-    part = Window.partitionBy(*keys)
-    ranked = df.where(F.col(value).isNotNull()).select(*keys, value, F.row_number().over(part.orderBy(value)).alias("__r"), F.count("*").over(part).alias("__n"))
-    cut = F.floor(F.col("__n") * share / 2)
-    return ranked.where((F.col("__r") > cut) & (F.col("__r") <= F.col("__n") - cut)).groupBy(*keys).agg(F.avg(value).alias("trimmean"))
+    """TRIMMEAN: floor(n * share / 2) values are left out at each end.
+
+    Values are counted, and a value that the cut runs through counts for the rows that stay.
+    """
+    counted = staged(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n")), "counted")
+    ranked = scan(counted, [value], {"__upto": Fold("sum", F.col("__n"))}, keys)
+    total = counted.groupBy(*keys).agg(F.sum("__n").alias("__all"))
+    joined = null_safe_join(ranked, total, keys)
+    cut = F.floor(F.col("__all") * share / 2)
+    kept = F.greatest(F.least(F.col("__upto"), F.col("__all") - cut) - F.greatest(F.col("__upto") - F.col("__n"), cut), F.lit(0))
+    return joined.groupBy(*keys).agg(F.try_divide(F.sum(F.col(value) * kept), F.sum(kept)).alias("trimmean"))
 
 
 def linear_fit(df: DataFrame, keys: list[str], y: str, xs: list[str], intercept: bool = True, logs: bool = False) -> DataFrame:

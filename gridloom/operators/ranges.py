@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridloom.functions.arrays import sum_before
+from gridloom.functions.order_stats import order_statistics, with_statistics
 
 _S = lambda x: F.coalesce(x.cast("string"), F.lit(""))
 _N = lambda x: x.try_cast("double")
@@ -81,10 +82,11 @@ def ranked_cut(df: DataFrame, name: str, kind: str, n: float) -> Column:
     """The value at which the first (last) n rows or percent of them end, as a scalar subquery."""
     x, top = F.col(name), kind.startswith("top")
     known = df.where(x.isNotNull()).select(x.alias("x"))
+    rows = int(n)
     if kind.endswith("Percent"):
         rows = max(1, int(known.count() * n / 100))
-    else:
-        rows = int(n)
+        if known.schema["x"].dataType.simpleString() in ("double", "float", "int", "smallint", "tinyint"):
+            return order_statistics(known, [], "x", {"cut": ("large" if top else "small", rows)}).select("cut").scalar()
     first = known.orderBy(F.desc("x") if top else F.asc("x")).limit(rows)
     return first.agg(F.min("x") if top else F.max("x")).scalar()
 
@@ -224,10 +226,10 @@ def histogram(df: DataFrame, value: str, bins: int, low: float, high: float) ->
 
 def box(df: DataFrame, keys: list[str], value: str, exclusive: bool = False) -> DataFrame:
     """Box-plot quartiles with the mean and the ends, inclusive or exclusive of the median's ends."""
-    from gridloom.functions.stats import percentile_exc
-
-    q = (lambda p: percentile_exc(F.col(value), p)) if exclusive else (lambda p: F.percentile(value, p))
-    return df.groupBy(*keys).agg(F.min(value).alias("low"), q(0.25).alias("q1"), F.median(value).alias("median"), q(0.75).alias("q3"), F.max(value).alias("high"), F.avg(value).alias("mean"))
+    kind = "quartile_exc" if exclusive else "quartile"
+    ends = [F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"), F.avg(value).alias("mean")]
+    out = with_statistics(df, keys, value, {"q1": (kind, 1), "median": ("median",), "q3": (kind, 3)}, ends)
+    return out.select(*keys, "low", "q1", "median", "q3", "high", "mean")
 
 
 def waterfall(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:

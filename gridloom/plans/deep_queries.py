@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from gridloom.functions import arrays, call
+from gridloom.functions.order_stats import order_statistics
 from gridloom.functions.ordered import Fold, scan
 from gridloom.operators import criteria_tables, lookup, patterns, ranges, selectors
 from gridloom.plans.registry import query
@@ -199,3 +200,36 @@ def database_criteria_from_a_table(spark, d):
     rows = rows.withColumn("o_text", F.when(F.col("o_text").isNotNull(), F.lit(">x4")))
     out = criteria_tables.database_by_table(orders, ["DSUM", "DCOUNT", "DMAX"], "o_totalprice", rows, ["o_orderstatus"])
     return out.select("o_orderstatus", F.round("dsum", 2).alias("dsum"), "dcount", "dmax")
+
+
+#: A place among sorted values, from 0, mixed of two where it has a fraction.
+_AT = "(CASE WHEN {at} BETWEEN 0 AND n - 1 THEN s[CAST(floor({at}) AS BIGINT) + 1] + ({at} - floor({at})) * (s[CAST(ceil({at}) AS BIGINT) + 1] - s[CAST(floor({at}) AS BIGINT) + 1]) END)"
+_WANT = {"median": ("median",), "p37": ("percentile", 0.37), "p37_exc": ("percentile_exc", 0.37), "q1": ("quartile", 1), "q1_exc": ("quartile_exc", 1), "q3_exc": ("quartile_exc", 3), "large7": ("large", 7), "small7": ("small", 7), "far": ("large", 10**9)}
+_PLACE = {"median": "(n - 1) / 2", "p37": "((n - 1) * 0.37::DOUBLE)", "p37_exc": "(0.37::DOUBLE * (n + 1) - 1)", "q1": "((n - 1) * 0.25::DOUBLE)", "q1_exc": "(0.25::DOUBLE * (n + 1) - 1)", "q3_exc": "(0.75::DOUBLE * (n + 1) - 1)", "large7": "(n - 7)", "small7": "6", "far": "(n - 1000000000)"}
+
+
+def _order_sql(keys: str, value: str) -> str:
+    picked = ", ".join(f"round({_AT.format(at=at)}, 4) AS {name}" for name, at in _PLACE.items())
+    return f"SELECT {keys}, n, {picked} FROM (SELECT {keys}, count(v) AS n, list_sort(list(v)) AS s FROM (SELECT {keys}, {value} AS v FROM lineitem) WHERE v IS NOT NULL GROUP BY {keys})"
+
+
+@query(_order_sql("l_returnflag", "l_extendedprice"))
+def order_statistics_of_three_groups(spark, d):
+    """LARGE, SMALL, MEDIAN, PERCENTILE and QUARTILE, inclusive and exclusive, of three groups that hold all lines."""
+    out = order_statistics(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", _WANT)
+    return out.select("l_returnflag", "n", *[F.round(n, 4).alias(n) for n in _WANT])
+
+
+@query(_order_sql("l_suppkey, l_linestatus", "CASE WHEN l_linenumber < 6 THEN l_quantity END"))
+def order_statistics_of_many_groups(spark, d):
+    """The same of thousands of small groups with ties."""
+    t = table(spark, d, "lineitem").withColumn("v", F.when(F.col("l_linenumber") < 6, F.col("l_quantity")))
+    out = order_statistics(t, ["l_suppkey", "l_linestatus"], "v", _WANT)
+    return out.select("l_suppkey", "l_linestatus", "n", *[F.round(n, 4).alias(n) for n in _WANT])
+
+
+@query("""SELECT l_linestatus, min(v) AS low, max(v) AS high, round(avg(v), 6) AS mean, round(any_value(q1), 4) AS q1, round(any_value(median), 4) AS median, round(any_value(q3), 4) AS q3 FROM (SELECT l_linestatus, l_extendedprice AS v FROM lineitem) JOIN
+ (SELECT l_linestatus, """ + ", ".join(f"{_AT.format(at=_PLACE[p])} AS {n}" for n, p in (("q1", "q1_exc"), ("median", "median"), ("q3", "q3_exc"))) + """ FROM (SELECT l_linestatus, count(*) AS n, list_sort(list(l_extendedprice)) AS s FROM lineitem GROUP BY l_linestatus)) USING (l_linestatus) GROUP BY l_linestatus""")
+def range_box_exclusive(spark, d):
+    out = ranges.box(table(spark, d, "lineitem"), ["l_linestatus"], "l_extendedprice", exclusive=True)
+    return out.select("l_linestatus", "low", "high", *[F.round(n, 4).alias(n) for n in ("q1", "median", "q3")], F.round("mean", 6).alias("mean"))

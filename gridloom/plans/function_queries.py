@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import call
 from gridloom.functions.dates import serial
+from gridloom.functions.order_stats import with_statistics
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
 
@@ -53,9 +54,11 @@ def math_integers(spark, d):
   round(count(*) / sum(1 / l_quantity), 6) AS harmean, round(var_pop(l_quantity) * count(*), 2) AS devsq FROM lineitem GROUP BY 1""")
 def stats_descriptive(spark, d):
     q, x = F.col("l_quantity"), F.col("l_extendedprice")
-    a = {"sum": (call("SUM", F.col("l_tax")), 4), "count": (call("COUNT", F.col("l_tax")), 0), "sumsq": (call("SUMSQ", q), 2), "sumproduct": (call("SUMPRODUCT", q, F.col("l_discount")), 4), "median": (call("MEDIAN", x), 4), "stdev": (call("STDEV.S", x), 4), "varp": (call("VAR.P", q), 6), "p90": (call("PERCENTILE", x, 0.9), 4), "skew": (call("SKEW", q), 6), "kurt": (call("KURT", q), 6), "geomean": (call("GEOMEAN", q), 6), "harmean": (call("HARMEAN", q), 6), "devsq": (call("DEVSQ", q), 2)}
-    out = table(spark, d, "lineitem").groupBy("l_returnflag").agg(*[e.alias(n) for n, (e, _) in a.items()])
-    return out.select("l_returnflag", *[F.round(n, k).alias(n) if k else F.col(n) for n, (_, k) in a.items()])
+    a = {"sum": (call("SUM", F.col("l_tax")), 4), "count": (call("COUNT", F.col("l_tax")), 0), "sumsq": (call("SUMSQ", q), 2), "sumproduct": (call("SUMPRODUCT", q, F.col("l_discount")), 4), "stdev": (call("STDEV.S", x), 4), "varp": (call("VAR.P", q), 6), "skew": (call("SKEW", q), 6), "kurt": (call("KURT", q), 6), "geomean": (call("GEOMEAN", q), 6), "harmean": (call("HARMEAN", q), 6), "devsq": (call("DEVSQ", q), 2)}
+    want = {"median": ("median",), "p90": ("percentile", 0.9)}
+    out = with_statistics(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", want, [e.alias(n) for n, (e, _) in a.items()])
+    digits = {n: k for n, (_, k) in a.items()} | {"median": 4, "p90": 4}
+    return out.select("l_returnflag", *[F.round(n, k).alias(n) if k else F.col(n) for n, k in digits.items()])
 
 
 @query("""SELECT l_linestatus, round(corr(l_extendedprice, l_quantity), 8) AS r, round(covar_pop(l_extendedprice, l_quantity), 4) AS cov, round(covar_samp(l_extendedprice, l_quantity), 4) AS covs,

@@ -67,3 +67,50 @@ def test_stretches_are_about_equal_and_cuts_bounded(spark):
     assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange SinglePartition") == 1
     empty = scan(df.limit(0), ["x"], {"n": Fold("count", F.col("id"))})
     assert empty.collect() == []
+
+
+@pytest.mark.parametrize("few", [10**6, 40])
+def test_order_statistics(spark, few):
+    """Against sorted lists; with a low limit over several rounds of finer intervals."""
+    import math
+
+    from gridloom.functions.order_stats import order_statistics, with_statistics
+
+    rng = random.Random(few)
+    rows = [(rng.choice(["hot", "hot", "hot", "x", None]), rng.choice([None, 1e300, -5.0, 7.0, float(rng.randint(0, 9)), rng.gauss(0, 1), rng.random() * 1e-9])) for _ in range(3000)]
+    rows += [("one", 3.5), ("none", None), ("two", 1.0), ("two", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    want = {"m": ("median",), "p": ("percentile", 0.93), "pe": ("percentile_exc", 0.01), "q": ("quartile", 3), "qe": ("quartile_exc", 1), "l": ("large", 2), "s": ("small", 40), "top": ("large", 1)}
+
+    def brute(values):
+        values, n = sorted(values), len(values)
+        places = {"m": (n - 1) / 2, "p": (n - 1) * 0.93, "pe": 0.01 * (n + 1) - 1, "q": (n - 1) * 0.75, "qe": 0.25 * (n + 1) - 1, "l": n - 2, "s": 39, "top": n - 1}
+        out = {}
+        for name, at in places.items():
+            low, high = math.floor(at), math.ceil(at)
+            out[name] = None if at < 0 or at > n - 1 else values[low] if values[low] == values[high] else values[low] * (1 - (at - low)) + values[high] * (at - low)
+        return out
+
+    groups = {}
+    for k, v in rows:
+        groups.setdefault(k, []).append(v)
+    got = {r.k: r for r in order_statistics(df, ["k"], "v", want, few).collect()}
+    assert set(got) == set(groups) - {"none"}
+    for k, r in got.items():
+        own = [v for v in groups[k] if v is not None]
+        assert r.n == len(own)
+        for name, v in brute(own).items():
+            assert (r[name] is None) == (v is None) and (v is None or math.isclose(r[name], v, rel_tol=1e-12, abs_tol=1e-300)), (k, name)
+    whole = order_statistics(df, [], "v", {"m": ("median",)}, few).first()
+    assert math.isclose(whole.m, brute([v for _, v in rows if v is not None])["m"])
+    both = {r.k: (r.rows, r.m) for r in with_statistics(df, ["k"], "v", {"m": ("median",)}, [F.count("*").alias("rows")]).collect()}
+    assert both["none"] == (1, None) and both["two"] == (2, 1.5)
+    assert order_statistics(df.limit(0), ["k"], "v", want).collect() == []
+
+
+def test_a_value_that_nearly_all_rows_have(spark):
+    from gridloom.functions.order_stats import order_statistics
+
+    df = spark.range(20_000).select(F.when(F.col("id") < 19_990, 0.0).otherwise(F.col("id").cast("double")).alias("v"))
+    got = order_statistics(df, [], "v", {"m": ("median",), "low": ("small", 1), "edge": ("small", 19_991), "top": ("large", 1)}, few=5).first()
+    assert (got.m, got.low, got.edge, got.top) == (0.0, 0.0, 19_990.0, 19_999.0)
