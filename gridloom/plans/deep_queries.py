@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import arrays, call
 from gridloom.functions.order_stats import order_statistics
 from gridloom.functions.ordered import Fold, scan
-from gridloom.operators import criteria_tables, lookup, patterns, ranges, selectors
+from gridloom.operators import criteria_tables, lookup, patterns, ranges, references, selectors
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
 from gridloom.sources import workbook
@@ -233,3 +233,26 @@ def order_statistics_of_many_groups(spark, d):
 def range_box_exclusive(spark, d):
     out = ranges.box(table(spark, d, "lineitem"), ["l_linestatus"], "l_extendedprice", exclusive=True)
     return out.select("l_linestatus", "low", "high", *[F.round(n, 4).alias(n) for n in ("q1", "median", "q3")], F.round("mean", 6).alias("mean"))
+
+
+@query("""WITH o AS (SELECT o_orderkey + 1 AS r, o_orderkey % 7 AS m FROM orders)
+SELECT CASE m WHEN 1 THEN 'formula_cache_stale' WHEN 2 THEN 'formula_ref_missing_sheet' WHEN 3 THEN 'formula_not_evaluated' WHEN 4 THEN 'formula_eval_error' END AS subtype,
+  CASE WHEN m IN (1, 3) THEN 'warning' ELSE 'error' END AS severity, 'L!R' || r || 'C2' AS path FROM o WHERE m BETWEEN 1 AND 4
+UNION ALL SELECT CASE n_nationkey % 3 WHEN 1 THEN 'definedname_broken' ELSE 'definedname_target_missing' END, 'error', n_name FROM nation WHERE n_nationkey % 3 > 0""")
+def issues_by_references(spark, d):
+    """Formulas beside all order values: right and wrong cached running sums, missing sheets, errors and empty caches; names of nations."""
+    o = table(spark, d, "orders").select((F.col("o_orderkey") + 1).alias("row"), (F.col("o_orderkey") % 7).alias("m"), F.col("o_totalprice").alias("v"))
+    o = scan(o, ["row"], {"upto": Fold("sum", F.col("v"))})
+    m, row, none = F.col("m"), F.col("row").cast("string"), F.lit(None).cast("string")
+    value = o.select(F.lit(1).cast("bigint").alias("col"), "row", F.lit("number").alias("kind"), F.col("v").alias("num"), F.col("v").cast("string").alias("text"), none.alias("formula"))
+    upto = F.concat(F.lit("SUM(A1:$A$"), row, F.lit(")"))
+    formula = F.when(m <= 1, upto).when(m == 2, F.lit("'no sheet'!A1+A1")).when(m == 3, F.concat(F.lit("A"), row, F.lit("&\"Gone!A1\""))).when(m == 4, F.lit("1/0")).otherwise(F.concat(F.lit("l!A"), row))
+    kind = F.when(m == 3, "blank").when(m == 4, "error").otherwise("number")
+    num = F.when(m == 0, F.col("upto")).when(m == 1, F.col("upto") * 2).when(m == 2, 0.0).when(m >= 5, F.col("v"))
+    made = o.where("m < 6").select(F.lit(2).cast("bigint").alias("col"), "row", kind.alias("kind"), num.alias("num"), F.when(m == 4, "#DIV/0!").otherwise(num.cast("string")).alias("text"), formula.alias("formula"))
+    cells = value.unionByName(made).select(F.lit("f").alias("file"), F.lit("L").alias("sheet"), "row", "col", "kind", "num", "text", "formula")
+    nation = table(spark, d, "nation")
+    refers = F.when(F.col("n_nationkey") % 3 == 0, "L!$A$1").when(F.col("n_nationkey") % 3 == 1, "L!#REF!").otherwise("Gone!$A$1:$B$2")
+    names = nation.select(F.lit("f").alias("file"), F.col("n_name").alias("name"), refers.alias("refers"))
+    sheets = table(spark, d, "region").limit(1).select(F.lit("f").alias("file"), F.lit("L").alias("sheet"))
+    return references.workbook_issues(cells, sheets, names).select("subtype", "severity", "path")

@@ -292,6 +292,22 @@ def read_workbooks(spark: SparkSession, path: str, merged: bool = False) -> Data
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, CELLS)
 
 
+def read_parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Sheets (file, sheet) and defined names (file, name, refers) of all workbooks at a path or pattern."""
+    kinds = "kind string, file string, name string, refers string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file, content in zip(b.column("path"), b.column("content")):
+                book = Workbook(io.BytesIO(content.as_buffer()))
+                rows = [("sheet", file.as_py(), s, None) for s in book.sheets] + [("name", file.as_py(), n, r) for n, r in book.names]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["kind", "file", "name", "refers"])
+
+    parts = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, kinds)
+    return parts.where("kind = 'sheet'").select("file", F.col("name").alias("sheet")), parts.where("kind = 'name'").select("file", "name", "refers")
+
+
 def sheet_table(cells: DataFrame, sheet: str, columns: list[str], header_row: int = 1) -> DataFrame:
     """A sheet's cells as a wide table with the given column names, one row for each row below the header."""
     rows = cells.where((F.col("sheet") == sheet) & (F.col("row") > header_row))
