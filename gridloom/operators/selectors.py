@@ -8,7 +8,6 @@ whose key is missing.
 
 from __future__ import annotations
 
-import difflib
 import re
 from collections.abc import Callable
 from functools import reduce
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridloom.functions.ordered import Fold, scan
+from gridloom.operators.spelling import closest
 from gridloom.staging import staged
 
 
@@ -123,8 +123,8 @@ def condition(text: str, resolve: Callable[[str], Column]) -> Column:
 
 
 def suggest(name: str, names: list[str]) -> str:
-    near = difflib.get_close_matches(name.lower(), [n.lower() for n in names], 1)
-    return f"; did you mean {next(n for n in names if n.lower() == near[0])!r}?" if near else ""
+    near = closest(name, names, max(2, len(name) // 3))
+    return f"; did you mean {near!r}?" if near else ""
 
 
 def column_of(df: DataFrame, name: str) -> Column:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from gridloom.functions import arrays, call
 from gridloom.functions.order_stats import order_statistics
 from gridloom.functions.ordered import Fold, scan
-from gridloom.operators import criteria_tables, lookup, patterns, ranges, references, selectors
+from gridloom.operators import criteria_tables, lookup, patterns, ranges, references, selectors, spelling
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
-from gridloom.sources import workbook
+from gridloom.sources import charset, workbook
 from gridloom.staging import scratch
 
 
@@ -256,3 +256,48 @@ def issues_by_references(spark, d):
     names = nation.select(F.lit("f").alias("file"), F.col("n_name").alias("name"), refers.alias("refers"))
     sheets = table(spark, d, "region").limit(1).select(F.lit("f").alias("file"), F.lit("L").alias("sheet"))
     return references.workbook_issues(cells, sheets, names).select("subtype", "severity", "path")
+
+
+_LATIN = "regexp_replace(html, '[^\\x01-\\x7E\\x{00A0}-\\x{00FF}]', '?', 'g')"
+
+
+@query(f"""SELECT page_id, sha256(CASE page_id % 6 WHEN 5 THEN '“' || {_LATIN} || '€”' ELSE {_LATIN} END) AS text FROM pages""")
+def import_charsets(spark, d):
+    """Pages written in six encodings, by marks, declared charsets and content types, and decoded again."""
+    m, text = F.col("page_id") % 6, F.regexp_replace("html", r"[^\x01-\x7E\u00A0-\u00FF]", "?")
+    marked = lambda mark, codec: F.concat(F.unhex(F.lit(mark)), F.encode(text, codec))
+    windows = F.concat(F.unhex(F.lit("93")), F.encode(text, "ISO-8859-1"), F.unhex(F.lit("8094")))
+    data = F.when(m == 0, F.encode(text, "UTF-8")).when(m == 1, marked("EFBBBF", "UTF-8")).when(m == 2, marked("FFFE", "UTF-16LE")).when(m == 3, marked("FEFF", "UTF-16BE")).when(m == 4, F.encode(text, "ISO-8859-1")).otherwise(windows)
+    declared = F.when(m == 0, "utf8").when(m == 4, "text/html; charset=Latin1").when(m == 5, "\"windows-1252\"").otherwise("no-such-charset")
+    return table(spark, d, "pages").select("page_id", F.sha2(charset.decoded(data, declared), 256).alias("text"))
+
+
+@query("""SELECT o_orderkey, CAST(k AS BIGINT) AS row, CASE k WHEN 0 THEN o_orderpriority || '|' || o_orderstatus || '; ' ELSE '"' || o_custkey || ' |x y' END AS cells FROM (SELECT *, unnest([0, 1]) AS k FROM orders)""")
+def import_grids(spark, d):
+    """Grids written in a text, with quotes, blanks and empty rows."""
+    o = table(spark, d, "orders")
+    text = F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(' , "'), F.col("o_orderstatus"), F.lit(';" ; ,;"""'), F.col("o_custkey").cast("string"), F.lit('" ,x y ;'))
+    rows = charset.grid_rows(o.select("o_orderkey", text.alias("t")), "t", ["o_orderkey"])
+    return rows.select("o_orderkey", "row", F.array_join("cells", "|").alias("cells"))
+
+
+@query("""SELECT '{"success":true,"data":{"key":' || n_nationkey || ',"name":"' || n_name || '"}' || CASE WHEN n_regionkey = 1 THEN ',"warnings":["one"]' ELSE '' END || '}' AS value FROM nation""")
+def export_json_lines(spark, d):
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"), "n_regionkey")
+    rows = n.withColumn("w", F.when(F.col("n_regionkey") == 1, F.array(F.lit("one"))).otherwise(F.array().cast("array<string>")))
+    return charset.json_lines(rows, F.col("w")).select(F.regexp_replace("value", r',"n_regionkey":\d+,"w":\[[^\]]*\]', "").alias("value"))
+
+
+_TYPO = "CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN substr(p_name, 2, 1) || substr(p_name, 1, 1) || substr(p_name, 3) WHEN 2 THEN substr(p_name, 1, 2) || substr(p_name, 4) ELSE upper(p_name) || 'qq' END"
+
+
+@query(f"""WITH t AS (SELECT p_partkey AS k, lower({_TYPO}) AS w FROM part), n AS (SELECT DISTINCT lower(p_name) AS n FROM part),
+m AS (SELECT k, n, damerau_levenshtein(w, n) AS d, row_number() OVER (PARTITION BY k ORDER BY damerau_levenshtein(w, n), n) AS r FROM t JOIN n ON abs(length(w) - length(n)) <= 2 AND damerau_levenshtein(w, n) <= 2)
+SELECT t.k, n AS meant, d AS distance FROM t LEFT JOIN m ON t.k = m.k AND r = 1""")
+def lookup_did_you_mean(spark, d):
+    """The nearest part name, by edits and transpositions, of a misspelt one from every part."""
+    n, m = F.col("p_name"), F.col("p_partkey") % 4
+    typo = F.when(m == 0, n).when(m == 1, F.concat(F.substring(n, 2, 1), F.substring(n, 1, 1), F.substring(n, 3, 999))).when(m == 2, F.concat(F.substring(n, 1, 2), F.substring(n, 4, 999))).otherwise(F.concat(F.upper(n), F.lit("qq")))
+    part = table(spark, d, "part")
+    words = part.select(F.col("p_partkey").alias("k"), typo.alias("w"))
+    return spelling.nearest_words(words, "w", part, "p_name", most=2, name="meant").select("k", "meant", "distance")

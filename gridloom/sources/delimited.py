@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.operators.profile import kind_of
 
 #: Forms of dates that import accepts, fixed values.
-DATE_FORMS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyy-MM-dd HH:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss")
+DATE_FORMS = ("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd HH:mm:ss")
 
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str | None = None, header: bool = True, encoding: str = "UTF-8") -> DataFrame:

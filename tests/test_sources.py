@@ -142,3 +142,41 @@ def test_nodes_know_their_interval(spark, tmp_path):
         inside = {x.path for x in rows if x.part == r.part and r.pre < x.pre <= r.post}
         assert inside == {x.path for x in rows if x.part == r.part and x.path.startswith(r.path + "/")}
         assert r.depth == r.path.count("/") - 1
+
+
+def test_charsets(spark, tmp_path):
+    from gridloom.sources.charset import decode, decoded, read_text_tables
+
+    table = 'name,word\n"Zoë, é",“x”\nÑ,”\n'
+    plain = table.replace("“", "'").replace("”", "'")
+    files = {"utf8": plain.encode(), "mark": b"\xef\xbb\xbf" + plain.encode(), "le": b"\xff\xfe" + plain.encode("utf-16-le"), "be": b"\xfe\xff" + plain.encode("utf-16-be")}
+    for name, data in files.items():
+        (tmp_path / f"{name}.csv").write_bytes(data)
+    got = read_text_tables(spark, str(tmp_path / "*.csv"))
+    assert got.columns == ["file", "name", "word"] and got.count() == 8
+    assert {(r.name, r.word) for r in got.collect()} == {("Zoë, é", "'x'"), ("Ñ", "'")}
+    for name, data in (("latin", plain.encode("latin-1")), ("windows", table.encode("cp1252"))):
+        where = tmp_path / name
+        where.mkdir()
+        (where / "t.csv").write_bytes(data)
+        want = {("Zoë, é", "“x”"), ("Ñ", "”")} if name == "windows" else {("Zoë, é", "'x'"), ("Ñ", "'")}
+        assert {(r.name, r.word) for r in read_text_tables(spark, str(where), declared={"latin": "ISO-8859-1", "windows": "ansi"}[name]).collect()} == want
+    assert decode(b"<meta charset='windows-1252'>\x80\x81") == "<meta charset='windows-1252'>€\x81" and decode(b"\xe9", "ascii") == "?"
+    assert decode(b"\xff\xfe\x41\x00\x42") == "A�" and decode(b"\xe9") == "�" and decode(b"", "nonsense") == "" and decode(None) is None
+    df = spark.createDataFrame([(bytearray(b"\x93"), "text/html; charset=cp1252"), (bytearray(b"\x93"), "latin1"), (bytearray("é".encode()), "text/html"), (None, None)], "b binary, t string")
+    assert [r[0] for r in df.select(decoded(F.col("b"), F.col("t"))).collect()] == ["“", "\x93", "é", None]
+
+
+def test_grids_in_text_and_json_lines(spark):
+    from gridloom.sources.charset import grid_rows, json_lines
+
+    texts = ["a, b ;1,2", ' "x;y" , "say ""hi""" ;;, ;,z', "﻿one", "", None, '"open, end', "a;", '"q"t,"  kept "']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = {}
+    for r in grid_rows(df, "t", ["id"]).orderBy("id", "row").collect():
+        got.setdefault(r.id, []).append(r.cells)
+    assert got == {0: [["a", "b"], ["1", "2"]], 1: [["x;y ", 'say "hi" '], ["", "z"]], 2: [["one"]], 5: [["open, end"]], 6: [["a"]], 7: [["qt", "  kept "]]}
+    lines = grid_rows(spark.createDataFrame([(1, 'a\tb\r\n"c\nd"\te\r\n')], "id int, t string"), "t", ["id"], "\t", "\n")
+    assert [r.cells for r in lines.orderBy("row").collect()] == [["a", "b"], ["c\nd", "e"]]
+    out = json_lines(spark.createDataFrame([(1, "x", ["w"]), (2, None, [])], "i int, s string, w array<string>").select("i", "s", "w"), F.col("w"))
+    assert [r.value for r in out.collect()] == ['{"success":true,"data":{"i":1,"s":"x","w":["w"]},"warnings":["w"]}', '{"success":true,"data":{"i":2,"w":[]}}']
