@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,42 +83,6 @@ def cell_issues(df: DataFrame, key: str) -> DataFrame:
     return issues(df, key, rules)
 
 
-def detect_tables(cells: DataFrame) -> DataFrame:
-    """Tables among cells (sheet, row, col, text): (sheet, first_row, first_col, columns, rows, header).
-
-    A table starts at text with at least two texts side by side above a filled row, and ends at a blank row.
-    Sheets are bounded, so each is scanned by one task.
-    """
-
-    def scan(sheet: pd.DataFrame) -> pd.DataFrame:
-        grid = {(r, c): t for r, c, t in zip(sheet.row, sheet.col, sheet.text) if t not in (None, "")}
-        is_text = lambda t: isinstance(t, str) and not _numeric(t)
-        seen, out = set(), []
-        for r, c in sorted(grid):
-            if (r, c) in seen or not is_text(grid[(r, c)]) or (r, c - 1) in grid:
-                continue
-            width = 1
-            while is_text(grid.get((r, c + width))):
-                width += 1
-            height = 0
-            while any((r + height + 1, c + i) in grid for i in range(width)):
-                height += 1
-            if width >= 2 and height >= 1:
-                out.append((sheet.sheet.iloc[0], r, c, width, height, [grid[(r, c + i)] for i in range(width)]))
-                seen |= {(r + i, c + j) for i in range(height + 1) for j in range(width)}
-        return pd.DataFrame(out, columns=["sheet", "first_row", "first_col", "columns", "rows", "header"])
-
-    return cells.groupBy("sheet").applyInPandas(scan, "sheet string, first_row bigint, first_col bigint, columns bigint, rows bigint, header array<string>")
-
-
-def _numeric(text: str) -> bool:
-    try:
-        float(text)
-    except ValueError:
-        return False
-    return True
-
-
 def merge_template(df: DataFrame, template: str, fields: dict[str, Column], name: str = "merged") -> DataFrame:
     """``{{key}}`` replaced by each row's values; ``replaced`` counts, ``unresolved`` lists keys without one."""
     import re

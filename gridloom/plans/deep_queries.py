@@ -5,11 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridloom.functions import arrays, call
 from gridloom.functions.order_stats import order_statistics
 from gridloom.functions.ordered import Fold, scan
-from gridloom.operators import criteria_tables, lookup, patterns, ranges, references, selectors, spelling
+from gridloom.operators import criteria_tables, lookup, patterns, ranges, references, selectors, spelling, table_finder
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
 from gridloom.sources import charset, workbook
@@ -301,3 +302,20 @@ def lookup_did_you_mean(spark, d):
     part = table(spark, d, "part")
     words = part.select(F.col("p_partkey").alias("k"), typo.alias("w"))
     return spelling.nearest_words(words, "w", part, "p_name", most=2, name="meant").select("k", "meant", "distance")
+
+
+@query("""WITH o AS (SELECT o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS r FROM orders), n AS (SELECT o_custkey, max(r) AS n FROM o GROUP BY 1)
+SELECT o_custkey AS sheet, CAST(2 AS BIGINT) AS first_row, CAST(2 AS BIGINT) AS first_col, CAST(3 AS BIGINT) AS columns, least(n, 5) AS rows, 'order,price,2024' AS header FROM n
+UNION ALL SELECT o_custkey, 9, 3, 2, n - 5, 'price,2024' FROM n WHERE n > 5""")
+def detect_tables_in_sheets(spark, d):
+    """A sheet for each customer with its orders: one table of up to five rows, and below a blank row another one without the first column."""
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).cast("bigint")
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("sheet"), "o_orderkey", "o_totalprice", place.alias("r"))
+    lower = F.col("r") > 5
+    at = F.when(lower, F.col("r") + 4).otherwise(F.col("r") + 2)
+    cell = lambda row, col, text: F.struct(row.cast("bigint").alias("row"), F.lit(col).cast("bigint").alias("col"), text.cast("string").alias("text"))
+    body = o.select("sheet", F.explode(F.array(cell(at, 2, F.when(~lower, F.col("o_orderkey"))), cell(at, 3, F.when(F.col("r") % 3 != 0, F.col("o_totalprice"))), cell(at, 4, F.when((F.col("r") % 3 == 0) | lower, F.lit("x"))))).alias("c"))
+    head = lambda row, names: F.array(*[cell(F.lit(row), 2 + i, F.lit(n)) for i, n in enumerate(names)])
+    heads = o.where("r IN (1, 6)").select("sheet", F.explode(F.when(lower, head(9, [None, "price", "2024"])).otherwise(head(2, ["order", "price", "2024"]))).alias("c"))
+    found = table_finder.detect_tables(body.unionByName(heads).select("sheet", "c.*"))
+    return found.withColumn("header", F.array_join("header", ","))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import call
-from gridloom.operators import lookup, profile, ranges, selectors
+from gridloom.operators import lookup, profile, ranges, selectors, table_finder
 from gridloom.operators.pivot import Pivot, Value, ordered
 from gridloom.sources import delimited, markup, workbook
 from gridloom.streaming.windows import deduplicated, windowed
@@ -167,7 +167,7 @@ def test_workbooks(spark, tmp_path):
     assert got[(2, 2)] == ("number", 1.5) and got[(3, 1)] == ("string", "<&>") and got[(2, 3)] == ("boolean", "TRUE")
     wide = workbook.sheet_table(cells, "Sheet1", ["name", "n", "ok"]).orderBy("row").collect()
     assert [(r.name, r.n) for r in wide] == [("x", "1.5"), ("<&>", None)]
-    tables = profile.detect_tables(cells.select("sheet", "row", "col", "text")).collect()
+    tables = table_finder.detect_tables(cells.select("sheet", "row", "col", "text")).collect()
     assert [(t.first_row, t.columns, t.rows, t.header) for t in tables] == [(1, 3, 2, ["name", "n", "ok"])]
 
 
