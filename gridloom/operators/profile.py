@@ -119,29 +119,3 @@ def flatten_json(df: DataFrame, column: str, schema: str) -> DataFrame:
     parts = leaves(F.col("__j"), _parse_datatype_string(schema), "")
     whole = reduce(lambda a, b: F.concat(a, F.coalesce(b, F.array().cast("array<struct<key:string,value:string>>"))), parts[1:], parts[0])
     return parsed.select(*df.columns, F.explode(F.filter(whole, lambda e: e["value"].isNotNull())).alias("e")).select(*df.columns, "e.*")
-
-
-def apply_steps(df: DataFrame, steps: list[dict]) -> DataFrame:
-    """Replay a batch: set, add, remove, rename, move and filter steps, each a new plan; an unknown step changes nothing."""
-    known = {"set", "add", "remove", "rename", "filter", "drop", "sort"}
-    wrong = [s for s in steps if s.get("op") not in known]
-    if wrong:
-        raise ValueError(f"unknown step {wrong[0]!r}")
-    for s in steps:
-        op = s["op"]
-        if op in ("set", "add"):
-            value = F.expr(s["value"])
-            keep = F.expr(s["where"]) if s.get("where") else F.lit(True)
-            df = df.withColumn(s["column"], F.when(F.coalesce(keep, F.lit(False)), value).otherwise(F.col(s["column"]) if s["column"] in df.columns else F.lit(None)))
-        elif op == "remove":
-            df = df.where(~F.coalesce(F.expr(s["where"]), F.lit(False)))
-        elif op == "drop":
-            df = df.drop(s["column"])
-        elif op == "rename":
-            df = df.withColumnRenamed(s["column"], s["to"])
-        elif op == "filter":
-            df = df.where(s["where"])
-        else:
-            df = df.orderBy(*[F.expr(k) for k in s["by"]])
-    return df
-

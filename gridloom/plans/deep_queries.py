@@ -10,10 +10,10 @@ from pyspark.sql.window import Window
 from gridloom.functions import arrays, call
 from gridloom.functions.order_stats import order_statistics
 from gridloom.functions.ordered import Fold, scan
-from gridloom.operators import criteria_tables, lookup, patterns, ranges, references, selectors, spelling, table_finder
+from gridloom.operators import batches, criteria_tables, lookup, patterns, profile, ranges, references, selectors, spelling, table_finder
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
-from gridloom.sources import charset, workbook
+from gridloom.sources import charset, markup, workbook
 from gridloom.staging import scratch
 
 
@@ -319,3 +319,39 @@ def detect_tables_in_sheets(spark, d):
     heads = o.where("r IN (1, 6)").select("sheet", F.explode(F.when(lower, head(9, [None, "price", "2024"])).otherwise(head(2, ["order", "price", "2024"]))).alias("c"))
     found = table_finder.detect_tables(body.unionByName(heads).select("sheet", "c.*"))
     return found.withColumn("header", F.array_join("header", ","))
+
+
+@query("""WITH s AS (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'gone' WHEN 1 THEN 'set' WHEN 2 THEN 'new' WHEN 3 THEN 'back' ELSE 'kept' END AS how, * FROM customer)
+SELECT c_custkey, CASE how WHEN 'new' THEN 'n' || c_name WHEN 'back' THEN NULL ELSE c_name END AS c_name, CASE how WHEN 'set' THEN c_acctbal + 1 WHEN 'back' THEN 5.0 ELSE c_acctbal END AS c_acctbal FROM s WHERE how <> 'gone'
+UNION ALL SELECT -1 - c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 5 = 4""")
+def batch_dump_and_replay(spark, d):
+    """Customers dumped to steps; edits of four kinds appended; the log replayed over the table."""
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    keys, m, none = ["c_custkey"], F.col("c_custkey") % 5, F.lit(None)
+    step = lambda where, seq, op, key, name, balance: c.where(where).select(F.lit(seq).alias("seq"), F.to_json(F.struct(F.lit(op).alias("op"), F.struct(key.alias("c_custkey")).alias("key"), F.struct(name.cast("string").alias("c_name"), balance.cast("double").alias("c_acctbal")).alias("values"))).alias("step"))
+    k, name, balance = F.col("c_custkey"), F.col("c_name"), F.col("c_acctbal")
+    log = batches.dump_rows(c.where(m == 4).withColumn("c_custkey", -1 - k), keys).select(F.lit(1).alias("seq"), "step")
+    edits = [
+        step(m == 0, 1, "set", k, F.lit("x"), none), step(m == 0, 2, "remove", k, none, none), step(m == 0, 3, "set", k, F.lit("y"), none), step(m == 1, 1, "set", k, none, balance), step(m == 1, 2, "set", k, none, balance + 1),
+        step(m == 2, 1, "set", k, none, F.lit(0)), step(m == 2, 2, "add", k, F.concat(F.lit("n"), name), balance), step(m == 3, 1, "remove", k, none, none), step(m == 3, 2, "add", k, none, F.lit(4)), step(m == 3, 3, "set", k, none, F.lit(5)),
+    ]
+    log = reduce(lambda a, b: a.unionByName(b), edits, log)
+    steps = batches.parsed_steps(log, "c_custkey bigint, c_name string, c_acctbal double", keys, "seq")
+    return batches.replay(c, steps, keys, "seq")
+
+
+@query("""SELECT 'orders' AS name, count(*) AS rows, 3 AS columns, count(*) FILTER (WHERE o_orderkey % 4 = 0) AS formulas FROM orders""")
+def profile_outline(spark, d):
+    o = table(spark, d, "orders")
+    cell = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("=A"), F.col("o_orderkey"))).otherwise(F.col("o_comment") if "o_comment" in o.columns else F.lit("text"))
+    return profile.outline(o.select("o_orderkey", "o_orderstatus", cell.alias("cell")), "orders")
+
+
+@query("""SELECT conv_id, turn, 'node' AS part, 'A' AS source, role AS target, NULL AS label FROM conversations UNION ALL SELECT conv_id, turn, 'node', 'B', 'T' || turn, NULL FROM conversations
+UNION ALL SELECT conv_id, turn, 'edge', 'A', 'B', 'says' FROM conversations""")
+def diagram_of_turns(spark, d):
+    """Nodes and edges of a small diagram around every turn."""
+    t = table(spark, d, "conversations")
+    text = F.concat(F.lit("graph TD\nA["), F.col("role"), F.lit("] -->|says| B(T"), F.col("turn"), F.lit(")\n"))
+    parts = markup.diagram_parts(t.select("conv_id", "turn", text.alias("g")), "g", ["conv_id", "turn"])
+    return parts.withColumn("label", F.when(F.col("part") == "edge", F.col("label")))

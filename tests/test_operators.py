@@ -2,13 +2,14 @@
 
 import datetime as dt
 import itertools
+import random
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import call
-from gridloom.operators import lookup, profile, ranges, selectors, table_finder
+from gridloom.operators import batches, lookup, profile, ranges, selectors, table_finder
 from gridloom.operators.pivot import Pivot, Value, ordered
 from gridloom.sources import delimited, markup, workbook
 from gridloom.streaming.windows import deduplicated, windowed
@@ -144,10 +145,10 @@ def test_profiles_and_templates(spark):
     assert found == {("number_as_text:x", 1), ("padded:y", 1), ("error_value:x", 2), ("missing:y", 2)}
     j = spark.createDataFrame([('{"a": {"b": 1}, "c": [5, 6]}',)], "j string")
     assert {(r.key, r.value) for r in profile.flatten_json(j, "j", "a struct<b:int>, c array<int>").collect()} == {("a.b", "1"), ("c[0]", "5"), ("c[1]", "6")}
-    done = profile.apply_steps(df, [{"op": "set", "column": "y", "value": "'z'", "where": "id = 1"}, {"op": "remove", "where": "id > 2"}, {"op": "rename", "column": "y", "to": "w"}])
+    done = batches.apply_steps(df, [{"op": "set", "column": "y", "value": "'z'", "where": "id = 1"}, {"op": "remove", "where": "id > 2"}, {"op": "rename", "column": "y", "to": "w"}])
     assert [(r.id, r.w) for r in done.orderBy("id").collect()] == [(1, "z"), (2, None)]
     with pytest.raises(ValueError):
-        profile.apply_steps(df, [{"op": "explode"}])
+        batches.apply_steps(df, [{"op": "explode"}])
 
 
 def test_delimited_text(spark, tmp_path):
@@ -240,3 +241,33 @@ def test_selectors_over_several_files(spark):
         selectors.select_nodes(df, "a//b")
     with pytest.raises(ValueError, match="cycle"):
         selectors.label_nodes(spark.createDataFrame([("f", "/a", "/", 1), ("f", "/b", "/c", 1), ("f", "/c", "/b", 1)], "file string, path string, parent_path string, ord int"))
+
+
+def test_steps_move_swap_and_copy(spark):
+    df = spark.createDataFrame([(1, "a", 2.0)], "i int, s string, x double")
+    steps = [{"op": "copy", "column": "i", "to": "j"}, {"op": "move", "column": "j", "before": "s"}, {"op": "swap", "columns": ["i", "x"]}, {"op": "move", "column": "s", "to": 0}]
+    out = batches.apply_steps(df, steps)
+    assert out.columns == ["s", "i", "j", "x"] and tuple(out.first()) == ("a", 2.0, 1, 1)
+    for wrong in ([{"op": "move", "column": "nope", "to": 0}], [{"op": "drop", "column": "s"}, {"op": "swap", "columns": ["s", "i"]}], [{"op": "fly"}], [{"op": "move", "column": "s", "before": "q"}]):
+        with pytest.raises(ValueError):
+            batches.apply_steps(df, wrong)
+
+
+def test_replay_by_plain_python(spark):
+    rng = random.Random(5)
+    base = {k: (f"b{k}", None if k % 3 == 0 else k) for k in range(10)}
+    log = [(i, rng.choice(["add", "set", "set", "remove"]), rng.randrange(14), rng.choice([None, f"s{i}"]), rng.choice([None, i])) for i in range(60)]
+    state = dict(base)
+    for _, op, k, s, x in log:
+        if op == "add":
+            state[k] = (s, x)
+        elif op == "remove":
+            state.pop(k, None)
+        elif k in state:
+            state[k] = tuple(old if new is None else new for old, new in zip(state[k], (s, x)))
+    df = spark.createDataFrame([(k, *v) for k, v in base.items()], "k int, s string, x int")
+    steps = spark.createDataFrame(log, "seq int, op string, k int, s string, x int")
+    assert {r.k: (r.s, r.x) for r in batches.replay(df, steps, ["k"], "seq").collect()} == state
+    dumped = batches.dump_rows(df, ["k"]).withColumn("seq", F.lit(1))
+    parsed = batches.parsed_steps(dumped.unionByName(spark.createDataFrame([("junk", 1), ('{"op":"fly"}', 1)], "step string, seq int")), "k int, s string, x int", ["k"], "seq")
+    assert {r.k: (r.s, r.x) for r in batches.replay(df.limit(0), parsed, ["k"], "seq").collect()} == base
