@@ -1,13 +1,14 @@
 """Probability distributions as Arrow functions, and tests that combine aggregates with a tail probability.
 
-Spark has no special functions, so a batch of rows goes to Python as Arrow columns. Wrong arguments give NULL.
+Spark has no special functions, so a batch of rows goes to Python as Arrow columns, and is computed as whole
+arrays. Wrong arguments give NULL.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,7 +20,10 @@ from gridloom.functions.base import c, fn, num, ok
 
 
 def arrow(f: Callable[..., float | None]) -> Callable[..., Column]:
-    """``f`` on floats as a function of Columns; NULL in gives NULL out, and so do domain errors."""
+    """``f`` on single floats as a function of Columns, row by row: for schedules and solvers that have no array form.
+
+    NULL in gives NULL out, and so do domain errors.
+    """
 
     def each(*values):
         try:
@@ -33,32 +37,41 @@ def arrow(f: Callable[..., float | None]) -> Callable[..., Column]:
     def batch(*columns: pd.Series) -> pd.Series:
         return pd.Series([each(*row) for row in zip(*columns)], dtype="float64")
 
-    udf = pandas_udf(batch, DoubleType())
+    return _columns(pandas_udf(batch, DoubleType()))
+
+
+def vector(f: Callable[..., np.ndarray]) -> Callable[..., Column]:
+    """``f`` on arrays of floats as a function of Columns; NaN and infinities give NULL."""
+
+    def batch(*columns: pd.Series) -> pd.Series:
+        with np.errstate(all="ignore"):
+            values = [np.asarray(x, float) for x in columns]
+            out = np.array(f(*values), float)
+            out[~np.isfinite(out) | np.isnan(sum(values))] = np.nan
+        return pd.Series(out).astype("float64")
+
+    return _columns(pandas_udf(batch, DoubleType()))
+
+
+def _columns(udf) -> Callable[..., Column]:
     return lambda *args: udf(*[c(int(a)).cast("double") if isinstance(a, bool) else num(a) for a in args])
 
 
-def _either(pdf, cdf):
-    """A function with a last ``cumulative`` argument."""
-    return lambda *a: cdf(*a[:-1]) if a[-1] else pdf(*a[:-1])
+def _sound(test: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return np.where(test, value, np.nan)
 
 
-def _need(test: bool) -> None:
-    if not test:
-        raise ValueError
+def _either(pdf, cdf):
+    """A function with a last ``cumulative`` argument."""
+    return lambda *a: np.where(a[-1] != 0, cdf(*a[:-1]), pdf(*a[:-1]))
 
 
 def _norm(x, m, s, cumulative):
-    _need(s > 0)
     z = (x - m) / s
-    return math.erfc(-z / math.sqrt(2)) / 2 if cumulative else math.exp(-z * z / 2) / (s * math.sqrt(2 * math.pi))
-
+    return _sound(s > 0, np.where(cumulative != 0, S.erfc(-z / np.sqrt(2)) / 2, np.exp(-z * z / 2) / (s * np.sqrt(2 * np.pi))))
 
-def _norm_inv(p, m, s):
-    _need(0 < p < 1 and s > 0)
-    return m + s * S.NORMAL.inv_cdf(p)
 
-
-_n_dist, _n_inv = arrow(_norm), arrow(_norm_inv)
+_n_dist, _n_inv = vector(_norm), vector(lambda p, m, s: _sound(s > 0, m + s * S.normal_inverse(p)))
 fn("NORM.DIST", "NORMDIST")(lambda x, m, s, cumulative=True: _n_dist(x, m, s, cumulative))
 fn("NORM.S.DIST")(lambda z, cumulative=True: _n_dist(z, 0.0, 1.0, cumulative))
 fn("NORMSDIST")(lambda z: _n_dist(z, 0.0, 1.0, True))
@@ -67,48 +80,46 @@ fn("NORM.S.INV", "NORMSINV")(lambda p: _n_inv(p, 0.0, 1.0))
 fn("GAUSS")(lambda z: _n_dist(z, 0.0, 1.0, True) - 0.5)
 fn("PHI")(lambda x: F.exp(-num(x) * num(x) / 2) / F.sqrt(2 * F.pi()))
 fn("CONFIDENCE", "CONFIDENCE.NORM")(lambda alpha, s, n: -_n_inv(num(alpha) / 2, 0.0, 1.0) * num(s) / F.sqrt(num(n)))
-_erf, _erfc = arrow(math.erf), arrow(math.erfc)
+_erf, _erfc = vector(S.erf), vector(S.erfc)
 fn("ERF")(lambda lo, hi=None: _erf(lo) if hi is None else _erf(hi) - _erf(lo))
 fn("ERF.PRECISE")(_erf)
 fn("ERFC", "ERFC.PRECISE")(_erfc)
-fn("GAMMALN", "GAMMALN.PRECISE")(arrow(lambda x: math.lgamma(x) if x > 0 else None))
-fn("GAMMA")(arrow(math.gamma))
+fn("GAMMALN", "GAMMALN.PRECISE")(vector(S.lgamma))
+fn("GAMMA")(vector(S.gamma))
 
 
 def _gamma_pdf(x, a, b):
-    _need(x >= 0 and a > 0 and b > 0)
-    return math.exp((a - 1) * math.log(x) - x / b - a * math.log(b) - math.lgamma(a)) if x > 0 else (1 / b if a == 1 else 0.0)
+    inner = np.exp((a - 1) * np.log(x) - x / b - a * np.log(b) - S.lgamma(a))
+    return _sound((x >= 0) & (a > 0) & (b > 0), np.where(x > 0, inner, np.where(a == 1, 1 / b, 0.0)))
 
 
 def _gamma_cdf(x, a, b):
-    _need(x >= 0 and a > 0 and b > 0)
-    return S.gamma_p(a, x / b)
+    return _sound((x >= 0) & (a > 0) & (b > 0), S.gamma_p(a, x / b))
 
 
 def _gamma_inv(p, a, b):
-    _need(0 <= p < 1 and a > 0 and b > 0)
-    return S.invert(lambda x: S.gamma_p(a, x / b), p, 0.0, math.inf)
+    good = (p >= 0) & (p < 1) & (a > 0) & (b > 0)
+    return _sound(good, S.invert(lambda x: S.gamma_p(a, x / b), np.where(good, p, np.nan), 0.0, np.inf))
 
 
-fn("GAMMA.DIST", "GAMMADIST")(arrow(_either(_gamma_pdf, _gamma_cdf)))
-fn("GAMMA.INV", "GAMMAINV")(arrow(_gamma_inv))
-_chi = arrow(_either(lambda x, k: _gamma_pdf(x, k / 2, 2), lambda x, k: _gamma_cdf(x, k / 2, 2)))
-_chi_right = arrow(lambda x, k: 1 - _gamma_cdf(x, k / 2, 2))
+fn("GAMMA.DIST", "GAMMADIST")(vector(_either(_gamma_pdf, _gamma_cdf)))
+fn("GAMMA.INV", "GAMMAINV")(vector(_gamma_inv))
+_two = lambda k: np.full(k.shape, 2.0)
+_chi = vector(_either(lambda x, k: _gamma_pdf(x, k / 2, _two(k)), lambda x, k: _gamma_cdf(x, k / 2, _two(k))))
+_chi_right = vector(lambda x, k: 1 - _gamma_cdf(x, k / 2, _two(k)))
 fn("CHISQ.DIST")(_chi)
 fn("CHISQ.DIST.RT", "CHIDIST")(_chi_right)
-fn("CHISQ.INV")(arrow(lambda p, k: _gamma_inv(p, k / 2, 2)))
-fn("CHISQ.INV.RT", "CHIINV")(arrow(lambda p, k: _gamma_inv(1 - p, k / 2, 2)))
+fn("CHISQ.INV")(vector(lambda p, k: _gamma_inv(p, k / 2, _two(k))))
+fn("CHISQ.INV.RT", "CHIINV")(vector(lambda p, k: _gamma_inv(1 - p, k / 2, _two(k))))
 
 
 def _poisson(k, m, cumulative):
-    _need(k >= 0 and m >= 0)
-    k = math.floor(k)
-    if cumulative:
-        return 1 - S.gamma_p(k + 1, m)
-    return math.exp(k * math.log(m) - m - math.lgamma(k + 1)) if m > 0 else float(k == 0)
+    k, some = np.floor(k), m > 0
+    exact = np.where(some, np.exp(k * np.log(m) - m - S.lgamma(k + 1)), (k == 0).astype(float))
+    return _sound((k >= 0) & (m >= 0), np.where(cumulative != 0, 1 - S.gamma_p(k + 1, m), exact))
 
 
-fn("POISSON.DIST", "POISSON")(arrow(_poisson))
+fn("POISSON.DIST", "POISSON")(vector(_poisson))
 
 
 @fn("EXPON.DIST", "EXPONDIST")
@@ -125,111 +136,114 @@ def weibull(x, a, b, cumulative=True) -> Column:
 
 
 def _beta(x, a, b, cumulative, lo, hi):
-    _need(a > 0 and b > 0 and lo <= x <= hi and lo < hi)
     u = (x - lo) / (hi - lo)
-    if cumulative:
-        return S.beta_i(a, b, u)
-    return math.exp((a - 1) * math.log(u) + (b - 1) * math.log1p(-u) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)) / (hi - lo)
+    density = np.exp((a - 1) * np.log(u) + (b - 1) * np.log1p(-u) + S.lgamma(a + b) - S.lgamma(a) - S.lgamma(b)) / (hi - lo)
+    return _sound((a > 0) & (b > 0) & (lo <= x) & (x <= hi) & (lo < hi), np.where(cumulative != 0, S.beta_i(a, b, u), density))
 
 
 def _beta_inv(p, a, b, lo, hi):
-    _need(0 < p < 1 and a > 0 and b > 0)
-    return lo + (hi - lo) * S.invert(lambda x: S.beta_i(a, b, x), p, 0.0, 1.0)
+    good = (p > 0) & (p < 1) & (a > 0) & (b > 0)
+    return _sound(good, lo + (hi - lo) * S.invert(lambda x: S.beta_i(a, b, x), np.where(good, p, np.nan), 0.0, 1.0))
 
 
-_beta_dist, _beta_q = arrow(_beta), arrow(_beta_inv)
+_beta_dist, _beta_q = vector(_beta), vector(_beta_inv)
 fn("BETA.DIST")(lambda x, a, b, cumulative=True, lo=0.0, hi=1.0: _beta_dist(x, a, b, cumulative, lo, hi))
 fn("BETADIST")(lambda x, a, b, lo=0.0, hi=1.0: _beta_dist(x, a, b, True, lo, hi))
 fn("BETA.INV", "BETAINV")(lambda p, a, b, lo=0.0, hi=1.0: _beta_q(p, a, b, lo, hi))
 
 
 def _t_pdf(x, k):
-    _need(k >= 1)
-    return math.exp(math.lgamma((k + 1) / 2) - math.lgamma(k / 2)) / math.sqrt(k * math.pi) * (1 + x * x / k) ** (-(k + 1) / 2)
+    return _sound(k >= 1, np.exp(S.lgamma((k + 1) / 2) - S.lgamma(k / 2)) / np.sqrt(k * np.pi) * (1 + x * x / k) ** (-(k + 1) / 2))
+
+
+def _t_cdf(x, k):
+    return _sound(k >= 1, S.student_cdf(x, k))
 
 
 def _t_inv(p, k):
-    _need(0 < p < 1 and k >= 1)
-    return S.invert(lambda x: S.student_cdf(x, k), p, -math.inf, math.inf)
+    good = (p > 0) & (p < 1) & (k >= 1)
+    return _sound(good, S.invert(lambda x: S.student_cdf(x, k), np.where(good, p, np.nan), -np.inf, np.inf))
 
 
-_t_two = arrow(lambda x, k: 2 * (1 - S.student_cdf(abs(x), k)) if k >= 1 else None)
-fn("T.DIST")(arrow(_either(_t_pdf, lambda x, k: S.student_cdf(x, k) if k >= 1 else None)))
+_t_two = vector(lambda x, k: 2 * (1 - _t_cdf(np.abs(x), k)))
+fn("T.DIST")(vector(_either(_t_pdf, _t_cdf)))
 fn("T.DIST.2T")(_t_two)
-fn("T.DIST.RT")(arrow(lambda x, k: 1 - S.student_cdf(x, k) if k >= 1 else None))
+fn("T.DIST.RT")(vector(lambda x, k: 1 - _t_cdf(x, k)))
 fn("TDIST")(lambda x, k, tails: ok(num(x) >= 0, _t_two(x, k) * num(tails) / 2))
-fn("T.INV")(arrow(_t_inv))
-fn("T.INV.2T", "TINV")(arrow(lambda p, k: _t_inv(1 - p / 2, k)))
+fn("T.INV")(vector(_t_inv))
+fn("T.INV.2T", "TINV")(vector(lambda p, k: _t_inv(1 - p / 2, k)))
 
 
 def _f_pdf(x, a, b):
-    _need(x >= 0)
-    lead = math.lgamma((a + b) / 2) - math.lgamma(a / 2) - math.lgamma(b / 2) + a / 2 * math.log(a / b)
-    return math.exp(lead + (a / 2 - 1) * math.log(x) - (a + b) / 2 * math.log1p(a * x / b))
+    lead = S.lgamma((a + b) / 2) - S.lgamma(a / 2) - S.lgamma(b / 2) + a / 2 * np.log(a / b)
+    return _sound(x >= 0, np.exp(lead + (a / 2 - 1) * np.log(x) - (a + b) / 2 * np.log1p(a * x / b)))
+
+
+def _f_inv(p, a, b):
+    good = (p >= 0) & (p <= 1) & (a > 0) & (b > 0)
+    return _sound(good, S.invert(lambda x: S.f_cdf(x, a, b), np.where(good, p, np.nan), 0.0, np.inf))
 
 
-_f_right = arrow(lambda x, a, b: 1 - S.f_cdf(x, a, b))
-fn("F.DIST")(arrow(_either(_f_pdf, S.f_cdf)))
+_f_right = vector(lambda x, a, b: 1 - S.f_cdf(x, a, b))
+fn("F.DIST")(vector(_either(_f_pdf, S.f_cdf)))
 fn("F.DIST.RT", "FDIST")(_f_right)
-fn("F.INV")(arrow(lambda p, a, b: S.invert(lambda x: S.f_cdf(x, a, b), p, 0.0, math.inf)))
-fn("F.INV.RT", "FINV")(arrow(lambda p, a, b: S.invert(lambda x: S.f_cdf(x, a, b), 1 - p, 0.0, math.inf)))
+fn("F.INV")(vector(_f_inv))
+fn("F.INV.RT", "FINV")(vector(lambda p, a, b: _f_inv(1 - p, a, b)))
 
 
 def _binom(k, n, p, cumulative):
-    k, n = math.floor(k), math.floor(n)
-    _need(0 <= k <= n and 0 <= p <= 1)
-    if not cumulative:
-        return S.binomial_pmf(k, n, p)
-    return 1.0 if k == n else S.beta_i(n - k, k + 1, 1 - p)
+    k, n = np.floor(k), np.floor(n)
+    upto = np.where(k == n, 1.0, S.beta_i(n - k, k + 1, 1 - p))
+    return _sound((0 <= k) & (k <= n) & (0 <= p) & (p <= 1), np.where(cumulative != 0, upto, S.binomial_pmf(k, n, p)))
 
 
 def _binom_inv(n, p, alpha):
-    _need(0 <= p <= 1 and 0 < alpha < 1)
-    total = 0.0
-    for k in range(int(n) + 1):
-        total += S.binomial_pmf(k, int(n), p)
-        if total >= alpha - 1e-15:
-            return float(k)
-    return float(n)
+    """The least k whose cumulative probability reaches alpha, halving all rows' ranges at once."""
+    n = np.floor(n)
+    good = (0 <= p) & (p <= 1) & (0 < alpha) & (alpha < 1) & (n >= 0)
+    low, high = np.full(n.shape, -1.0), np.where(good, n, 0.0)
+    while np.any(high - low > 1):
+        k = np.floor((low + high) / 2)
+        enough = np.where(k >= n, 1.0, S.beta_i(n - k, k + 1, 1 - p)) >= alpha - 1e-15
+        open_ = high - low > 1
+        low, high = np.where(open_ & ~enough, k, low), np.where(open_ & enough, k, high)
+    return _sound(good, high)
 
 
-fn("BINOM.DIST", "BINOMDIST")(arrow(_binom))
-fn("BINOM.INV", "CRITBINOM")(arrow(_binom_inv))
+fn("BINOM.DIST", "BINOMDIST")(vector(_binom))
+fn("BINOM.INV", "CRITBINOM")(vector(_binom_inv))
 
 
 def _negbinom(f, s, p, cumulative):
-    f, s = math.floor(f), math.floor(s)
-    _need(f >= 0 and s >= 1 and 0 < p <= 1)
-    if cumulative:
-        return S.beta_i(s, f + 1, p)
-    return math.exp(S.log_choose(f + s - 1, s - 1) + s * math.log(p) + (f * math.log1p(-p) if f else 0.0))
+    f, s = np.floor(f), np.floor(s)
+    exact = np.exp(S.log_choose(f + s - 1, s - 1) + s * np.log(p) + np.where(f > 0, f * np.log1p(-p), 0.0))
+    return _sound((f >= 0) & (s >= 1) & (0 < p) & (p <= 1), np.where(cumulative != 0, S.beta_i(s, f + 1, p), exact))
 
 
-_nb = arrow(_negbinom)
+_nb = vector(_negbinom)
 fn("NEGBINOM.DIST")(lambda f, s, p, cumulative=False: _nb(f, s, p, cumulative))
 fn("NEGBINOMDIST")(lambda f, s, p: _nb(f, s, p, False))
 
 
-def _lognorm(x, m, s, cumulative):
-    _need(x > 0)
-    return _norm(math.log(x), m, s, cumulative) / (1 if cumulative else x)
-
-
-_ln = arrow(_lognorm)
+_ln = vector(lambda x, m, s, cumulative: _sound(x > 0, _norm(np.log(x), m, s, cumulative) / np.where(cumulative != 0, 1, x)))
 fn("LOGNORM.DIST")(lambda x, m, s, cumulative=True: _ln(x, m, s, cumulative))
 fn("LOGNORMDIST")(lambda x, m, s: _ln(x, m, s, True))
 fn("LOGNORM.INV", "LOGINV")(lambda p, m, s: F.exp(_n_inv(p, m, s)))
 
 
 def _hypergeom(k, n, good, total, cumulative):
-    k, n, good, total = (math.floor(v) for v in (k, n, good, total))
-    _need(0 <= k <= min(n, good) and n <= total)
+    k, n, good, total = (np.floor(v) for v in (k, n, good, total))
+    sound = (0 <= k) & (k <= np.minimum(n, good)) & (n <= total)
     whole = S.log_choose(total, n)
-    one = lambda i: math.exp(S.log_choose(good, i) + S.log_choose(total - good, n - i) - whole) if n - i <= total - good else 0.0
-    return sum(one(i) for i in range(k + 1)) if cumulative else one(k)
+    one = lambda i: np.where((n - i <= total - good) & (i <= k), np.nan_to_num(np.exp(S.log_choose(good, i) + S.log_choose(total - good, n - i) - whole)), 0.0)
+    upto = np.zeros(k.shape)
+    most = np.where(sound & (cumulative != 0), k, -1.0)
+    for i in range(int(np.nanmax(most, initial=-1)) + 1):
+        upto = upto + one(np.full(k.shape, float(i)))
+    return _sound(sound, np.where(cumulative != 0, upto, one(k)))
 
 
-_hg = arrow(_hypergeom)
+_hg = vector(_hypergeom)
 fn("HYPGEOM.DIST")(lambda k, n, good, total, cumulative=False: _hg(k, n, good, total, cumulative))
 fn("HYPGEOMDIST")(lambda k, n, good, total: _hg(k, n, good, total, False))
 
