@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import calendar
-import datetime as dt
-import math
-
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions import special
 from gridloom.functions.base import c, count_up, fn, fold, num, ok
 from gridloom.functions.dates import year_frac
-from gridloom.functions.distributions import arrow
-from gridloom.functions.special import solve
+from gridloom.functions.distributions import vector
 
 
 def _growth(rate, nper) -> Column:
@@ -108,35 +105,34 @@ def _ddb_total(cost, salvage, life, upto, factor) -> Column:
 fn("DDB")(lambda cost, salvage, life, per, factor=2: _ddb_total(cost, salvage, life, per, factor) - _ddb_total(cost, salvage, life, num(per) - 1, factor))
 
 
-def _vdb(cost, salvage, life, start, end, factor, stay):
+@fn("VDB")
+def vdb(cost, salvage, life, start, end, factor=2, no_switch=False) -> Column:
     """Period by period, switching to straight line where that writes off more, with parts of periods."""
-    left, total, period = cost, 0.0, 0
-    while period < end:
-        falling = min(left * min(factor / life, 1), left - salvage)
-        level = (left - salvage) / (life - period) if life > period else left - salvage
-        amount = max(falling if stay or falling >= level else level, 0.0)
-        share = max(0.0, min(end, period + 1) - max(start, period))
-        total += amount * share
-        left -= amount
-        period += 1
-    return total
+    cost, salvage, life, start, end = map(num, (cost, salvage, life, start, end))
 
+    def period(state: Column, k: Column) -> Column:
+        left = state["left"]
+        rest = left - salvage
+        falling = F.least(left * F.least(num(factor) / life, F.lit(1.0)), rest)
+        level = F.when(life > k, rest / (life - k)).otherwise(rest)
+        amount = F.greatest(falling if no_switch else F.greatest(falling, level), F.lit(0.0))
+        share = F.greatest(F.least(end, k + 1.0) - F.greatest(start, k.cast("double")), F.lit(0.0))
+        return F.struct((left - amount).alias("left"), (state["total"] + amount * share).alias("total"))
 
-_vdb_udf = arrow(_vdb)
-fn("VDB")(lambda cost, salvage, life, start, end, factor=2, no_switch=False: _vdb_udf(cost, salvage, life, start, end, factor, no_switch))
+    return fold(count_up(0, F.ceil(end) - 1), F.struct(cost.alias("left"), F.lit(0.0).alias("total")), period)["total"]
 
 
 def _rate(n, payment, pv, fv, kind, guess):
     def f(r):
-        if abs(r) < 1e-12:
-            return pv + payment * n + fv
-        g = (1 + r) ** n
-        return pv * g + payment * (1 + r * kind) * (g - 1) / r + fv
+        some = np.abs(r) >= 1e-12
+        s = np.where(some, r, 1.0)
+        g = (1 + s) ** n
+        return np.where(some, pv * g + payment * (1 + s * kind) * (g - 1) / s + fv, pv + payment * n + fv)
 
-    return solve(f, guess, -0.999999, 1e6)
+    return special.solve(f, guess, -0.999999, 1e6)
 
 
-_rate_udf = arrow(_rate)
+_rate_udf = vector(_rate)
 fn("RATE")(lambda n, payment, pv, fv=0, kind=0, guess=0.1: _rate_udf(n, payment, pv, fv, kind, guess))
 
 # Cash flows in rows: the order is a column, so that they are aggregated, not gathered.
@@ -153,12 +149,11 @@ def mirr(value, order, finance_rate, reinvest_rate, n) -> Column:
     return F.pow(F.try_divide(gain, -cost), 1 / (num(n) - 1)) - 1
 
 
-def _worth(flows: list[tuple[float, float]], rate: float) -> float:
-    """Present value of (time, amount) flows; beyond doubles, next to -100 %, the last flow gives the sign."""
-    try:
-        return sum(v / (1 + rate) ** at for at, v in flows)
-    except (ZeroDivisionError, OverflowError):
-        return math.copysign(1e300, max(flows)[1])
+def _worth(at: np.ndarray, amount: np.ndarray, rate: np.ndarray) -> np.ndarray:
+    """Present values of flows at rates; beyond doubles, next to -100 %, the last flow gives the sign."""
+    with np.errstate(all="ignore"):
+        out = (amount / (1 + rate)[:, None] ** at).sum(1)
+    return np.where(np.isfinite(out), out, np.copysign(1e300, amount[at.argmax()]))
 
 
 def irr(df: DataFrame, keys: list[str], value: str, at: str, guess: float = 0.1, name: str = "irr") -> DataFrame:
@@ -172,9 +167,9 @@ def irr(df: DataFrame, keys: list[str], value: str, at: str, guess: float = 0.1,
         for b in batches:
             out = []
             for flows in b["flows"]:
-                t = [(x["t"], x["v"]) for x in flows]
-                low, high = min(v for _, v in t), max(v for _, v in t)
-                out.append(solve(lambda r: _worth(t, r), guess, -0.999999, 1e6) if low < 0 < high else None)
+                t, v = (np.array([x[k] for x in flows], float) for k in "tv")
+                mixed = len(v) and v.min() < 0 < v.max()
+                out.append(float(special.solve(lambda r: _worth(t, v, r), np.array([guess]), -0.999999, 1e6)[0]) if mixed else None)
             b = b.drop(columns=["flows"])
             b[name] = out
             yield b
@@ -220,76 +215,79 @@ def tbill_eq(s, m, discount) -> Column:
     return ok(d.between(1, 366), F.when(d <= 182, 365 * r / (360 - r * d)).otherwise(long))
 
 
-# Coupon schedules.
-_DAY0 = dt.date(1899, 12, 30).toordinal()
+# Coupon schedules, on whole arrays. Days are whole numbers from 1970 on.
+_EPOCH = 25569
 
 
-def _as_date(x: float) -> dt.date:
-    return dt.date.fromordinal(_DAY0 + int(x))
+def _month_of(days: np.ndarray) -> np.ndarray:
+    return days.astype("M8[D]").astype("M8[M]").astype(np.int64)
 
 
-def _as_serial(d: dt.date) -> float:
-    return float(d.toordinal() - _DAY0)
+def _first_of(months: np.ndarray) -> np.ndarray:
+    return months.astype("M8[M]").astype("M8[D]").astype(np.int64)
 
 
-def _month_back(d: dt.date, months: int) -> dt.date:
-    """``months`` before ``d``; a month's last day stays a last day."""
-    y, m = divmod(d.year * 12 + d.month - 1 - months, 12)
-    last = calendar.monthrange(y, m + 1)[1]
-    keep = d.day == calendar.monthrange(d.year, d.month)[1]
-    return dt.date(y, m + 1, last if keep else min(d.day, last))
+def _split(days: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Month (from 1970 on), day of the month, and whether it is the last one of a February."""
+    m = _month_of(days)
+    return m, days - _first_of(m) + 1, (m % 12 == 1) & (days + 1 == _first_of(m + 1))
 
 
-def _schedule(settle: float, maturity: float, freq: float) -> tuple[dt.date, dt.date, int]:
-    """(previous coupon, next coupon, coupons left)."""
-    s, m, step = _as_date(settle), _as_date(maturity), 12 // int(freq)
-    if s >= m or freq not in (1, 2, 4):
-        raise ValueError
-    n = 1
-    while _month_back(m, step * n) > s:
-        n += 1
-    return _month_back(m, step * n), _month_back(m, step * (n - 1)), n
+class Coupons:
+    """The coupon before and after settlement and the number left; a month's last day stays a last day."""
 
+    def __init__(self, settle, maturity, freq, basis):
+        self.settle, self.maturity = (np.floor(np.nan_to_num(x)).astype(np.int64) - _EPOCH for x in (settle, maturity))
+        self.sound = (self.settle < self.maturity) & np.isin(freq, (1, 2, 4))
+        self.freq, self.basis = np.where(self.sound, freq, 1.0), basis
+        self.step = (12 // self.freq).astype(np.int64)
+        months = _month_of(self.maturity) - _month_of(self.settle)
+        least = np.maximum(-(-months // self.step), 1)
+        self.left = np.where(self._back(least) > self.settle, least + 1, least)
+        self.before, self.after = self._back(self.left), self._back(self.left - 1)
 
-def _thirty(a: dt.date, b: dt.date, basis: int) -> int:
-    last = lambda d: d.month == 2 and d.day == calendar.monthrange(d.year, 2)[1]
-    d1, d2 = a.day, b.day
-    if basis == 4:
-        d1, d2 = min(d1, 30), min(d2, 30)
-    else:
-        d2 = 30 if last(a) and last(b) else d2
-        d1 = 30 if last(a) else d1
-        d2 = 30 if d2 == 31 and d1 >= 30 else d2
-        d1 = min(d1, 30)
-    return (b.year - a.year) * 360 + (b.month - a.month) * 30 + d2 - d1
+    def _back(self, coupons: np.ndarray) -> np.ndarray:
+        own = _month_of(self.maturity)
+        m = own - coupons * self.step
+        size = lambda k: _first_of(k + 1) - _first_of(k)
+        at = self.maturity - _first_of(own) + 1
+        return _first_of(m) + np.where(at == size(own), size(m), np.minimum(at, size(m))) - 1
 
+    def days(self) -> np.ndarray:
+        """Of the period that settlement falls in."""
+        return np.where(self.basis == 1, self.after - self.before, np.where(self.basis == 3, 365, 360) / self.freq)
 
-def _between(a: dt.date, b: dt.date, basis: int) -> int:
-    return _thirty(a, b, basis) if basis in (0, 4) else (b - a).days
+    def gone(self) -> np.ndarray:
+        """Days from the coupon before to settlement."""
+        (m1, d1, feb1), (m2, d2, feb2) = _split(self.before), _split(self.settle)
+        us2 = np.where(feb1 & feb2, 30, d2)
+        us1 = np.where(feb1, 30, d1)
+        us2 = np.where((us2 == 31) & (us1 >= 30), 30, us2)
+        european = np.minimum(d2, 30) - np.minimum(d1, 30)
+        by_month = (m2 - m1) * 30 + np.where(self.basis == 4, european, us2 - np.minimum(us1, 30))
+        return np.where(np.isin(self.basis, (0, 4)), by_month, self.settle - self.before).astype(float)
 
+    def share(self) -> np.ndarray:
+        return self.gone() / self.days()
 
-def _period(before: dt.date, after: dt.date, freq: float, basis: int) -> float:
-    return (after - before).days if basis == 1 else (365 if basis == 3 else 360) / freq
+    def price(self, rate, yld, redemption) -> np.ndarray:
+        """Discounted coupons and redemption without the accrued interest; coupons by the sum of their geometric series."""
+        n, gone, coupon, r = self.left, self.share(), 100 * rate / self.freq, yld / self.freq
+        some = np.abs(r) > 1e-12
+        s = np.where(some, r, 1.0)
+        series = np.where(some, -np.expm1(-n * np.log1p(s)) * (1 + s) / s, n)
+        many = coupon * (1 + r) ** (gone - 1) * series + redemption * (1 + r) ** (gone - n)
+        return np.where(n == 1, (coupon + redemption) / (1 + (1 - gone) * r), many) - coupon * gone
 
 
 def _coup(what: str):
     def f(settle, maturity, freq, basis):
-        before, after, n = _schedule(settle, maturity, freq)
-        s, basis = _as_date(settle), int(basis)
-        if what == "ncd":
-            return _as_serial(after)
-        if what == "pcd":
-            return _as_serial(before)
-        if what == "num":
-            return float(n)
-        whole, gone = _period(before, after, freq, basis), _between(before, s, basis)
-        if what == "days":
-            return float(whole)
-        if what == "daybs":
-            return float(gone)
-        return float(whole - gone) if basis in (0, 4) else float((after - s).days)
-
-    udf = arrow(f)
+        k = Coupons(settle, maturity, freq, basis)
+        ahead = lambda: np.where(np.isin(basis, (0, 4)), k.days() - k.gone(), k.after - k.settle)
+        values = {"ncd": lambda: k.after + _EPOCH, "pcd": lambda: k.before + _EPOCH, "num": lambda: k.left, "days": k.days, "daybs": k.gone, "daysnc": ahead}
+        return np.where(k.sound, values[what](), np.nan)
+
+    udf = vector(f)
     return lambda settle, maturity, freq, basis=0: udf(settle, maturity, freq, basis)
 
 
@@ -297,33 +295,30 @@ for _name, _what in {"COUPDAYS": "days", "COUPDAYBS": "daybs", "COUPDAYSNC": "da
     fn(_name)(_coup(_what))
 
 
-def _flows(settle, maturity, rate, redemption, freq, basis) -> tuple[list[tuple[float, float]], float]:
-    """([(periods from settlement, amount)], accrued interest)."""
-    before, after, n = _schedule(settle, maturity, freq)
-    whole = _period(before, after, freq, int(basis))
-    gone = _between(before, _as_date(settle), int(basis)) / whole
-    coupon = 100 * rate / freq
-    return [(k + 1 - gone, coupon + redemption * (k == n - 1)) for k in range(n)], coupon * gone
-
-
 def _price(settle, maturity, rate, yld, redemption, freq, basis):
-    flows, accrued = _flows(settle, maturity, rate, redemption, freq, basis)
-    if len(flows) == 1:
-        return flows[0][1] / (1 + flows[0][0] * yld / freq) - accrued
-    return sum(a / (1 + yld / freq) ** t for t, a in flows) - accrued
+    k = Coupons(settle, maturity, freq, basis)
+    return np.where(k.sound, k.price(rate, yld, redemption), np.nan)
 
 
 def _yield(settle, maturity, rate, price, redemption, freq, basis):
-    return solve(lambda y: _price(settle, maturity, rate, y, redemption, freq, basis) - price, max(rate, 0.01), -0.9, 100.0)
+    k = Coupons(settle, maturity, freq, basis)
+    guess = np.where(k.sound & np.isfinite(price + rate + redemption), np.maximum(rate, 0.01), np.nan)
+    return special.solve(lambda y: k.price(rate, y, redemption) - price, guess, -0.9, 100.0)
 
 
 def _duration(settle, maturity, coupon, yld, freq, basis):
-    flows, _ = _flows(settle, maturity, coupon, 100.0, freq, basis)
-    worth = [(t, a / (1 + yld / freq) ** t) for t, a in flows]
-    return sum(t * w for t, w in worth) / sum(w for _, w in worth) / freq
-
-
-_price_udf, _yield_udf, _duration_udf = arrow(_price), arrow(_yield), arrow(_duration)
+    """The mean time of the discounted flows."""
+    k = Coupons(settle, maturity, freq, basis)
+    gone, r, amount = k.share(), yld / k.freq, 100 * coupon / k.freq
+    worth, timed = np.zeros(r.shape), np.zeros(r.shape)
+    for i in range(int(np.where(k.sound, k.left, 0).max(initial=0))):
+        t = i + 1 - gone
+        own = np.where(i < k.left, (amount + np.where(i == k.left - 1, 100.0, 0.0)) / (1 + r) ** t, 0.0)
+        worth, timed = worth + own, timed + t * own
+    return np.where(k.sound, timed / worth / k.freq, np.nan)
+
+
+_price_udf, _yield_udf, _duration_udf = vector(_price), vector(_yield), vector(_duration)
 fn("PRICE")(lambda s, m, rate, yld, redemption, freq, basis=0: _price_udf(s, m, rate, yld, redemption, freq, basis))
 fn("YIELD")(lambda s, m, rate, price, redemption, freq, basis=0: _yield_udf(s, m, rate, price, redemption, freq, basis))
 fn("DURATION")(lambda s, m, coupon, yld, freq, basis=0: _duration_udf(s, m, coupon, yld, freq, basis))

@@ -141,26 +141,30 @@ def binomial_pmf(k: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.where((k < 0) | (k > n), 0.0, np.where((p == 0) | (p == 1), (k == n * p).astype(float), inner))
 
 
-def solve(f: Callable[[float], float], guess: float, low: float, high: float) -> float | None:
-    """A root of ``f``: secant steps from the guess, then bisection of a bracket found by widening."""
-    a, b = guess, guess + 1e-4
+def solve(f: Callable[[np.ndarray], np.ndarray], guess: np.ndarray, low: float, high: float) -> np.ndarray:
+    """A root of each element of ``f``: secant steps from the guess; where they fail, bisection of the first
+    bracket found by widening; NaN where there is none."""
+    a, b = guess + 0.0, guess + 1e-4
+    out, going = np.full(b.shape, np.nan), np.isfinite(guess)
     for _ in range(60):
         fa, fb = f(a), f(b)
-        if abs(fb) < 1e-12 or fa == fb:
+        going = going & ~((np.abs(fb) < 1e-12) | (fa == fb))
+        if not going.any():
             break
-        a, b = b, b - fb * (b - a) / (fb - fa)
-        if not math.isfinite(b) or b <= low or b >= high:
-            break
-    if low < b < high and math.isfinite(b) and abs(f(b)) < 1e-9:
-        return b
-    points = [low + (guess - low) * t for t in (1e-9, 0.01, 0.1, 0.5, 0.9)] + [guess] + [guess + 2.0**k / 100 for k in range(0, 40) if guess + 2.0**k / 100 < high]
-    for a, b in zip(points, points[1:]):
-        if f(a) * f(b) <= 0:
-            for _ in range(200):
-                middle = (a + b) / 2
-                if f(a) * f(middle) <= 0:
-                    b = middle
-                else:
-                    a = middle
-            return (a + b) / 2
-    return None
+        step = b - fb * (b - a) / (fb - fa)
+        a, b = np.where(going, b, a), np.where(going, step, b)
+        going = going & np.isfinite(step) & (step > low) & (step < high)
+    good = np.isfinite(b) & (b > low) & (b < high) & (np.abs(f(b)) < 1e-9)
+    out[good] = b[good]
+    if good.all():
+        return out
+    points = [low + (guess - low) * t for t in (1e-9, 0.01, 0.1, 0.5, 0.9, 1.0)] + [np.minimum(guess + 2.0**k / 100, high) for k in range(40)]
+    a, b, held = np.full(b.shape, np.nan), np.full(b.shape, np.nan), good | ~np.isfinite(guess)
+    for left, right in zip(points, points[1:]):
+        here = ~held & (f(left) * f(right) <= 0)
+        a, b, held = np.where(here, left, a), np.where(here, right, b), held | here
+    for _ in range(200):
+        middle = (a + b) / 2
+        first = f(a) * f(middle) <= 0
+        a, b = np.where(first, a, middle), np.where(first, middle, b)
+    return np.where(good, out, (a + b) / 2)

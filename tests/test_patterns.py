@@ -3,7 +3,6 @@
 import random
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import wildcard_regex

@@ -1,12 +1,9 @@
 """Issues of workbooks by their references."""
 
-import io
 import random
 import re
-import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from gridloom.operators import references
 from gridloom.sources import workbook

@@ -9,7 +9,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.sources import documents, ooxml, workbook
+from gridloom.sources import documents, workbook
 from gridloom.sources.ooxml import Workbook, escaped, format_kind, from_serial, to_serial, unescaped, write_package
 
 
