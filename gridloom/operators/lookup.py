@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridloom.functions.base import CATALOGUE
+from gridloom.functions.order_stats import null_safe_join
 from gridloom.functions.ordered import Fold, scan
 from gridloom.functions.text import wildcard_regex
 
@@ -53,20 +54,24 @@ def as_of(left: DataFrame, on: str, right: DataFrame, key: str, take: list[str],
         falls = "" if direction == "backward" else "-"
         both = scan(both, [f"{falls}{c}" for c in ("__at", "__side", "__tie")], {"__pick": Fold("last", F.col("__right"))}, by)
     else:
-        w = Window.partitionBy(*by).orderBy("__at", "__side", "__tie")
-        if direction == "backward":
-            pick = F.last("__right", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        else:
-            pick = F.first("__right", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-        both = both.withColumn("__pick", pick)
+        turn = F.asc if direction == "backward" else F.desc  # a frame that ends with the group would be read anew for every row
+        w = Window.partitionBy(*by).orderBy(*map(turn, ("__at", "__side", "__tie")))
+        both = both.withColumn("__pick", F.last("__right", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     out = both.where(F.col("__left").isNotNull())
     seen = F.col("__at").isNotNull()
     return out.select("__left.*", *[F.when(seen, F.col(f"__pick.{c}")).alias(c) for c in take])
 
 
 def nearest(left: DataFrame, on: str, right: DataFrame, key: str, take: list[str], by: list[str] | None = None, larger: bool = False) -> DataFrame:
-    """XLOOKUP -1 (next smaller) or 1 (next larger) on unsorted vectors: an exact match first, else the nearest."""
-    return as_of(left, on, right, key, take, by, "forward" if larger else "backward")
+    """XLOOKUP -1 (next smaller) or 1 (next larger) on unsorted vectors: an exact match first, else the nearest.
+
+    Each distinct value of ``by`` and ``on`` is looked up once and joined back, so that left rows are not sorted.
+    """
+    asked = list(dict.fromkeys([*(by or []), on]))
+    found = as_of(left.select(*asked).distinct(), on, right, key, take, by, "forward" if larger else "backward")
+    found = found.select(*asked, F.struct(*[F.col(c) for c in take]).alias("__near"))
+    out = null_safe_join(left, found, asked, "left")
+    return out.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"__near.{c}").alias(c) for c in take])
 
 
 def wildcard(left: DataFrame, patterns: dict[str, str], on: str, name: str = "matched") -> DataFrame:

@@ -271,3 +271,16 @@ def test_replay_by_plain_python(spark):
     dumped = batches.dump_rows(df, ["k"]).withColumn("seq", F.lit(1))
     parsed = batches.parsed_steps(dumped.unionByName(spark.createDataFrame([("junk", 1), ('{"op":"fly"}', 1)], "step string, seq int")), "k int, s string, x int", ["k"], "seq")
     assert {r.k: (r.s, r.x) for r in batches.replay(df.limit(0), parsed, ["k"], "seq").collect()} == base
+
+
+def test_next_larger_key_reads_no_group_anew_for_each_row(spark):
+    left = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 2.5), ("a", 9.0), ("b", 0.0), (None, 1.0), ("a", None)], "g string, x double").withColumn("id", F.monotonically_increasing_id())
+    right = spark.createDataFrame([("a", 1.0, 0), ("a", 3.0, 1), ("a", 3.0, 2), ("b", 5.0, 3), (None, 4.0, 4)], "g string, k double, ord int")
+    large = lookup.position(left, "x", right, "k", "ord", 1, True, by=["g"])
+    assert sorted(((r.g or "", r.x or 0.0, r.position) for r in large.collect()), key=repr) == sorted([("a", 1.0, 1), ("a", 1.0, 1), ("a", 2.5, 3), ("a", 9.0, None), ("b", 0.0, 4), ("", 1.0, 5), ("a", 0.0, None)], key=repr)
+    small = lookup.position(left, "x", right, "k", "ord", -1, by=["g"], name="small")
+    assert {(r.g, r.x): r.small for r in small.collect()} == {("a", 1.0): 1, ("a", 2.5): 1, ("a", 9.0): 2, ("b", 0.0): None, (None, 1.0): None, ("a", None): None}
+    ahead = lookup.as_of(left, "x", right, "k", ["ord"], ["g"], "forward", "ord")
+    assert {(r.g, r.x): r.ord for r in ahead.collect()} == {("a", 1.0): 0, ("a", 2.5): 1, ("a", 9.0): None, ("b", 0.0): 3, (None, 1.0): 4, ("a", None): None}
+    for df in (large, ahead):
+        assert "unboundedfollowing" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
