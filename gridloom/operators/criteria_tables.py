@@ -1,6 +1,7 @@
 """Criteria blocks that come from a table: rows are alternatives, the filled cells of a row all must hold.
 
-Each criteria row is looked up by one of its cells: an equality, a pattern resolved to the values that fit
+Of criteria rows that differ in nothing but the bound of a comparison, the one that holds for most is kept.
+Each row left is looked up by one of its cells: an equality, a pattern resolved to the values that fit
 it, or a range cut into intervals; rows without such a cell are dealt over all rows by salts. Every kind
 is an equality join that asks for existence, and the other cells are tested within it, so no pairs of rows
 come out and no side has to be broadcast.
@@ -21,6 +22,7 @@ from gridloom.operators.patterns import _indexed, _pairs, pattern_regex
 from gridloom.staging import staged
 
 INTERVALS = 64  # of a column's order, and salts
+_RANGES = (">", "<", ">=", "<=")
 _NUMBER = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"
 _GRAIN = 1e9  # equal numbers lie within 1e-10: they share one of two neighbouring grains
 
@@ -35,7 +37,22 @@ def _cells(criteria: DataFrame, columns: list[str]) -> DataFrame:
         number = F.when(F.rlike(word, F.lit(_NUMBER)), F.trim(word).try_cast("double"))
         wild = (op == "") & number.isNull() & F.rlike(word, F.lit("[*?~]"))
         made |= {f"o{i}": op, f"w{i}": F.lower(word), f"n{i}": number, f"r{i}": F.when(wild, pattern_regex(word)), f"p{i}": F.when(wild, F.lower(word))}
-    return criteria.select(*[x.alias(n) for n, x in made.items()])
+    made |= {f"w{i}": F.when(made[f"n{i}"].isNull(), made[f"w{i}"]) for i in range(len(columns))}
+    return criteria.select(*[x.alias(n) for n, x in made.items()]).distinct()
+
+
+def _weakest(cells: DataFrame, fields: int) -> DataFrame:
+    """Of the rows that are equal but for the bound of one comparison, the one with the weakest: what meets another meets it."""
+    compares = [F.coalesce(F.col(f"o{i}").isin(*_RANGES), F.lit(False)) for i in range(fields)]
+    met = cells.agg(*[F.max(x) for x in compares]).first()
+    for i in range(fields):
+        if met[i]:
+            bounds = {x: F.col(f"{x}{i}") for x in "nw"}
+            fixed = {f"__{x}": F.when(~compares[i], v) for x, v in bounds.items()} | {"__number": bounds["n"].isNotNull()}
+            weakest = {x: F.when(F.first(f"o{i}").isin(">", ">="), F.min(v)).when(F.first(f"o{i}").isin("<", "<="), F.max(v)).otherwise(F.first(f"__{x}")).alias(f"{x}{i}") for x, v in bounds.items()}
+            others = [c for c in cells.columns if c not in (f"n{i}", f"w{i}")]
+            cells = cells.withColumns(fixed).groupBy(*others, *fixed).agg(*weakest.values()).select(*cells.columns)
+    return cells
 
 
 def _holds(i: int, met: list[tuple[str, bool, bool]]) -> Column:
@@ -70,8 +87,8 @@ def where_any(df: DataFrame, criteria: DataFrame) -> DataFrame:
     """Rows of ``df`` that meet any row of ``criteria``, whose columns name ``df``'s, without case.
 
     A row of empty cells holds for all; no rows hold for all, too. A filled cell under a name that ``df`` has
-    not makes its row fail. Columns of criteria are given once each. The criteria are parsed and written to
-    the shared folder when the plan is made; reading the table for its number of distinct values, interval
+    not makes its row fail. Columns of criteria are given once each. The criteria are parsed, thinned out and written
+    to the shared folder when the plan is made; reading the table for its number of distinct values, interval
     ends and patterns takes a job each where they are needed.
     """
     names = {c.lower(): c for c in df.columns}
@@ -83,11 +100,11 @@ def where_any(df: DataFrame, criteria: DataFrame) -> DataFrame:
     fields = [names[c.lower()] for c in known]
     distinct = df.agg(*[F.approx_count_distinct(F.col(f"`{f}`").cast("string")).alias(f"d{i}") for i, f in enumerate(fields)]).first()
     order = sorted(range(len(fields)), key=lambda i: -distinct[f"d{i}"])
-    cells = _cells(criteria, known)
+    cells = _weakest(_cells(criteria, known), len(fields))
     kind = F.lit(None).cast("string")
     for i in reversed(order):  # ranges first, so that equalities of other columns take precedence
         o, n = F.col(f"o{i}"), F.col(f"n{i}")
-        kind = F.when(o.isin(">", "<", ">=", "<=") & n.isNotNull(), f"range{i}").otherwise(kind)
+        kind = F.when(o.isin(*_RANGES) & n.isNotNull(), f"range{i}").otherwise(kind)
     for i in reversed(order):
         kind = F.when(F.col(f"p{i}").isNotNull(), f"like{i}").otherwise(kind)
     for i in reversed(order):
@@ -95,7 +112,7 @@ def where_any(df: DataFrame, criteria: DataFrame) -> DataFrame:
         kind = F.when(o.isin("", "=") & F.col(f"p{i}").isNull(), F.when(n.isNotNull(), f"number{i}").otherwise(f"text{i}")).otherwise(kind)
     free = reduce(lambda a, b: a & b, [F.col(f"o{i}").isNull() for i in range(len(fields))])
     cells = cells.withColumn("kind", F.when(free, "free").otherwise(F.coalesce(kind, F.lit("any"))))
-    cells = staged(cells, "criteria")
+    cells = staged(cells, "criteria", "kind")  # apart, so that each kind's join is planned by its own size
     met = lambda i: F.collect_set(F.when(F.col(f"o{i}").isNotNull(), F.struct(F.col(f"o{i}"), F.col(f"n{i}").isNotNull(), F.col(f"r{i}").isNotNull()))).alias(f"m{i}")
     found = {r.kind: [sorted(map(tuple, r[f"m{i}"])) for i in range(len(fields))] for r in cells.groupBy("kind").agg(*map(met, range(len(fields)))).collect()}  # a few kinds a column
     kinds = sorted(found)

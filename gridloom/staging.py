@@ -23,8 +23,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to a shared folder and read back: what follows starts from the files, whatever executors are lost."""
+def staged(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` written to a shared folder and read back: what follows starts from the files, whatever executors are lost.
+
+    The values of ``by``, its last columns, have folders of their own."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(by) or None)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -74,3 +74,23 @@ def test_criteria_tables_by_the_plain_criterion(spark):
     got = database_by_table(df.where("n > 0"), ["DSUM", "DGET", "DCOUNT"], "n", one("apple", ">4")).first()
     some = [r[2] for r in rows if str(r[1]).lower() == "apple" and r[2] is not None and r[2] > 4]
     assert got.dsum == sum(some) and got.dcount == len(some) and got.dget == (some[0] if len(some) == 1 else None)
+
+
+def test_of_criteria_rows_that_differ_in_a_bound_the_weakest_stays(spark):
+    from gridloom.operators.criteria_tables import _cells, _weakest, where_any
+
+    k = F.col("id")
+    cell = lambda op, v: F.concat(F.lit(op), v.cast("string"))
+    made = [
+        (F.lit("a"), cell(">", 900 - k), None), (F.lit("p*"), cell("<=", -k), None), (None, cell(">=", 950 + k), cell("<", 5 + k)),
+        (None, None, F.concat(F.lit("<"), F.lpad(k.cast("string"), 3, "0"), F.lit("z"))), (F.lit("b"), F.when(k % 2 == 0, cell("", k)).otherwise(F.concat(k.cast("string"), F.lit(".0"))), None),
+    ]
+    parts = [spark.range(300).select(*[(F.lit(None) if c is None else c).cast("string").alias(n) for c, n in zip(cells, ("word", "n", "m"))]) for cells in made]
+    assert [_weakest(_cells(p, ["word", "n", "m"]), 3).count() for p in parts] == [1, 1, 300, 1, 300]
+    assert _weakest(_cells(parts[2].select("n").union(parts[2].select("n")), ["n"]), 1).count() == 1
+    df = spark.range(2000).select("id", F.element_at(F.array(*map(F.lit, ("a", "b", "pear"))), (k % 3 + 1).cast("int")).alias("word"), (k - 400).cast("double").alias("n"), F.when(k % 5 == 0, F.lit("298y")).when(k % 5 == 1, F.lit("3")).otherwise(F.lit("zz")).alias("m"))
+    n, word = F.col("n"), F.col("word")
+    pair = F.coalesce((n >= 950) & (F.col("m").try_cast("double") < n - 945 + 1e-9) & F.lit(True), F.lit(False))
+    wants = [(word == "a") & (n > 601), (word == "pear") & (n <= 0), pair, F.col("m") == "298y", (word == "b") & n.between(0, 299)]
+    for part, want in zip(parts, wants):
+        assert {r.id for r in where_any(df, part).collect()} == {r.id for r in df.where(want).collect()}
