@@ -122,20 +122,29 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-_SHAPE = rf"^(?:({_NUMBER})(?=[+-]))?([+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)?)[ij]$"
+#: A real part that the end or a sign follows; possessive, as it is matched for every cell.
+_REAL = r"^([+-]?[0-9.]++(?:[eE][+-]?[0-9]++)?+)(?=[+-]|$)"
 
 
 def parse_complex(z) -> Column:
     """struct<re, im> of "a+bi", "bi" or "a"; NULL for other text."""
 
     def read(t: Column) -> Column:
-        real, imag = F.regexp_extract(t, _SHAPE, 1), F.regexp_extract(t, _SHAPE, 2)
-        unit = F.when(imag.isin("", "+"), F.lit(1.0)).when(imag == "-", F.lit(-1.0)).otherwise(imag.try_cast("double"))
-        made = _pair(F.coalesce(real.try_cast("double"), F.lit(0.0)), unit)
-        plain = _pair(t.try_cast("double"), F.lit(0.0))
-        return F.when(F.rlike(t, F.lit(f"^{_NUMBER}$")), plain).when(F.rlike(t, F.lit(_SHAPE)), made)
+        known = F.translate(t, "0123456789.eE+-ij", "") == ""  # a cast takes more for a number than these write
+        return F.struct(F.when(known, t).alias("t"), F.regexp_extract(t, _REAL, 1).alias("re"))
 
-    return _let(F.regexp_replace(c(z).cast("string"), r"\s", ""), read)
+    def cut(p: Column) -> Column:
+        return F.struct(p["re"].alias("re"), F.substr(p["t"], F.length(p["re"]) + 1).alias("im"))
+
+    def made(p: Column) -> Column:
+        real, imag = p["re"], p["im"]
+        size = F.left(imag, F.length(imag) - 1)
+        unit = F.when(size.isin("", "+"), F.lit(1.0)).when(size == "-", F.lit(-1.0)).otherwise(size.try_cast("double"))
+        unit = F.when(imag == "", F.when(real != "", F.lit(0.0))).when(F.right(imag, F.lit(1)).isin("i", "j"), unit)
+        return _pair(F.when(real == "", F.lit(0.0)).otherwise(real.try_cast("double")), unit)
+
+    parts = _let(_let(_let(F.regexp_replace(c(z).cast("string"), r"\s", ""), read), cut), made)
+    return _let(parts, lambda w: F.when(w["re"].isNotNull() & w["im"].isNotNull(), w))
 
 
 def _part(x: Column) -> Column:
@@ -143,9 +152,9 @@ def _part(x: Column) -> Column:
 
     def write(near: Column) -> Column:
         whole = (near == F.floor(near)) & (F.abs(near) < 1e15)
-        return F.when(whole, near.cast("bigint").cast("string")).otherwise(F.regexp_replace(F.regexp_replace(F.format_string("%.14f", near), "0+$", ""), r"\.$", ""))
+        return F.when(whole, near.cast("bigint").cast("string")).otherwise(F.regexp_replace(F.format_string("%.14f", near), r"\.?0+$", ""))
 
-    return _let(F.when(F.abs(x - F.round(x)) < 1e-12, F.round(x)).otherwise(x), write)
+    return _let(F.when(F.abs(x - F.rint(x)) < 1e-12, F.rint(x)).otherwise(x), write)
 
 
 def show_complex(z: Column, suffix: str = "i") -> Column:

@@ -14,11 +14,16 @@ from pyspark.sql.window import Window
 
 from gridloom.functions import call as C
 from gridloom.functions.dates import serial
+from gridloom.functions.order_stats import null_safe_join
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
 
-def _columns(name: str, source: str, keys: list[str], named: dict[str, str], columns: list[tuple[str, Callable[[], Column], str]], group: bool = False, digits: int = 6):
-    """Register a query over the table ``source`` whose ``named`` SQL expressions are columns first."""
+def _columns(name: str, source: str, keys: list[str], named: dict[str, str], columns: list[tuple[str, Callable[[], Column], str]], group: bool = False, digits: int = 6, steps: list[dict[str, Callable[[], Column]]] = ()):
+    """Register a query over the table ``source`` whose ``named`` SQL expressions are columns first.
+
+    ``steps`` are columns made of these that others are computed from. As they are costly, all is computed once for each
+    distinct row of ``named``, dealt out over all tasks, and joined back.
+    """
 
     def shown(alias: str, sql: str) -> str:
         return f"{sql} AS {alias}" if alias[:2] in ("t_", "b_") else f"round(CAST({sql} AS DOUBLE), {digits}) AS {alias}"
@@ -28,7 +33,15 @@ def _columns(name: str, source: str, keys: list[str], named: dict[str, str], col
 
     def run(spark, d):
         df = table(spark, d, source).selectExpr("*", *[f"{e} AS {n}" for n, e in named.items()])
+        if steps:
+            rows = df.select(*keys, *named)
+            df = rows.select(*named).distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *named)
+        for step in steps:
+            df = df.withColumns({n: f() for n, f in step.items()})
         own = [(a, f()) for a, f, _ in columns]
+        if steps:
+            df = null_safe_join(rows, df.select(*named, *[c.alias(a) for a, c in own]), list(named))
+            own = [(a, F.col(a)) for a, _ in own]
         out = df.groupBy(*keys).agg(*[c.alias(a) for a, c in own]) if group else df.select(*keys, *[c.alias(a) for a, c in own])
         plain = lambda a: F.col(a) if a[:2] in ("t_", "b_") else F.round(F.col(a).cast("double"), digits).alias(a)
         return out.select(*keys, *[plain(a) for a, _ in own])
@@ -383,18 +396,21 @@ _COMPLEX = {
 }
 _over = lambda f: tuple(f"{sign}({part}) / (({_COMPLEX[f][0]}) ** 2 + ({_COMPLEX[f][1]}) ** 2)" for sign, part in zip(("", "-"), _COMPLEX[f]))
 _COMPLEX |= {"IMSEC": _over("IMCOS"), "IMCSC": _over("IMSIN"), "IMCOT": _over("IMTAN"), "IMSECH": _over("IMCOSH"), "IMCSCH": _over("IMSINH")}
-_z = lambda: C("COMPLEX", v("a"), v("b"))
+_z = lambda: v("z")
 _w = lambda: C("COMPLEX", 2, -0.5)
-_both = lambda name, f, re_, im: [(f"f_{name}_re", lambda: C("IMREAL", f()), re_), (f"f_{name}_im", lambda: C("IMAGINARY", f()), im)]
+_COMPLEX_OF = {f.lower(): lambda f=f: C(f, _z()) for f in _COMPLEX} | {
+    "imconjugate": lambda: C("IMCONJUGATE", _z()), "imsum": lambda: C("IMSUM", _z(), _w()), "imsub": lambda: C("IMSUB", _z(), _w()), "imdiv": lambda: C("IMDIV", _z(), _w()), "impower": lambda: C("IMPOWER", _z(), 3),
+}
+_both = lambda name, re_, im: [(f"f_{name}_re", lambda: C("IMREAL", v(name)), re_), (f"f_{name}_im", lambda: C("IMAGINARY", v(name)), im)]
 _columns("values_complex", "part", ["p_partkey"], {"a": "CAST(p_size % 10 - 5 AS DOUBLE) / 4", "b": "CAST(p_partkey % 7 + 1 AS DOUBLE) / 4"}, [
-    *[c for name, (re_, im) in _COMPLEX.items() for c in _both(name.lower(), lambda name=name: C(name, _z()), re_, im)],
-    *_both("imconjugate", lambda: C("IMCONJUGATE", _z()), "a", "-b"),
-    *_both("imsum", lambda: C("IMSUM", _z(), _w()), "a + 2", "b - 0.5"),
-    *_both("imsub", lambda: C("IMSUB", _z(), _w()), "a - 2", "b + 0.5"),
-    *_both("imdiv", lambda: C("IMDIV", _z(), _w()), "(2 * a - 0.5 * b) / 4.25", "(2 * b + 0.5 * a) / 4.25"),
-    *_both("impower", lambda: C("IMPOWER", _z(), 3), "a ** 3 - 3 * a * b * b", "3 * a * a * b - b ** 3"),
+    *[c for name, (re_, im) in _COMPLEX.items() for c in _both(name.lower(), re_, im)],
+    *_both("imconjugate", "a", "-b"),
+    *_both("imsum", "a + 2", "b - 0.5"),
+    *_both("imsub", "a - 2", "b + 0.5"),
+    *_both("imdiv", "(2 * a - 0.5 * b) / 4.25", "(2 * b + 0.5 * a) / 4.25"),
+    *_both("impower", "a ** 3 - 3 * a * b * b", "3 * a * a * b - b ** 3"),
     ("f_imargument", lambda: C("IMARGUMENT", _z()), "atan2(b, a)"),
-])
+], steps=[{"z": lambda: C("COMPLEX", v("a"), v("b"))}, _COMPLEX_OF])
 
 _flat = lambda m: F.array_join(F.flatten(m).cast("array<string>"), ",", "-")
 _line = lambda a: F.array_join(a.cast("array<string>"), ",", "-")

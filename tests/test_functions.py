@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import CATALOGUE, call
+from gridloom.plans import registry
 
 L = F.lit
 
@@ -166,3 +167,10 @@ def test_kind_of_long_cells(spark):
     cells = ["9" * 400, "9" * 401, " " * 400 + "7", "x" * 500, "\t-1.5e3 ", ".5", "+", "2024-02-30", "2024-02-29", "1 2", "- 1"]
     got = spark.createDataFrame([(i, x) for i, x in enumerate(cells)], "i int, x string").orderBy("i").select(kind_of(F.col("x"))).collect()
     assert [r[0] for r in got] == ["number", "number", "number", "string", "number", "number", "string", "string", "date", "string", "string"]
+
+
+def test_complex_texts_and_their_query_once_for_each_distinct_number(spark):
+    texts = {"3-4i": (3.0, -4.0), " 1e+2 + j": (100.0, 1.0), "-i": (0.0, -1.0), "1e-2i": (0.0, 0.01), ".5": (0.5, 0.0), "2.+1e1j": (2.0, 10.0), "1-5": None, "1d": None, "": None, "3+": None, "1.2.3i": None, "NaN": None, "ii": None, "e5": None}
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", call("IMREAL", F.col("t")).alias("re"), call("IMAGINARY", F.col("t")).alias("im")).collect()
+    assert {r.t: None if r.re is None and r.im is None else (r.re, r.im) for r in got} == texts
+    assert registry.queries()["values_complex"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
