@@ -14,15 +14,16 @@ from pyspark.sql.window import Window
 
 from gridloom.functions import call as C
 from gridloom.functions.dates import serial
-from gridloom.functions.order_stats import null_safe_join
+from gridloom.functions.order_stats import null_safe_join, order_statistics
 from gridloom.plans.registry import query
 from gridloom.plans.tables import table
 
-def _columns(name: str, source: str, keys: list[str], named: dict[str, str], columns: list[tuple[str, Callable[[], Column], str]], group: bool = False, digits: int = 6, steps: list[dict[str, Callable[[], Column]]] = ()):
+def _columns(name: str, source: str, keys: list[str], named: dict[str, str], columns: list[tuple[str, Callable[[], Column], str]], group: bool = False, digits: int = 6, steps: list[dict[str, Callable[[], Column]]] = (), ordered: list[tuple[Callable[[], Column], dict[str, tuple]]] = ()):
     """Register a query over the table ``source`` whose ``named`` SQL expressions are columns first.
 
     ``steps`` are columns made of these that others are computed from. As they are costly, all is computed once for each
-    distinct row of ``named``, dealt out over all tasks, and joined back.
+    distinct row of ``named``, dealt out over all tasks, and joined back. ``ordered`` are values and the order statistics of
+    each group that are taken of them without gathering the group, in place of the columns of their names.
     """
 
     def shown(alias: str, sql: str) -> str:
@@ -38,13 +39,16 @@ def _columns(name: str, source: str, keys: list[str], named: dict[str, str], col
             df = rows.select(*named).distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *named)
         for step in steps:
             df = df.withColumns({n: f() for n, f in step.items()})
-        own = [(a, f()) for a, f, _ in columns]
+        placed = {a for _, want in ordered for a in want}
+        own = [(a, f()) for a, f, _ in columns if a not in placed]
         if steps:
             df = null_safe_join(rows, df.select(*named, *[c.alias(a) for a, c in own]), list(named))
             own = [(a, F.col(a)) for a, _ in own]
         out = df.groupBy(*keys).agg(*[c.alias(a) for a, c in own]) if group else df.select(*keys, *[c.alias(a) for a, c in own])
+        for value, want in ordered:
+            out = null_safe_join(out, order_statistics(df.withColumn("__value", value()), keys, "__value", want).drop("n"), keys, "left")
         plain = lambda a: F.col(a) if a[:2] in ("t_", "b_") else F.round(F.col(a).cast("double"), digits).alias(a)
-        return out.select(*keys, *[plain(a) for a, _ in own])
+        return out.select(*keys, *[plain(a) for a, _, _ in columns])
 
     run.__name__ = run.__qualname__ = name
     query(sql)(run)
@@ -121,13 +125,13 @@ _columns("values_aggregates", "lineitem", ["l_returnflag"], {"q": "l_quantity",
     ("f_averagea", lambda: C("AVERAGEA", v("mixed")), "avg(CASE WHEN l_tax > 0.05 THEN l_linenumber WHEN l_tax > 0 THEN 1 ELSE 0 END)"),
     ("f_maxa", lambda: C("MAXA", v("mixed")), "max(CASE WHEN l_tax > 0.05 THEN l_linenumber WHEN l_tax > 0 THEN 1 ELSE 0 END)"),
     ("f_mina", lambda: C("MINA", v("mixed")), "min(CASE WHEN l_tax > 0.05 THEN l_linenumber WHEN l_tax > 0 THEN 1 ELSE 0 END)"),
-    ("f_percentile_exc", lambda: C("PERCENTILE.EXC", v("w"), 0.37), _EXC.format(p=0.37, c="w")),
-    ("f_quartile_exc", lambda: C("QUARTILE.EXC", v("w"), 3), _EXC.format(p=0.75, c="w")),
-    ("f_large", lambda: C("LARGE", v("w"), 7), "list_sort(list(w), 'DESC')[7]"),
-    ("f_small", lambda: C("SMALL", v("w"), 7), "list_sort(list(w))[7]"),
+    ("f_percentile_exc", None, _EXC.format(p=0.37, c="w")),
+    ("f_quartile_exc", None, _EXC.format(p=0.75, c="w")),
+    ("f_large", None, "list_sort(list(w), 'DESC')[7]"),
+    ("f_small", None, "list_sort(list(w))[7]"),
     ("f_subtotal", lambda: C("SUBTOTAL", 9, v("q"), v("hid")), "sum(q)"),
     ("f_subtotal_shown", lambda: C("SUBTOTAL", 101, v("q"), v("hid")), "avg(q) FILTER (WHERE NOT hid)"),
-    ("f_aggregate", lambda: C("AGGREGATE", 14, 6, v("q") + v("l_tax"), 2, v("err")), "list_sort(list(q + l_tax) FILTER (WHERE err IS NULL), 'DESC')[2]"),
+    ("f_aggregate", None, "list_sort(list(q + l_tax) FILTER (WHERE err IS NULL), 'DESC')[2]"),
     ("f_aggregate_error", lambda: C("AGGREGATE", 9, 4, v("q"), None, v("err")), "CAST(NULL AS DOUBLE)"),
     ("f_sumif", lambda: C("SUMIF", v("l_linenumber"), ">=4", v("q")), "sum(q) FILTER (WHERE l_linenumber >= 4)"),
     ("f_countifs", lambda: C("COUNTIFS", v("q"), "<10", v("l_linestatus"), "O"), "count(*) FILTER (WHERE q < 10 AND l_linestatus = 'O')"),
@@ -137,7 +141,10 @@ _columns("values_aggregates", "lineitem", ["l_returnflag"], {"q": "l_quantity",
     ("f_dget_many", lambda: C("DGET", "w", [{"q": ">45"}]), "CAST(NULL AS DOUBLE)"),
     ("f_dstdevp", lambda: C("DSTDEVP", "w", [{"q": ">45"}]), "stddev_pop(w) FILTER (WHERE q > 45)"),
     ("f_dvar", lambda: C("DVAR", "w", [{"q": ">45", "l_tax": ">0.02"}]), "var_samp(w) FILTER (WHERE q > 45 AND l_tax > 0.02)"),
-], group=True, digits=4)
+], group=True, digits=4, ordered=[
+    (lambda: v("w"), {"f_percentile_exc": ("percentile_exc", 0.37), "f_quartile_exc": ("quartile_exc", 3), "f_large": ("large", 7), "f_small": ("small", 7)}),
+    (lambda: F.when(v("err").isNull(), v("q") + v("l_tax")), {"f_aggregate": ("large", 2)}),
+])
 
 _columns("values_logic", "customer", ["c_custkey"], {"bal": "c_acctbal", "seg": "c_mktsegment", "err": "CASE WHEN c_nationkey = 3 THEN '#N/A' WHEN c_nationkey = 4 THEN '#REF!' END", "gap": "CASE WHEN c_nationkey NOT IN (3, 4) THEN c_acctbal END"}, [
     ("t_if", lambda: C("IF", v("bal") > 0, "credit", "debt"), "CASE WHEN bal > 0 THEN 'credit' ELSE 'debt' END"),

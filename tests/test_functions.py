@@ -174,3 +174,8 @@ def test_complex_texts_and_their_query_once_for_each_distinct_number(spark):
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", call("IMREAL", F.col("t")).alias("re"), call("IMAGINARY", F.col("t")).alias("im")).collect()
     assert {r.t: None if r.re is None and r.im is None else (r.re, r.im) for r in got} == texts
     assert registry.queries()["values_complex"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+
+
+def test_order_statistics_of_the_aggregates_query_gather_no_group(spark):
+    plan = registry.queries()["values_aggregates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
